@@ -104,7 +104,20 @@ def ipv4_text(spark, sf_dir):
     return events(spark, sf_dir).select("event_id", nm.ipv4_text(address).alias("address"))
 
 
-@query("ipv6_text")
+_IPV4 = "({0} >> 24) || '.' || ({0} >> 16 & 255) || '.' || ({0} >> 8 & 255) || '.' || ({0} & 255)"
+
+
+@query("ipv6_text", f"""
+  WITH a AS (SELECT event_id AS n, CASE event_id % 5 WHEN 2 THEN event_id + 65536 ELSE event_id END AS m FROM events),
+  b AS (SELECT *, CASE WHEN m = 0 THEN '::' WHEN (m >> 16) & 1 = 1 THEN '::' || {_IPV4.format("m")}
+      WHEN m < 65536 THEN '::' || format('{{:x}}', m)
+      ELSE '::' || format('{{:x}}', m >> 16) || ':' || format('{{:x}}', m & 65535) END AS low FROM a)
+  SELECT n AS event_id,
+    CASE n % 5 WHEN 1 THEN CAST(n + 281470681743360 AS VARCHAR) WHEN 3 THEN CAST(CAST(n AS HUGEINT) * 18446744073709551616 AS VARCHAR)
+      WHEN 4 THEN 'fe80::' || format('{{:x}}', n) ELSE CAST(m AS VARCHAR) END AS number,
+    CASE n % 5 WHEN 1 THEN '::ffff:' || {_IPV4.format("n")}
+      WHEN 3 THEN '0:0:' || format('{{:x}}', n >> 16) || CASE WHEN n & 65535 = 0 THEN '' ELSE ':' || format('{{:x}}', n & 65535) END || '::'
+      WHEN 4 THEN 'fe80::' || format('{{:x}}', n) ELSE low END AS address FROM b""")
 def ipv6_text(spark, sf_dir):
     """128-bit numbers of every shape, made from event ids: small, IPv4-mapped,
     IPv4-compatible, and wide ones with zero groups in the middle."""

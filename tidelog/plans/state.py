@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.functions import text as tx
-from tidelog.operators import barriers, compact as cp, ddl, evolve, images, metrics, routing
+from tidelog.operators import barriers, compact as cp, ddl, images, metrics, routing
 from tidelog.plans import inputs as fx
 from tidelog.plans.registry import load, query
 from tidelog.sources import changelog as cl, starts
+from tidelog.streaming import store
 
 # A user's last event, the independent form of last-change-wins.
 LAST_EVENT = """SELECT user_id, event_type, value, props FROM (
@@ -367,32 +368,14 @@ def evolved_state(spark, sf_dir):
     changes, _ = cl.split_ddl(cl.parse_changes(lines))
     _, ddl_events = cl.split_ddl(cl.parse_changes(cl.ddl_lines(lines)))
     base = {"event_id": "bigint", "user_id": "bigint", "value": "double", "props": "string"}
-    columns, cuts = table_history(ddl_events, "user_state", base)
+    columns, positions = store.table_history(ddl_events, "user_state", base)
     pending = cp.live(cp.replay(changes, {"event_id": "bigint"}))
-    version = barriers.version_of(F.col("seq"), cuts)
-    state = evolve.decode_evolved(pending, columns, version)
+    state = store.decode_table(pending, columns, positions)
     return state.withColumns({c: F.col(c).cast("string") for c in ("value", "pts")}).withColumn(
         "c2", F.date_format("c2", "yyyy-MM-dd HH:mm:ss")
     )
 
 
-def table_history(ddl_events, table, base):
-    """(current columns, ALTER positions) of one table. Its DDL operations come to
-    the driver, as a plan's columns have to be known to build it."""
-    history = ddl.history(ddl_events.filter(F.lower("table") == table))
-    alters = history.filter(ddl.event_kind(F.col("change_type"), F.col("ddl")) == "ALTER")
-    operations = ddl.with_definition(ddl.alter_operations(alters.select("seq", "ddl")))
-    wanted = operations.select(
-        "seq", "ordinal", "operation", "column_name", "new_name", "spark_type", "default_value"
-    )
-    found = sorted(wanted.collect(), key=lambda r: (tuple(r.seq), r.ordinal))
-    positions = sorted({tuple(r.seq) for r in found})
-    version = {p: i + 1 for i, p in enumerate(positions)}
-    steps = [{**r.asDict(), "version": version[tuple(r.seq)]} for r in found]
-    cuts = [cl.sequence(F.lit(f), F.lit(p), F.lit(r), F.lit(s)) for f, p, r, s in positions]
-    return evolve.trace(base, steps), cuts
-
-
 # --- output ----------------------------------------------------------------
 
 
