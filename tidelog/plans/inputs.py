@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelog.plans.registry import load
+from tidelog.sources.scan import spread
 
 USER_STATE = {"user_id": "bigint", "event_type": "string", "value": "double", "props": "string"}
 USER_KEY = {"user_id": "bigint"}
@@ -59,7 +60,7 @@ def user_op() -> Column:
 
 def user_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_state`` changes: one line per event, keyed by user."""
-    events = load(spark, sf_dir, "events")
+    events = spread(load(spark, sf_dir, "events"))
     image = F.struct("user_id", "event_type", "value", "props")
     op = user_op()
     value = envelope(
@@ -94,7 +95,7 @@ def order_steps(first: int = 0) -> Column:
 
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` log (steps 1-4): several changes of a key at one log position."""
-    orders = load(spark, sf_dir, "orders").select("*", F.inline(order_steps(1)))
+    orders = spread(load(spark, sf_dir, "orders")).select("*", F.inline(order_steps(1)))
     image = F.struct("o_orderkey", "o_custkey", F.col("price").alias("o_totalprice"))
     value = envelope(
         F.col("op"),
@@ -109,7 +110,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``orders`` snapshot rows (step 0): the even keys."""
-    orders = load(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == 0)
+    orders = spread(load(spark, sf_dir, "orders")).filter(F.col("o_orderkey") % 2 == 0)
     value = envelope(
         F.lit("r"), F.lit("orders"), F.col("o_orderkey"), after=F.struct("o_orderkey", "o_custkey", "o_totalprice")
     )
@@ -145,7 +146,7 @@ def rekey_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         step(3, "u", k % 5 == 0, image(now, p), image(now, p + 1)),
         step(4, "d", k % 7 == 0, image(now, p), None),
     )
-    orders = load(spark, sf_dir, "orders").select(
+    orders = spread(load(spark, sf_dir, "orders")).select(
         "o_orderkey", F.inline(F.filter(steps, lambda s: s.isNotNull()))
     )
     value = envelope(
@@ -158,7 +159,7 @@ def shop_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many tables in one log, each row an insert; orders come in four shards."""
 
     def lines(name: str, key: str, table: Column) -> DataFrame:
-        df = load(spark, sf_dir, name)
+        df = spread(load(spark, sf_dir, name))
         value = envelope(F.lit("c"), table, F.col(key).cast("bigint"), after=F.struct(*df.columns))
         return df.select(value.alias("value"))
 
@@ -204,7 +205,7 @@ def ddl_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_id") % 10
     text = reduce(lambda c, k: c.when(kind == k, _fill(_DDL[k])), range(1, 10), F.when(kind == 0, _fill(_DDL[0])))
     type_ = F.when(kind == 0, "CREATE").when(kind.isin(1, 2, 3, 4, 5, 8, 9), "ALTER")
-    return load(spark, sf_dir, "events").select(
+    return spread(load(spark, sf_dir, "events")).select(
         "event_id", "user_id", text.alias("ddl"), type_.alias("change_type")
     )
 

@@ -66,10 +66,12 @@ def sequence(file_no: Column, pos: Column, row: Column, step: Column | None = No
 
 
 def _parsed(lines: DataFrame, column: str, keep: tuple[str, ...], options: dict) -> DataFrame:
-    # inline() gives the parsed fields as columns of a Generate node. A filter on
-    # them cannot be pushed below it, so each line is parsed once, not once per use.
-    record = F.from_json(F.col(column), ENVELOPE, options)
-    return lines.filter(~is_blank(F.col(column))).select(*keep, F.inline(F.array(record)))
+    # explode() gives the parsed record as a column of a Generate node. A filter on
+    # it cannot be pushed below, so each line is parsed once, not once per use.
+    text = F.col(column)
+    record = F.when(~is_blank(text), F.from_json(text, ENVELOPE, options))
+    parsed = lines.select(*keep, F.explode(F.array(record)).alias("record"))
+    return parsed.filter(F.col("record").isNotNull()).select(*keep, "record.*")
 
 
 def _shape(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
