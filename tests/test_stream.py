@@ -68,7 +68,7 @@ def test_stream_equals_batch(spark, sf, tmp_path):
 def test_interval_trigger_runs(spark, tmp_path, job):
     log = tmp_path / "log"
     write(spark, log, change("c", 1, after={"id": 1, "v": 1.5}))
-    query = ap.start_apply(job, cl.stream_lines(spark, str(log)), str(tmp_path / "cp"))
+    query = ap.start_apply(job, cl.stream_lines(spark, str(log), max_bytes_per_trigger=100_000_000), str(tmp_path / "cp"))
     try:
         query.processAllAvailable()
         write(spark, log, change("u", 2, after={"id": 1, "v": 2.5}))
@@ -152,10 +152,37 @@ def test_shards_merge_and_own_truncates(spark, tmp_path):
         change("c", 5, "unknown", after={"id": 7, "v": 7.0}),
     ), 0)
     assert rows(store.current(spark, job, "all")) == [(1, 2.0), (5, 5.0)]
+    store.compact_store(spark, job)
     store.write_batch(job, lines_df(spark, ddl_line(6, "TRUNCATE TABLE o_1", table="o_1")), 1)
     assert rows(store.current(spark, job, "all")) == [(1, 1.0)]
 
 
+def test_changes_over_a_base(spark, job):
+    """New, changed and deleted keys, and an old change that comes again."""
+    first = [change("c", i, after={"id": i, "v": float(i)}) for i in range(1, 6)]
+    store.write_batch(job, lines_df(spark, *first), 0)
+    store.compact_store(spark, job)
+    store.write_batch(job, lines_df(
+        spark, first[0], change("u", 9, after={"id": 2, "v": 20.0}), change("d", 10, before={"id": 3}),
+        change("c", 11, after={"id": 6, "v": 6.0}), change("c", 12, after={"id": 7, "v": 7.0}), change("d", 13, before={"id": 7}),
+    ), 1)
+    store.write_batch(job, lines_df(spark, change("u", 2, after={"id": 2, "v": 2.0})), 2)
+    want = [(1, 1.0), (2, 20.0), (4, 4.0), (5, 5.0), (6, 6.0)]
+    assert rows(store.current(spark, job, "t")) == want
+    assert store.compact_store(spark, job) == 2
+    assert rows(store.current(spark, job, "t")) == want
+
+
+def test_base_is_not_shuffled_for_few_changes(spark, job):
+    store.write_batch(job, lines_df(spark, change("c", 1, after={"id": 1, "v": 1.0})), 0)
+    store.compact_store(spark, job)
+    store.write_batch(job, lines_df(spark, change("c", 2, after={"id": 2, "v": 1.0})), 1)
+    base, deltas = store.stored(spark, job)
+    out = cp.overlay(base, cp.compact(deltas, store.SOURCE_KEY), store.SOURCE_KEY)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 3 and "SortMergeJoin" not in plan
+
+
 def test_bad_lines_go_aside_or_fail_the_job(spark, tmp_path, job):
     mixed = lines_df(spark, change("c", 1, after={"id": 1, "v": 1.0}), '{"op": "c", ', "  ")
     with pytest.raises(Exception):

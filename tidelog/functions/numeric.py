@@ -26,8 +26,12 @@ def wide_integer(raw: Column) -> Column:
     text = F.hex(raw)
     high = F.conv(_swapped(text, 8, 15), 16, -10).cast("decimal(20,0)")
     low = F.conv(_swapped(text, 0, 7), 16, 10).cast("decimal(20,0)")
-    shifted = F.try_multiply(high, F.lit("18446744073709551616").cast("decimal(20,0)"))
-    return F.try_add(shifted, low).try_cast("decimal(38,0)")
+    span = F.lit("18446744073709551616").cast("decimal(20,0)")
+    # Rounded towards zero, so that no intermediate is wider than the value.
+    below = high < 0
+    shifted = F.try_multiply(F.when(below, high + 1).otherwise(high), span)
+    rest = F.when(below, low - span).otherwise(low)
+    return F.try_add(shifted, rest).try_cast("decimal(38,0)")
 
 
 def wide_integer_text(text: Column) -> Column:

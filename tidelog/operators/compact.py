@@ -101,6 +101,25 @@ def apply_changes(target: DataFrame, compacted: DataFrame, keys: list[str]) -> D
     return kept.unionByName(live(compacted).select(*target.columns))
 
 
+def overlay(
+    base: DataFrame, recent: DataFrame, keys: list[str], payload: tuple[str, ...] = ("is_delete", "image", "seq")
+) -> DataFrame:
+    """A large base, one row per key, under a compacted set of later changes.
+
+    Equal to compacting both together, but the base is neither shuffled nor sorted
+    while the change set is small enough for Spark to broadcast. It is read once
+    whole and once for its keys, to tell changed keys from new ones. A change that
+    was delivered again and is older than the base row loses.
+    """
+    changes = recent.select(*keys, F.struct(*payload).alias("_new"))
+    newer = F.coalesce(F.col("_new.seq") >= F.col("seq"), F.lit(False))
+    kept = base.join(changes, keys, "left").select(
+        *keys, *[F.when(newer, F.col("_new")[p]).otherwise(F.col(p)).alias(p) for p in payload]
+    )
+    known = base.select(*keys).join(recent.select(*keys), keys, "left_semi")
+    return kept.unionByName(recent.join(known, keys, "left_anti").select(*kept.columns))
+
+
 def merge_into(spark, target: str, compacted: DataFrame, keys: list[str]) -> None:
     """The same for a target in a catalog whose tables support MERGE."""
     on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)

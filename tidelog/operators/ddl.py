@@ -21,17 +21,18 @@ HISTORY = """
 """
 
 # Building blocks: a quoted text, a parenthesis up to two levels deep, a name.
-QUOTED = r"'(?:[^'\\]|\\.|'')*'"
-PARENS = rf"\((?:[^()']|{QUOTED}|\((?:[^()']|{QUOTED})*\))*\)"
+QUOTED = r"(?:'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|`[^`]*`)"
+PLAIN = r"[^()'\"`]"
+PARENS = rf"\((?:{PLAIN}|{QUOTED}|\((?:{PLAIN}|{QUOTED})*\))*\)"
 NAME = r"[`\"]?([\w$]+)[`\"]?"
 # A piece between top-level commas, and one word of a column definition.
-PIECE = rf"((?:[^,(']|{PARENS}|{QUOTED})+)"
-WORD = rf"({QUOTED}|\"[^\"]*\"|(?:[^\s'\"(]|{PARENS})+)"
+PIECE = rf"((?:[^,()'\"`]|{PARENS}|{QUOTED})+)"
+WORD = rf"({QUOTED}|(?:[^\s()'\"`]|{PARENS})+)"
 
 ALTER_HEAD = r"(?is)^\s*ALTER\s+TABLE\s+\S+\s+"
 CLAUSE = rf"(?is)^\s*(ADD|DROP|CHANGE|MODIFY|RENAME)\s+(COLUMN\s+)?{NAME}(?:\s+(?:TO\s+)?(.*))?$"
 ADD_LIST = rf"(?is)^\s*ADD\s+(?:COLUMN\s+)?\((.*)\)\s*$"
-DEFINITION = rf"(?is)^\s*{NAME}\s+(\w+)\s*(?:\(([^)]*)\))?\s*(.*)$"
+DEFINITION = rf"(?is)^\s*{NAME}\s+(\w+)\s*({PARENS})?\s*(.*)$"
 CREATE = rf"(?is)^\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?\S+?\s*({PARENS})(.*)$"
 INDEX_ITEM = r"(?is)^\s*(?:CONSTRAINT\s+(?:[`\"]?\w+[`\"]?\s+)?)?(PRIMARY|UNIQUE|KEY|INDEX|FULLTEXT|SPATIAL|FOREIGN|CHECK)\b"
 KEY_COLUMNS = r"(?is)^\s*(?:CONSTRAINT\s+(?:[`\"]?\w+[`\"]?\s+)?)?(?:PRIMARY\s+KEY|UNIQUE)[^(]*\(([^)]*)\)"
@@ -163,7 +164,8 @@ def with_definition(rows: DataFrame, column: str = "definition", strict: bool =
         {
             "_type": _group(text, DEFINITION, 2),
             "_args": F.transform(
-                F.split(F.regexp_extract(text, DEFINITION, 3), ","), lambda a: F.trim(a).try_cast("int")
+                F.split(F.translate(F.regexp_extract(text, DEFINITION, 3), "()", ""), ","),
+                lambda a: F.trim(a).try_cast("int"),
             ),
             "_specs": _words(F.regexp_extract(text, DEFINITION, 4)),
         }

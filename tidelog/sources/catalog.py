@@ -107,6 +107,42 @@ def captured(name: Column, pattern: str) -> Column:
     return full_match(name, pattern)
 
 
+# --- where metadata comes from ---------------------------------------------
+
+_COLUMNS_SQL = """(SELECT c.TABLE_SCHEMA AS db, c.TABLE_NAME AS table_name, c.ORDINAL_POSITION AS ordinal,
+  c.COLUMN_NAME AS column_name, UPPER(c.DATA_TYPE) AS type_name,
+  COALESCE(c.CHARACTER_MAXIMUM_LENGTH, c.NUMERIC_PRECISION, c.DATETIME_PRECISION) AS column_size,
+  c.NUMERIC_SCALE AS decimal_digits, c.COLUMN_COMMENT AS remarks, c.COLUMN_KEY = 'PRI' AS is_pk,
+  s.INDEX_NAME AS index_name, s.SEQ_IN_INDEX AS index_ordinal
+  FROM INFORMATION_SCHEMA.COLUMNS c LEFT JOIN INFORMATION_SCHEMA.STATISTICS s
+    ON s.TABLE_SCHEMA = c.TABLE_SCHEMA AND s.TABLE_NAME = c.TABLE_NAME AND s.COLUMN_NAME = c.COLUMN_NAME
+   AND s.NON_UNIQUE = 0 AND s.INDEX_NAME <> 'PRIMARY') m"""
+
+
+def jdbc_metadata(spark: SparkSession, url: str, **options) -> DataFrame:
+    """Metadata of a source database over JDBC."""
+    rows = spark.read.format("jdbc").options(url=url, dbtable=_COLUMNS_SQL, **options).load()
+    return rows.withColumn("is_pk", F.col("is_pk").cast("boolean"))
+
+
+def catalog_metadata(spark: SparkSession, database: str) -> DataFrame:
+    """Metadata of the session catalog's tables, which know no keys or indexes
+    beyond the ``primary_key`` property their creator left."""
+    rows = []
+    for name in list_tables(spark, database):
+        full = f"{database}.{name}"
+        properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+        keys = properties.get("primary_key", "").split(",")
+        for i, c in enumerate(spark.catalog.listColumns(full), 1):
+            rows.append((database, name, i, c.name, c.dataType.upper(), c.name in keys))
+    return spark.createDataFrame(
+        rows, "db string, table_name string, ordinal int, column_name string, type_name string, is_pk boolean"
+    ).selectExpr(
+        "*", "CAST(NULL AS int) AS column_size", "CAST(NULL AS int) AS decimal_digits",
+        "CAST(NULL AS string) AS remarks", "CAST(NULL AS string) AS index_name", "CAST(NULL AS int) AS index_ordinal",
+    )
+
+
 # --- session catalog -------------------------------------------------------
 
 

@@ -33,12 +33,13 @@ def read_lines(spark, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def stream_lines(spark, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same files as an unbounded input; new files are picked up per trigger."""
-    reader = spark.readStream
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.text(path)
+def stream_lines(
+    spark, path: str, max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """The same files as an unbounded input; new files are picked up per trigger, as
+    many as the limit (files or bytes, not both) admits to one batch."""
+    limits = {"maxFilesPerTrigger": max_files_per_trigger, "maxBytesPerTrigger": max_bytes_per_trigger}
+    return spark.readStream.options(**{k: v for k, v in limits.items() if v}).text(path)
 
 
 def is_blank(text: Column) -> Column:

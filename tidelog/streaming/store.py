@@ -146,20 +146,16 @@ def _base(spark: SparkSession, job: Job) -> tuple[int, int] | None:
     return max(((int(v), int(upto)) for _, v, upto in found), default=None)
 
 
-def stored_changes(spark: SparkSession, job: Job) -> DataFrame:
-    """Base rows and the changes of later batches."""
+def stored(spark: SparkSession, job: Job) -> tuple[DataFrame | None, DataFrame]:
+    """(base rows, changes of the batches after it)."""
     schema = f"{CHANGES}, target_table string"
-    base = _base(spark, job)
-    parts = []
-    if base:
-        parts.append(spark.read.schema(schema).parquet(f"{job.root}/base/version={base[0]}"))
-    if files.exists(spark, f"{job.root}/delta"):
-        deltas = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{job.root}/delta")
-        deltas = deltas.filter(F.col("batch_id") > base[1]) if base else deltas
-        parts.append(deltas.drop("batch_id"))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
+    found = _base(spark, job)
+    base = spark.read.schema(schema).parquet(f"{job.root}/base/version={found[0]}") if found else None
+    if not files.exists(spark, f"{job.root}/delta"):
+        return base, spark.createDataFrame([], schema)
+    deltas = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{job.root}/delta")
+    deltas = deltas.filter(F.col("batch_id") > found[1]) if found else deltas
+    return base, deltas.drop("batch_id")
 
 
 def ddl_events(spark: SparkSession, job: Job) -> DataFrame:
@@ -169,20 +165,21 @@ def ddl_events(spark: SparkSession, job: Job) -> DataFrame:
     return spark.read.schema(f"{DDL_EVENTS}, batch_id bigint").parquet(path).drop("batch_id")
 
 
-def merged(spark: SparkSession, job: Job, target: str | None = None) -> DataFrame:
-    """The last change per target table and key, after TRUNCATEs; all targets or one."""
-    rows = stored_changes(spark, job)
+SOURCE_KEY = ["target_table", "table", "key"]
+
+
+def last_changes(spark: SparkSession, job: Job, target: str | None = None) -> DataFrame:
+    """The last change per target table, source table and key, after TRUNCATEs."""
+    base, deltas = stored(spark, job)
     if target is not None:
-        rows = rows.filter(F.col("target_table") == target)
-    carried = ["is_delete", "image", "seq"]
-    last = cp.compact(rows, ["target_table", "table", "key"], carried)
+        base = base if base is None else base.filter(F.col("target_table") == target)
+        deltas = deltas.filter(F.col("target_table") == target)
+    last = cp.compact(deltas, SOURCE_KEY)
+    if base is not None:
+        last = cp.overlay(base, last, SOURCE_KEY)
     history = ddl.history(ddl_events(spark, job))
     truncates = history.filter(ddl.event_kind(F.col("change_type"), F.col("ddl")) == "TRUNCATE")
-    kept = barriers.after_truncate(last, barriers.truncate_positions(truncates, job.names()))
-    if not job.rules:
-        return kept
-    # Shards of one target may share keys; the last change over all of them wins.
-    return cp.compact(kept, ["target_table", "key"], ["table", *carried])
+    return barriers.after_truncate(last, barriers.truncate_positions(truncates, job.names()))
 
 
 def table_history(
@@ -210,12 +207,17 @@ def decode_table(rows: DataFrame, columns: list[evolve.TracedColumn], positions:
 
 def current(spark: SparkSession, job: Job, target: str) -> DataFrame:
     """Current rows of a target table in its current schema."""
-    rows = cp.live(merged(spark, job, target))
+    sources = job.sources_of(spark, target)
+    rows = last_changes(spark, job, target)
+    if len(sources) > 1:
+        # Shards of one target may share keys; the last change over all of them wins.
+        rows = cp.compact(rows, ["target_table", "key"], ["table", "is_delete", "image", "seq"])
+    rows = cp.live(rows)
     events = ddl_events(spark, job)
     altered = {r["table"] for r in events.select("table").distinct().collect()}
     # Tables with the same columns and no DDL are decoded together.
     groups: dict[tuple, list[str]] = defaultdict(list)
-    for t in job.sources_of(spark, target):
+    for t in sources:
         groups[(tuple(t.schema.items()), t.name if t.name in altered else None)].append(t.name)
     parts = []
     for (schema, name), members in groups.items():
@@ -243,7 +245,7 @@ def compact_store(spark: SparkSession, job: Job) -> int:
     upto = max(batches)
     old = _base(spark, job)
     version = (old[0] if old else 0) + 1
-    rows = cp.live(merged(spark, job)).withColumn("is_delete", F.lit(False))
+    rows = cp.live(last_changes(spark, job)).withColumn("is_delete", F.lit(False))
     (
         rows.select("table", "key", "is_delete", "image", "seq", "target_table")
         .hint("rebalance", "target_table")
