@@ -112,6 +112,29 @@ def test_a_batch_applied_twice_counts_once(spark, job):
     assert rows(store.current(spark, job, "t")) == once == [(2, None)]
 
 
+def test_only_committed_batches_are_read(spark, job):
+    store.write_batch(job, lines_df(spark, change("c", 1, after={"id": 1, "v": 1.0})), 0)
+    # A batch that died before its commit left rows behind, then runs again.
+    half = lines_df(spark, change("c", 2, after={"id": 2, "v": 2.0}))
+    store.write_batch(job, half, 1)
+    store.files.remove(spark, f"{job.root}/commit/main-1")
+    assert rows(store.current(spark, job, "t")) == [(1, 1.0)]
+    store.write_batch(job, half, 1)
+    assert rows(store.current(spark, job, "t")) == [(1, 1.0), (2, 2.0)]
+
+
+def test_a_new_checkpoint_does_not_overwrite_the_old_one(spark, tmp_path, job):
+    for n, op in enumerate("cu", 1):
+        log = tmp_path / f"log{n}"
+        write(spark, log, change(op, n, after={"id": n, "v": float(n)}))
+        ap.start_apply(job, cl.stream_lines(spark, str(log)), str(tmp_path / f"cp{n}"), interval=None).awaitTermination()
+        assert rows(store.current(spark, job, "t")) == [(i, float(i)) for i in range(1, n + 1)]
+    store.compact_store(spark, job)
+    store.vacuum(spark, job)
+    store.write_batch(job, lines_df(spark, change("d", 9, before={"id": 1})), 0, "third")
+    assert rows(store.current(spark, job, "t")) == [(2, 2.0)]
+
+
 def test_barriers_inside_and_across_batches(spark, job):
     store.write_batch(job, lines_df(
         spark,
@@ -190,7 +213,13 @@ def test_bad_lines_go_aside_or_fail_the_job(spark, tmp_path, job):
     lenient = store.Job(str(tmp_path / "lenient"), job.tables, strict=False)
     store.write_batch(lenient, mixed, 0)
     assert rows(store.current(spark, lenient, "t")) == [(1, 1.0)]
-    assert [r.value for r in spark.read.text(f"{lenient.root}/bad").collect()] == ['{"op": "c", ']
+    assert [r.value for r in spark.read.parquet(f"{lenient.root}/bad").collect()] == ['{"op": "c", ']
+    keyless = lines_df(spark, change("c", 7, after={"v": 1.0}))
+    with pytest.raises(Exception, match="without a key in table t"):
+        store.write_batch(job, keyless, 0)
+    store.write_batch(lenient, keyless, 1)
+    assert [r["table"] for r in spark.read.parquet(f"{lenient.root}/keyless").collect()] == ["t"]
+    assert rows(store.current(spark, lenient, "t")) == [(1, 1.0)]
 
 
 def test_batch_metrics(spark, job):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,9 +12,11 @@ from tidelog.functions.typemap import table_schema
 from tidelog.operators.layout import create_target
 from tidelog.streaming.store import Job, write_batch
 
-# How often pending changes are flushed.
+# How often pending changes are flushed, by default and in bulk, and
+# how many bytes a bulk flush takes at most (see ``max_bytes_per_trigger``).
 FLUSH_INTERVAL = "1 second"
 BULK_INTERVAL = "10 seconds"
+BULK_BYTES = 100 * 1024 * 1024
 
 
 def new_lines_only(spark: SparkSession, path: str) -> DataFrame:
@@ -38,13 +41,15 @@ def start_apply(
     applied and the query ends.
 
     Order is the log's, so there is no watermark. Delivery is at least once: the
-    checkpoint repeats an unfinished batch under its old number, and a batch
-    overwrites its own output. How much one batch takes is set on the source
+    checkpoint repeats an unfinished batch under its old number, and the store takes
+    a batch of one checkpoint once. How much one batch takes is set on the source
     (``maxFilesPerTrigger``, ``maxBytesPerTrigger``).
     """
 
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def apply(batch: DataFrame, batch_id: int) -> None:
-        write_batch(job, before(batch) if before else batch, batch_id)
+        write_batch(job, before(batch) if before else batch, batch_id, run)
 
     writer = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

@@ -20,10 +20,22 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty file; it is there whole or not at all."""
+def write(spark: SparkSession, path: str, text: str = "") -> None:
+    """Put a small file in place whole: written aside, then renamed."""
     fs, p = _fs(spark, path)
-    fs.create(p, True).close()
+    aside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), "_" + p.getName())
+    out = fs.create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    fs.delete(p, False)
+    if not fs.rename(aside, p):
+        raise OSError(f"could not write {path}")
+
+
+def read(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -1,14 +1,17 @@
 """The stored target: change sets per batch, merged on read.
 
-Every micro-batch leaves one folder ``delta/batch_id=N`` with the compacted
-changes of all tables, deletes included, split by target table. A batch that is
-applied again overwrites its own folder, so repeating it changes nothing. The
-current rows of a table are the last change per key over base and deltas; now
-and then the deltas are merged into a new base version.
+Every micro-batch leaves one folder ``delta/run=R/batch_id=N`` with the compacted
+changes of all tables, deletes included, split by target table, and then a commit
+marker. Only committed batches are read, and a committed batch that is delivered
+again is passed over. A run is one checkpoint: a job that begins anew with another
+checkpoint counts its batches from 0 again, in folders of its own. The current
+rows of a table are the last change per key over base and deltas, by log position
+and not by batch; now and then the deltas are merged into a new base version.
 """
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from dataclasses import dataclass, field
 from functools import reduce
@@ -22,6 +25,8 @@ from tidelog.streaming import files
 SEQ = "struct<file_no: bigint, pos: bigint, row: int, step: int>"
 CHANGES = f"`table` string, key array<string>, is_delete boolean, image variant, seq {SEQ}"
 DDL_EVENTS = f"`table` string, seq {SEQ}, history_record string"
+BATCH = "run string, batch_id bigint"
+SOURCE_KEY = ["target_table", "table", "key"]
 
 
 @dataclass(frozen=True)
@@ -69,9 +74,11 @@ class Job:
         hits = {r.name for r in known.filter((name == target) & wanted).collect()}
         return [t for t in self.tables if t.name in hits]
 
-    def key_text(self, image: str = "image") -> Column:
-        """Key of a row as texts. Tables with the same key columns share a branch, so
-        the expression grows with the kinds of keys, not with the tables."""
+    def key_text(self, image: str = "image", strict: bool = False) -> Column:
+        """Key of a row as texts; NULL if incomplete, or an error when ``strict``.
+
+        Tables with the same key columns share a branch, so the expression grows
+        with the kinds of keys, not with the tables."""
         kinds = defaultdict(list)
         for t in self.tables:
             kinds[tuple(t.keys.items())].append(t.name)
@@ -80,47 +87,55 @@ class Job:
             parts = [images.field(F.col(image), k, type_).cast("string") for k, type_ in keys]
             whole = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
             out = F.when(F.lower("table").isin(*tables) & whole, F.array(*parts)).otherwise(out)
-        return out
+        if not strict:
+            return out
+        problem = F.concat(F.lit("change without a key in table "), F.col("table"))
+        return F.coalesce(out, F.raise_error(problem).cast("array<string>"))
 
 
 # --- writing ---------------------------------------------------------------
 
 
-def batch_path(job: Job, part: str, batch_id: int) -> str:
-    return f"{job.root}/{part}/batch_id={batch_id}"
+def batch_path(job: Job, part: str, run: str, batch_id: int) -> str:
+    return f"{job.root}/{part}/run={run}/batch_id={batch_id}"
 
 
-def pending(job: Job, changes: DataFrame) -> DataFrame:
-    """Last change per source table and key of a batch, with its target table."""
-    rows = images.expand_updates(
-        routing.listened(changes, job.names()), job.ignore_before
-    ).withColumn("table", F.lower("table"))
-    rows = routing.route(rows, job.include, job.exclude, job.prefix, job.suffix, job.rules)
+def _keyed(job: Job, changes: DataFrame) -> DataFrame:
+    """Changes of registered tables with target table, key and effect."""
+    rows = images.expand_updates(routing.listened(changes, job.names()), job.ignore_before)
+    rows = routing.route(
+        rows.withColumn("table", F.lower("table")), job.include, job.exclude, job.prefix, job.suffix, job.rules
+    )
     if job.soft_delete:
         rows = rows.withColumn("is_delete", F.lit(False))
-    rows = rows.withColumn("key", job.key_text())
-    return cp.compact(rows, ["target_table", "table", "key"])
+    return rows.withColumn("key", job.key_text(strict=job.strict))
 
 
-def write_batch(job: Job, lines: DataFrame, batch_id: int) -> None:
-    """Apply one batch of lines. All tables go out in one write; ``rebalance`` makes
-    even files per table and splits a table that is much larger than the rest."""
-    changes = cl.parse_changes(lines, strict=job.strict)
-    rows, _ = cl.split_ddl(changes)
-    (
-        pending(job, rows)
-        .hint("rebalance", "target_table")
-        .write.mode("overwrite")
-        .partitionBy("target_table")
-        .parquet(batch_path(job, "delta", batch_id))
-    )
+def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") -> None:
+    """Apply one batch of lines, unless it is committed already.
+
+    All tables go out in one write; ``rebalance`` makes even files per table and
+    splits a table that is much larger than the rest. A strict job fails on
+    malformed lines and on changes without a key; otherwise both are kept aside.
+    """
+    spark = lines.sparkSession
+    if batch_id <= snapshot(spark, job).committed.get(run, -1):
+        return
+
+    def save(rows: DataFrame, part: str, *by: str) -> None:
+        rows.write.mode("overwrite").partitionBy(*by).parquet(batch_path(job, part, run, batch_id))
+
     _, events = cl.split_ddl(cl.parse_changes(cl.ddl_lines(lines), strict=job.strict))
     known = routing.listened(events, job.names())
-    known.select(F.lower("table").alias("table"), "seq", "history_record").write.mode("overwrite").parquet(
-        batch_path(job, "ddl", batch_id)
-    )
+    save(known.select(F.lower("table").alias("table"), "seq", "history_record"), "ddl")
+
+    changes, _ = cl.split_ddl(cl.parse_changes(lines, strict=job.strict))
+    rows = _keyed(job, changes)
+    save(cp.compact(rows, SOURCE_KEY).hint("rebalance", "target_table"), "delta", "target_table")
     if not job.strict:
-        cl.malformed_lines(lines).write.mode("overwrite").text(batch_path(job, "bad", batch_id))
+        save(cl.malformed_lines(lines), "bad")
+        save(cp.without_key(rows, ["key"]).select("table", "op", "seq", "image"), "keyless")
+    files.write(spark, f"{job.root}/commit/{run}-{batch_id}")
 
 
 def batch_metrics(job: Job, lines: DataFrame) -> DataFrame:
@@ -140,44 +155,72 @@ def batch_metrics(job: Job, lines: DataFrame) -> DataFrame:
 # --- reading ---------------------------------------------------------------
 
 
-def _base(spark: SparkSession, job: Job) -> tuple[int, int] | None:
-    """(version, last batch merged into it) of the current base."""
-    found = [n.split("-") for n in files.names(spark, f"{job.root}/pointer")]
-    return max(((int(v), int(upto)) for _, v, upto in found), default=None)
+@dataclass
+class Snapshot:
+    """What of a store may be read: the base version, and per run the last batch
+    merged into the base and the last one committed."""
+
+    version: int | None
+    merged: dict[str, int]
+    committed: dict[str, int]
+
+    def batches(self, after_base: bool) -> Column:
+        """Whether a row's batch is committed (and, if asked, not in the base yet)."""
+        out = F.lit(False)
+        for run, last in self.committed.items():
+            first = self.merged.get(run, -1) + 1 if after_base else 0
+            out = out | ((F.col("run") == run) & F.col("batch_id").between(first, last))
+        return out
 
 
-def stored(spark: SparkSession, job: Job) -> tuple[DataFrame | None, DataFrame]:
+def snapshot(spark: SparkSession, job: Job) -> Snapshot:
+    committed: dict[str, int] = {}
+    for name in files.names(spark, f"{job.root}/commit"):
+        if not name.startswith("_"):
+            run, batch = name.rsplit("-", 1)
+            committed[run] = max(committed.get(run, -1), int(batch))
+    versions = [int(n) for n in files.names(spark, f"{job.root}/pointer") if n.isdigit()]
+    if not versions:
+        return Snapshot(None, {}, committed)
+    merged = json.loads(files.read(spark, f"{job.root}/pointer/{max(versions)}"))
+    return Snapshot(max(versions), merged, {**merged, **committed})
+
+
+def stored(spark: SparkSession, job: Job, at: Snapshot | None = None) -> tuple[DataFrame | None, DataFrame]:
     """(base rows, changes of the batches after it)."""
+    at = at or snapshot(spark, job)
     schema = f"{CHANGES}, target_table string"
-    found = _base(spark, job)
-    base = spark.read.schema(schema).parquet(f"{job.root}/base/version={found[0]}") if found else None
+    base = None
+    if at.version is not None:
+        base = spark.read.schema(schema).parquet(f"{job.root}/base/version={at.version}")
     if not files.exists(spark, f"{job.root}/delta"):
         return base, spark.createDataFrame([], schema)
-    deltas = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{job.root}/delta")
-    deltas = deltas.filter(F.col("batch_id") > found[1]) if found else deltas
-    return base, deltas.drop("batch_id")
+    deltas = spark.read.schema(f"{schema}, {BATCH}").parquet(f"{job.root}/delta")
+    return base, deltas.filter(at.batches(after_base=True)).drop("run", "batch_id")
 
 
-def ddl_events(spark: SparkSession, job: Job) -> DataFrame:
+def ddl_events(spark: SparkSession, job: Job, at: Snapshot | None = None) -> DataFrame:
     path = f"{job.root}/ddl"
     if not files.exists(spark, path):
         return spark.createDataFrame([], DDL_EVENTS)
-    return spark.read.schema(f"{DDL_EVENTS}, batch_id bigint").parquet(path).drop("batch_id")
-
-
-SOURCE_KEY = ["target_table", "table", "key"]
+    events = spark.read.schema(f"{DDL_EVENTS}, {BATCH}").parquet(path)
+    committed = (at or snapshot(spark, job)).batches(after_base=False)
+    return events.filter(committed).drop("run", "batch_id")
 
 
-def last_changes(spark: SparkSession, job: Job, target: str | None = None) -> DataFrame:
+def last_changes(
+    spark: SparkSession, job: Job, target: str | None = None, at: Snapshot | None = None
+) -> DataFrame:
     """The last change per target table, source table and key, after TRUNCATEs."""
-    base, deltas = stored(spark, job)
+    at = at or snapshot(spark, job)
+    base, deltas = stored(spark, job, at)
     if target is not None:
         base = base if base is None else base.filter(F.col("target_table") == target)
         deltas = deltas.filter(F.col("target_table") == target)
     last = cp.compact(deltas, SOURCE_KEY)
     if base is not None:
         last = cp.overlay(base, last, SOURCE_KEY)
-    history = ddl.history(ddl_events(spark, job))
+    history = ddl.history(ddl_events(spark, job, at))
     truncates = history.filter(ddl.event_kind(F.col("change_type"), F.col("ddl")) == "TRUNCATE")
     return barriers.after_truncate(last, barriers.truncate_positions(truncates, job.names()))
 
@@ -208,12 +251,13 @@ def decode_table(rows: DataFrame, columns: list[evolve.TracedColumn], positions:
 def current(spark: SparkSession, job: Job, target: str) -> DataFrame:
     """Current rows of a target table in its current schema."""
     sources = job.sources_of(spark, target)
-    rows = last_changes(spark, job, target)
+    at = snapshot(spark, job)
+    rows = last_changes(spark, job, target, at)
     if len(sources) > 1:
         # Shards of one target may share keys; the last change over all of them wins.
         rows = cp.compact(rows, ["target_table", "key"], ["table", "is_delete", "image", "seq"])
     rows = cp.live(rows)
-    events = ddl_events(spark, job)
+    events = ddl_events(spark, job, at)
     altered = {r["table"] for r in events.select("table").distinct().collect()}
     # Tables with the same columns and no DDL are decoded together.
     groups: dict[tuple, list[str]] = defaultdict(list)
@@ -237,15 +281,13 @@ def current(spark: SparkSession, job: Job, target: str) -> DataFrame:
 
 
 def compact_store(spark: SparkSession, job: Job) -> int:
-    """Merge all batches so far into a new base version. Readers see it once its
+    """Merge the committed batches into a new base version. Readers see it once its
     pointer file exists. Returns the version."""
-    batches = [int(n.split("=")[1]) for n in files.names(spark, f"{job.root}/delta") if n.startswith("batch_id=")]
-    if not batches:
+    at = snapshot(spark, job)
+    if not at.committed:
         raise ValueError(f"nothing to compact in {job.root}")
-    upto = max(batches)
-    old = _base(spark, job)
-    version = (old[0] if old else 0) + 1
-    rows = cp.live(last_changes(spark, job)).withColumn("is_delete", F.lit(False))
+    version = (at.version or 0) + 1
+    rows = cp.live(last_changes(spark, job, at=at)).withColumn("is_delete", F.lit(False))
     (
         rows.select("table", "key", "is_delete", "image", "seq", "target_table")
         .hint("rebalance", "target_table")
@@ -253,17 +295,25 @@ def compact_store(spark: SparkSession, job: Job) -> int:
         .partitionBy("target_table")
         .parquet(f"{job.root}/base/version={version}")
     )
-    files.touch(spark, f"{job.root}/pointer/base-{version}-{upto}")
+    files.write(spark, f"{job.root}/pointer/{version}", json.dumps(at.committed))
     return version
 
 
 def vacuum(spark: SparkSession, job: Job) -> None:
     """Remove base versions before the current one and the batches merged into it.
-    Run it when no reader still uses them."""
-    base = _base(spark, job)
-    if base is None:
+    DDL stays: it tells how older rows are read. Run it when no reader still uses
+    what is removed."""
+    at = snapshot(spark, job)
+    if at.version is None:
         return
-    for part, kept in (("delta", base[1]), ("base", base[0] - 1)):
-        for name in files.names(spark, f"{job.root}/{part}"):
-            if "=" in name and int(name.split("=")[1]) <= kept:
-                files.remove(spark, f"{job.root}/{part}/{name}")
+    for version in range(1, at.version):
+        files.remove(spark, f"{job.root}/base/version={version}")
+        files.remove(spark, f"{job.root}/pointer/{version}")
+    for run, last in at.merged.items():
+        for name in files.names(spark, f"{job.root}/delta/run={run}"):
+            if name.startswith("batch_id=") and int(name.split("=")[1]) <= last:
+                files.remove(spark, f"{job.root}/delta/run={run}/{name}")
+    for name in files.names(spark, f"{job.root}/commit"):
+        run, _, batch = name.rpartition("-")
+        if batch.isdigit() and int(batch) <= at.merged.get(run, -1):
+            files.remove(spark, f"{job.root}/commit/{name}")
