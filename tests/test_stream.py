@@ -343,3 +343,54 @@ def test_create_table_only_mode(spark):
     assert got == {"id": "bigint", "total": "decimal(38,2)", "at": "timestamp_ntz"}
     assert spark.sql("SHOW TBLPROPERTIES made.ods_orders('primary_key')").first().value == "id"
     assert spark.table("made.ods_orders").count() == 0
+
+
+def test_start_filters_apply_to_rows_and_ddl(spark, tmp_path, job):
+    from tidelog.sources import starts
+
+    late = store.Job(str(tmp_path / "late"), job.tables, start=lambda df: starts.from_offset(df, 1, 3))
+    store.write_batch(late, lines_df(
+        spark, change("c", 1, after={"id": 1, "v": 1.0}), ddl_line(2, "ALTER TABLE t ADD w INT", "ALTER"),
+        change("c", 3, after={"id": 2, "v": 2.0}), ddl_line(4, "ALTER TABLE t ADD x INT", "ALTER"),
+    ), 0)
+    df = store.current(spark, late, "t")
+    assert df.columns == ["id", "v", "x"] and rows(df) == [(2, 2.0, None)]
+
+
+def test_merge_is_refused_by_tables_that_cannot(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS mrg")
+    spark.sql("CREATE TABLE mrg.t (id BIGINT, v STRING) USING parquet")
+    pending = spark.createDataFrame([(1, "a", False)], "id bigint, v string, is_delete boolean")
+    with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION|MERGE"):
+        cp.merge_into("mrg.t", pending, ["id"])
+
+
+def test_observed_counters(spark):
+    from pyspark.sql import Observation
+
+    from tidelog.operators.metrics import observed
+
+    seen = Observation("written")
+    df = spark.createDataFrame([("ab",), ("c",)], "v string")
+    observed(df, seen, F.octet_length("v")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 2, "bytes": 3}
+
+
+def test_partitioned_and_bucketed_target(spark):
+    from tidelog.functions.typemap import table_schema
+    from tidelog.operators.layout import auto_partition, create_target
+    from tidelog.sources import catalog
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS lay")
+    schema = table_schema([
+        {"ordinal": 1, "column_name": "id", "type_name": "BIGINT", "is_pk": True},
+        {"ordinal": 2, "column_name": "at", "type_name": "DATETIME"},
+        {"ordinal": 3, "column_name": "part", "type_name": "DATE"},
+    ])
+    create_target(spark, "lay.t", schema, partition_by=["part"], cluster_by=["id"], buckets=4)
+    detail = {r.col_name: r.data_type for r in spark.sql("DESCRIBE FORMATTED lay.t").collect()}
+    assert detail["Num Buckets"] == "4" and detail["Bucket Columns"] == "[`id`]"
+    days = spark.sql("SELECT id, TIMESTAMP_NTZ'2024-01-15 10:00:00' + make_dt_interval(CAST(20 * id AS INT)) AS at FROM range(3)")
+    assert {str(r.part.date()) for r in auto_partition(days, "at", "month").collect()} == {"2024-01-01", "2024-02-01"}
+    catalog.drop_table(spark, "lay.t")
+    assert not catalog.table_exists(spark, "lay.t")

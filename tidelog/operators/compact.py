@@ -120,17 +120,19 @@ def overlay(
     return kept.unionByName(recent.join(known, keys, "left_anti").select(*kept.columns))
 
 
-def merge_into(spark, target: str, compacted: DataFrame, keys: list[str]) -> None:
-    """The same for a target in a catalog whose tables support MERGE."""
-    on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
-    compacted.createOrReplaceTempView("_pending")
-    columns = [c for c in spark.table(target).columns]
-    names = ", ".join(f"`{c}`" for c in columns)
-    values = ", ".join(f"s.`{c}`" for c in columns)
-    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns)
-    spark.sql(
-        f"""MERGE INTO {target} t USING _pending s ON {on}
-            WHEN MATCHED AND s.is_delete THEN DELETE
-            WHEN MATCHED THEN UPDATE SET {sets}
-            WHEN NOT MATCHED AND NOT s.is_delete THEN INSERT ({names}) VALUES ({values})"""
+def merge_into(target: str, compacted: DataFrame, keys: list[str]) -> None:
+    """The same for a stored table whose catalog supports MERGE."""
+    on = F.lit(True)
+    for key in keys:
+        on = on & F.col(f"{target}.{key}").eqNullSafe(F.col(f"s.{key}"))
+    columns = [c for c in compacted.columns if c not in ("is_delete", "seq")]
+    values = {c: F.col(f"s.{c}") for c in columns}
+    gone = F.col("s.is_delete")
+    (
+        compacted.alias("s")
+        .mergeInto(target, on)
+        .whenMatched(gone).delete()
+        .whenMatched().update(values)
+        .whenNotMatched(~gone).insert(values)
+        .merge()
     )

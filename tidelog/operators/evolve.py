@@ -63,7 +63,9 @@ def read_column(column: TracedColumn, image: Column, version: Column) -> Column:
 
 
 def decode_evolved(rows: DataFrame, columns: list[TracedColumn], version: Column, image: str = "image") -> DataFrame:
-    return rows.select(*[read_column(c, F.col(image), version) for c in columns])
+    # As a column of its own the version is worked out once per row.
+    rows = rows.withColumn("_version", version)
+    return rows.select(*[read_column(c, F.col(image), F.col("_version")) for c in columns])
 
 
 def apply_operations(table: DataFrame, operations: list[dict]) -> DataFrame:

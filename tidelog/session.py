@@ -17,13 +17,17 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Only read when a session starts. Call sites are not recorded for error messages:
+# that costs a call into the JVM for each column expression.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "tidelog", master: str | None = None, **extra: str) -> SparkSession:
     """Create a session with the engine's settings; ``extra`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **START_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)

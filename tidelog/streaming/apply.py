@@ -35,7 +35,6 @@ def start_apply(
     lines: DataFrame,
     checkpoint: str,
     interval: str | None = FLUSH_INTERVAL,
-    before: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Start applying a stream of lines. Without an interval all that is there is
     applied and the query ends.
@@ -49,7 +48,7 @@ def start_apply(
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        write_batch(job, before(batch) if before else batch, batch_id, run)
+        write_batch(job, batch, batch_id, run)
 
     writer = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from collections import defaultdict
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelog.operators import barriers, compact as cp, ddl, evolve, images, metrics, routing
 from tidelog.sources import catalog, changelog as cl
+from tidelog.sources.starts import from_earliest
 from tidelog.streaming import files
 
 SEQ = "struct<file_no: bigint, pos: bigint, row: int, step: int>"
@@ -54,6 +56,9 @@ class Job:
     ignore_before: bool = True
     soft_delete: bool = False
     strict_single_pk: bool = True
+    # Where reading starts: a filter of parsed changes, as in ``sources.starts``. It
+    # sees one batch at a time, so it must judge each change by itself.
+    start: Callable[[DataFrame], DataFrame] = from_earliest
 
     def __post_init__(self):
         """Tables without a usable key cannot be kept up to date and are left out."""
@@ -125,11 +130,11 @@ def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") ->
     def save(rows: DataFrame, part: str, *by: str) -> None:
         rows.write.mode("overwrite").partitionBy(*by).parquet(batch_path(job, part, run, batch_id))
 
-    _, events = cl.split_ddl(cl.parse_changes(cl.ddl_lines(lines), strict=job.strict))
+    _, events = cl.split_ddl(job.start(cl.parse_changes(cl.ddl_lines(lines), strict=job.strict)))
     known = routing.listened(events, job.names())
     save(known.select(F.lower("table").alias("table"), "seq", "history_record"), "ddl")
 
-    changes, _ = cl.split_ddl(cl.parse_changes(lines, strict=job.strict))
+    changes, _ = cl.split_ddl(job.start(cl.parse_changes(lines, strict=job.strict)))
     rows = _keyed(job, changes)
     save(cp.compact(rows, SOURCE_KEY).hint("rebalance", "target_table"), "delta", "target_table")
     if not job.strict:
