@@ -196,6 +196,28 @@ def test_changes_over_a_base(spark, job):
     assert rows(store.current(spark, job, "t")) == want
 
 
+def test_compaction_rewrites_changed_tables_only(spark, tmp_path):
+    schema = {"id": "bigint", "v": "double"}
+    job = store.Job(str(tmp_path), [store.Table(n, {"id": "bigint"}, schema) for n in "ab"])
+    store.write_batch(job, lines_df(
+        spark, *[change("c", 1, n, after={"id": 1, "v": 1.0}) for n in "ab"],
+        ddl_line(2, "ALTER TABLE a ADD w INT DEFAULT '3'", "ALTER", "a")), 0)
+    store.compact_store(spark, job)
+    store.write_batch(job, lines_df(spark, change("c", 3, "b", after={"id": 2, "v": 2.0})), 1)
+    store.compact_store(spark, job)
+    assert store.snapshot(spark, job).tables == {"a": 1, "b": 2}
+    store.vacuum(spark, job)
+    kept = {str(p.relative_to(tmp_path)) for p in tmp_path.glob("base/*/target_table=*")}
+    assert kept == {"base/version=1/target_table=a", "base/version=2/target_table=b"}
+    assert not list(tmp_path.glob("d*/run=main/batch_id=*"))
+    assert rows(store.current(spark, job, "a")) == [(1, 1.0, 3)]
+    assert rows(store.current(spark, job, "b")) == [(1, 1.0), (2, 2.0)]
+    # A table whose rows are all deleted stays empty.
+    store.write_batch(job, lines_df(spark, change("d", 9, "a", before={"id": 1})), 2)
+    store.compact_store(spark, job)
+    assert rows(store.current(spark, job, "a")) == []
+
+
 def test_base_is_not_shuffled_for_few_changes(spark, job):
     store.write_batch(job, lines_df(spark, change("c", 1, after={"id": 1, "v": 1.0})), 0)
     store.compact_store(spark, job)

@@ -16,6 +16,7 @@ from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -162,33 +163,45 @@ def batch_metrics(job: Job, lines: DataFrame) -> DataFrame:
 
 @dataclass
 class Snapshot:
-    """What of a store may be read: the base version, and per run the last batch
-    merged into the base and the last one committed."""
+    """What of a store may be read: the base version of each target table, the
+    version of the base's DDL, and per run the last batch merged into the base and
+    the last one committed."""
 
-    version: int | None
-    merged: dict[str, int]
-    committed: dict[str, int]
+    version: int = 0
+    tables: dict[str, int] = field(default_factory=dict)
+    merged: dict[str, int] = field(default_factory=dict)
+    committed: dict[str, int] = field(default_factory=dict)
 
-    def batches(self, after_base: bool) -> Column:
-        """Whether a row's batch is committed (and, if asked, not in the base yet)."""
+    def after_base(self) -> Column:
+        """Whether a row's batch is committed and not in the base yet."""
         out = F.lit(False)
         for run, last in self.committed.items():
-            first = self.merged.get(run, -1) + 1 if after_base else 0
+            first = self.merged.get(run, -1) + 1
             out = out | ((F.col("run") == run) & F.col("batch_id").between(first, last))
         return out
 
+    def in_base(self) -> Column:
+        """Whether a base row is of its table's current version."""
+        versions = defaultdict(list)
+        for table, version in self.tables.items():
+            versions[version].append(table)
+        out = F.lit(False)
+        for version, tables in versions.items():
+            out = out | ((F.col("version") == version) & F.col("target_table").isin(*tables))
+        return out
+
 
 def snapshot(spark: SparkSession, job: Job) -> Snapshot:
-    committed: dict[str, int] = {}
-    for name in files.names(spark, f"{job.root}/commit"):
-        if not name.startswith("_"):
-            run, batch = name.rsplit("-", 1)
-            committed[run] = max(committed.get(run, -1), int(batch))
     versions = [int(n) for n in files.names(spark, f"{job.root}/pointer") if n.isdigit()]
-    if not versions:
-        return Snapshot(None, {}, committed)
-    merged = json.loads(files.read(spark, f"{job.root}/pointer/{max(versions)}"))
-    return Snapshot(max(versions), merged, {**merged, **committed})
+    at = Snapshot()
+    if versions:
+        at = Snapshot(max(versions), **json.loads(files.read(spark, f"{job.root}/pointer/{max(versions)}")))
+    at.committed = dict(at.merged)
+    for name in files.names(spark, f"{job.root}/commit"):
+        run, _, batch = name.rpartition("-")
+        if batch.isdigit() and not name.startswith("_"):
+            at.committed[run] = max(at.committed.get(run, -1), int(batch))
+    return at
 
 
 def stored(spark: SparkSession, job: Job, at: Snapshot | None = None) -> tuple[DataFrame | None, DataFrame]:
@@ -196,21 +209,25 @@ def stored(spark: SparkSession, job: Job, at: Snapshot | None = None) -> tuple[D
     at = at or snapshot(spark, job)
     schema = f"{CHANGES}, target_table string"
     base = None
-    if at.version is not None:
-        base = spark.read.schema(schema).parquet(f"{job.root}/base/version={at.version}")
+    if at.tables:
+        base = spark.read.schema(f"{schema}, version bigint").parquet(f"{job.root}/base")
+        base = base.filter(at.in_base()).drop("version")
     if not files.exists(spark, f"{job.root}/delta"):
         return base, spark.createDataFrame([], schema)
     deltas = spark.read.schema(f"{schema}, {BATCH}").parquet(f"{job.root}/delta")
-    return base, deltas.filter(at.batches(after_base=True)).drop("run", "batch_id")
+    return base, deltas.filter(at.after_base()).drop("run", "batch_id")
 
 
 def ddl_events(spark: SparkSession, job: Job, at: Snapshot | None = None) -> DataFrame:
-    path = f"{job.root}/ddl"
-    if not files.exists(spark, path):
-        return spark.createDataFrame([], DDL_EVENTS)
-    events = spark.read.schema(f"{DDL_EVENTS}, {BATCH}").parquet(path)
-    committed = (at or snapshot(spark, job)).batches(after_base=False)
-    return events.filter(committed).drop("run", "batch_id")
+    """All committed DDL events, those merged with the base included."""
+    at = at or snapshot(spark, job)
+    events = spark.createDataFrame([], DDL_EVENTS)
+    if at.version:
+        events = spark.read.schema(DDL_EVENTS).parquet(f"{job.root}/history/version={at.version}")
+    if files.exists(spark, f"{job.root}/ddl"):
+        later = spark.read.schema(f"{DDL_EVENTS}, {BATCH}").parquet(f"{job.root}/ddl")
+        events = events.unionByName(later.filter(at.after_base()).drop("run", "batch_id"))
+    return events
 
 
 def last_changes(
@@ -286,38 +303,49 @@ def current(spark: SparkSession, job: Job, target: str) -> DataFrame:
 
 
 def compact_store(spark: SparkSession, job: Job) -> int:
-    """Merge the committed batches into a new base version. Readers see it once its
-    pointer file exists. Returns the version."""
+    """Merge the committed batches into a new base version and return it.
+
+    Only target tables with changes are rewritten; the others keep their files.
+    Readers see the version once its pointer file exists.
+    """
     at = snapshot(spark, job)
     if not at.committed:
         raise ValueError(f"nothing to compact in {job.root}")
-    version = (at.version or 0) + 1
-    rows = cp.live(last_changes(spark, job, at=at)).withColumn("is_delete", F.lit(False))
+    version = at.version + 1
+    _, deltas = stored(spark, job, at)
+    changed = [r.target_table for r in deltas.select("target_table").distinct().collect()]
+    rows = last_changes(spark, job, at=at).filter(F.col("target_table").isin(*changed))
     (
-        rows.select("table", "key", "is_delete", "image", "seq", "target_table")
+        cp.live(rows).withColumn("is_delete", F.lit(False))
+        .select("table", "key", "is_delete", "image", "seq", "target_table")
         .hint("rebalance", "target_table")
         .write.mode("overwrite")
         .partitionBy("target_table")
         .parquet(f"{job.root}/base/version={version}")
     )
-    files.write(spark, f"{job.root}/pointer/{version}", json.dumps(at.committed))
+    ddl_events(spark, job, at).distinct().write.mode("overwrite").parquet(f"{job.root}/history/version={version}")
+    tables = {**at.tables, **dict.fromkeys(changed, version)}
+    files.write(spark, f"{job.root}/pointer/{version}", json.dumps({"tables": tables, "merged": at.committed}))
     return version
 
 
 def vacuum(spark: SparkSession, job: Job) -> None:
-    """Remove base versions before the current one and the batches merged into it.
-    DDL stays: it tells how older rows are read. Run it when no reader still uses
-    what is removed."""
+    """Remove what the current base version has replaced: older files of its tables
+    and the batches merged into it. Run it when no reader still uses them."""
     at = snapshot(spark, job)
-    if at.version is None:
-        return
-    for version in range(1, at.version):
-        files.remove(spark, f"{job.root}/base/version={version}")
-        files.remove(spark, f"{job.root}/pointer/{version}")
+    for version in range(1, at.version + 1):
+        folder = f"{job.root}/base/version={version}"
+        for name in files.names(spark, folder):
+            if name.startswith("target_table=") and at.tables.get(unquote(name.split("=", 1)[1])) != version:
+                files.remove(spark, f"{folder}/{name}")
+        if version < at.version:
+            files.remove(spark, f"{job.root}/history/version={version}")
+            files.remove(spark, f"{job.root}/pointer/{version}")
     for run, last in at.merged.items():
-        for name in files.names(spark, f"{job.root}/delta/run={run}"):
-            if name.startswith("batch_id=") and int(name.split("=")[1]) <= last:
-                files.remove(spark, f"{job.root}/delta/run={run}/{name}")
+        for part in ("delta", "ddl"):
+            for name in files.names(spark, f"{job.root}/{part}/run={run}"):
+                if name.startswith("batch_id=") and int(name.split("=")[1]) <= last:
+                    files.remove(spark, f"{job.root}/{part}/run={run}/{name}")
     for name in files.names(spark, f"{job.root}/commit"):
         run, _, batch = name.rpartition("-")
         if batch.isdigit() and int(batch) <= at.merged.get(run, -1):
