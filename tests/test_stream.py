@@ -255,6 +255,23 @@ def test_batch_metrics(spark, job):
     assert got == {"t": (3, 1, 2, 0), "other": (1, 0, 0, 1)}
 
 
+def test_several_databases_keep_their_tables_apart(spark, tmp_path):
+    schema = {"id": "bigint", "v": "double"}
+    job = store.Job(
+        str(tmp_path), [store.Table(n, {"id": "bigint"}, schema) for n in ("shop1.t", "shop2.t")],
+        databases=r"shop\d", several_databases=True, prefix="ods_", with_metrics=True,
+    )
+    text = change("c", 1, after={"id": 1, "v": 1.0})
+    store.write_batch(job, lines_df(
+        spark, *[text.replace('"shop"', f'"{db}"') for db in ("shop1", "other")],
+        text.replace('"shop"', '"shop2"').replace("1.0", "2.0")), 0)
+    assert rows(store.current(spark, job, "shop1_ods_t")) == [(1, 1.0)]
+    assert rows(store.current(spark, job, "shop2_ods_t")) == [(1, 2.0)]
+    counted = spark.read.parquet(f"{job.root}/metrics")
+    assert {(r["table"], r.loaded_rows, r.unselected_rows) for r in counted.collect()} == {
+        ("shop1.t", 1, 0), ("shop2.t", 1, 0), ("other.t", 0, 1)}
+
+
 def test_tables_without_a_single_key_are_left_out(tmp_path):
     two = store.Table("two", {"a": "int", "b": "int"}, {"a": "int", "b": "int"})
     none = store.Table("none", {}, {"a": "int"})

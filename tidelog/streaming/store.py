@@ -34,8 +34,8 @@ SOURCE_KEY = ["target_table", "table", "key"]
 
 @dataclass(frozen=True)
 class Table:
-    """A registered source table: key columns, and all columns, with their types
-    as they were when the log began."""
+    """A registered source table (``db.table`` for a job over several databases):
+    key columns, and all columns, with their types as they were when the log began."""
 
     name: str
     keys: dict[str, str]
@@ -57,6 +57,11 @@ class Job:
     ignore_before: bool = True
     soft_delete: bool = False
     strict_single_pk: bool = True
+    # Regex of the databases to take changes from; with several of them, tables are
+    # told apart by ``db.table`` and their targets are called ``db_target``.
+    databases: str | None = None
+    several_databases: bool = False
+    with_metrics: bool = False
     # Where reading starts: a filter of parsed changes, as in ``sources.starts``. It
     # sees one batch at a time, so it must judge each change by itself.
     start: Callable[[DataFrame], DataFrame] = from_earliest
@@ -72,12 +77,25 @@ class Job:
     def names(self) -> list[str]:
         return [t.name for t in self.tables]
 
+    def source_name(self) -> Column:
+        """Registered name of a change's table."""
+        return F.lower(F.concat_ws(".", "db", "table") if self.several_databases else F.col("table"))
+
+    def selected(self) -> Column:
+        """Whether a change's database and table are wanted."""
+        wanted = catalog.table_wanted(F.lower("table"), self.include, self.exclude)
+        return wanted if self.databases is None else wanted & catalog.full_match(F.col("db"), self.databases)
+
+    def target_name(self) -> Column:
+        name = routing.target_name(F.lower("table"), self.prefix, self.suffix, self.rules)
+        return routing.fan_out_name(F.lower("db"), name, self.several_databases)
+
     def sources_of(self, spark: SparkSession, target: str) -> list[Table]:
         """Registered tables that are routed to a target, by the same rules as rows."""
-        known = spark.createDataFrame([(n,) for n in self.names()], "name string")
-        name = routing.target_name(F.col("name"), self.prefix, self.suffix, self.rules)
-        wanted = catalog.table_wanted(F.col("name"), self.include, self.exclude)
-        hits = {r.name for r in known.filter((name == target) & wanted).collect()}
+        parts = [(n, *(n.split(".", 1) if self.several_databases else (None, n))) for n in self.names()]
+        known = spark.createDataFrame(parts, "name string, db string, `table` string")
+        wanted = catalog.table_wanted(F.lower("table"), self.include, self.exclude)
+        hits = {r.name for r in known.filter((self.target_name() == target) & wanted).collect()}
         return [t for t in self.tables if t.name in hits]
 
     def key_text(self, image: str = "image", strict: bool = False) -> Column:
@@ -92,10 +110,10 @@ class Job:
         for keys, tables in kinds.items():
             parts = [images.field(F.col(image), k, type_).cast("string") for k, type_ in keys]
             whole = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
-            out = F.when(F.lower("table").isin(*tables) & whole, F.array(*parts)).otherwise(out)
+            out = F.when(F.col("source").isin(*tables) & whole, F.array(*parts)).otherwise(out)
         if not strict:
             return out
-        problem = F.concat(F.lit("change without a key in table "), F.col("table"))
+        problem = F.concat(F.lit("change without a key in table "), F.col("source"))
         return F.coalesce(out, F.raise_error(problem).cast("array<string>"))
 
 
@@ -106,15 +124,21 @@ def batch_path(job: Job, part: str, run: str, batch_id: int) -> str:
     return f"{job.root}/{part}/run={run}/batch_id={batch_id}"
 
 
-def _keyed(job: Job, changes: DataFrame) -> DataFrame:
-    """Changes of registered tables with target table, key and effect."""
-    rows = images.expand_updates(routing.listened(changes, job.names()), job.ignore_before)
-    rows = routing.route(
-        rows.withColumn("table", F.lower("table")), job.include, job.exclude, job.prefix, job.suffix, job.rules
+def _known(job: Job, changes: DataFrame) -> DataFrame:
+    """Wanted changes of registered tables, with their registered ``source`` name."""
+    return changes.withColumn("source", job.source_name()).filter(
+        job.selected() & F.col("source").isin(*job.names())
     )
+
+
+def _keyed(job: Job, changes: DataFrame) -> DataFrame:
+    """Known changes with target table, key and effect."""
+    rows = images.expand_updates(_known(job, changes), job.ignore_before)
     if job.soft_delete:
         rows = rows.withColumn("is_delete", F.lit(False))
-    return rows.withColumn("key", job.key_text(strict=job.strict))
+    return rows.withColumns(
+        {"target_table": job.target_name(), "table": F.col("source"), "key": job.key_text(strict=job.strict)}
+    )
 
 
 def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") -> None:
@@ -132,8 +156,7 @@ def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") ->
         rows.write.mode("overwrite").partitionBy(*by).parquet(batch_path(job, part, run, batch_id))
 
     _, events = cl.split_ddl(job.start(cl.parse_changes(cl.ddl_lines(lines), strict=job.strict)))
-    known = routing.listened(events, job.names())
-    save(known.select(F.lower("table").alias("table"), "seq", "history_record"), "ddl")
+    save(_known(job, events).select(F.col("source").alias("table"), "seq", "history_record"), "ddl")
 
     changes, _ = cl.split_ddl(job.start(cl.parse_changes(lines, strict=job.strict)))
     rows = _keyed(job, changes)
@@ -141,6 +164,8 @@ def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") ->
     if not job.strict:
         save(cl.malformed_lines(lines), "bad")
         save(cp.without_key(rows, ["key"]).select("table", "op", "seq", "image"), "keyless")
+    if job.with_metrics:
+        save(batch_metrics(job, lines), "metrics")
     files.write(spark, f"{job.root}/commit/{run}-{batch_id}")
 
 
@@ -149,12 +174,11 @@ def batch_metrics(job: Job, lines: DataFrame) -> DataFrame:
     unusable (no key or image) and not selected."""
     rows, _ = cl.split_ddl(cl.parse_changes(lines, strict=False, keep=("value",)))
     image = images.image_of(F.col("op"), F.col("before"), F.col("after"))
-    rows = rows.withColumn("image", image)
-    name = F.lower("table")
-    selected = name.isin(*job.names()) & catalog.table_wanted(name, job.include, job.exclude)
+    rows = rows.withColumns({"image": image, "source": job.source_name()})
+    selected = F.col("source").isin(*job.names()) & job.selected()
     usable = (F.col("op") != "t") & job.key_text().isNotNull()
     status = F.when(~selected, "unselected").when(usable, "loaded").otherwise("filtered")
-    counted = rows.select(name.alias("table"), status.alias("status"), F.octet_length("value").alias("size"))
+    counted = rows.select(F.col("source").alias("table"), status.alias("status"), F.octet_length("value").alias("size"))
     return metrics.apply_metrics(counted, "table", "status", "size")
 
 
