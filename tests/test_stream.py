@@ -433,3 +433,26 @@ def test_partitioned_and_bucketed_target(spark):
     assert {str(r.part.date()) for r in auto_partition(days, "at", "month").collect()} == {"2024-01-01", "2024-02-01"}
     catalog.drop_table(spark, "lay.t")
     assert not catalog.table_exists(spark, "lay.t")
+
+
+def test_a_renamed_key_is_followed_by_all_its_names(spark, tmp_path, job):
+    one = lines_df(spark, change("c", 1, after={"id": 1, "v": 1.0}), change("c", 2, after={"id": 2, "v": 2.0}))
+    two = lines_df(
+        spark, ddl_line(3, "ALTER TABLE t CHANGE id uid BIGINT", "ALTER"),
+        change("u", 4, after={"uid": 1, "v": 10.0}), change("d", 5, before={"uid": 2, "v": 2.0}),
+    )
+    store.write_batch(job, one, 0)
+    with pytest.raises(Exception, match="without a key in table t"):
+        store.write_batch(job, two, 1)
+    again = store.Job(job.root, [store.Table("T", {"id|uid": "bigint"}, {"id": "bigint", "v": "double"})])
+    store.write_batch(again, two, 1)
+    df = store.current(spark, again, "t")
+    assert df.columns == ["uid", "v"] and rows(df) == [(1, 10.0)]
+
+
+def test_materialized_results_go_to_the_shared_folder(spark):
+    from tidelog.session import materialize
+
+    df = materialize(spark.range(5))
+    assert df.count() == 5
+    assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()

@@ -92,10 +92,11 @@ def apply_upserts(target: DataFrame, upserts: DataFrame, keys: list[str]) -> Dat
 
 
 def apply_changes(target: DataFrame, compacted: DataFrame, keys: list[str]) -> DataFrame:
-    """Upserts and deletes in one pass.
+    """Upserts and deletes together.
 
     The key sets are disjoint, so their order does not matter, and a single anti
-    join removes replaced and deleted rows alike.
+    join removes replaced and deleted rows alike. The change set is used twice:
+    materialize it if it is dear to compute.
     """
     kept = target.join(compacted.select(*keys), keys, "left_anti")
     return kept.unionByName(live(compacted).select(*target.columns))

@@ -31,7 +31,9 @@ def salted_lookup_join(
 ) -> DataFrame:
     """The same result with each key spread over ``salts`` partitions, for a
     dimension that is too large to broadcast and a key too hot for one task. The
-    dimension is repeated once per salt, so use it where AQE cannot split."""
+    dimension is repeated once per salt, so use it where AQE cannot split. The salt is
+    a hash of the whole row, which has to tell rows apart, as an event's number or a
+    change's log position does: copies of one row would stay together."""
     if how not in ("inner", "left"):
         raise ValueError(f"a salted lookup is inner or left, not {how}")
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)).cast("int")

@@ -8,7 +8,9 @@ from tidelog.functions import text as tx
 from tidelog.operators import barriers, compact as cp, ddl, images, metrics, routing
 from tidelog.plans import inputs as fx
 from tidelog.plans.registry import load, query
+from tidelog.session import materialize
 from tidelog.sources import changelog as cl, starts
+from tidelog.sources.scan import spread
 from tidelog.streaming import store
 
 # A user's last event, the independent form of last-change-wins.
@@ -91,7 +93,7 @@ def row_images(spark, sf_dir):
         op, F.lit("user_state"), F.col("event_id"),
         before=F.when((op != "c") & ~lost, old), after=F.when(op.isin("c", "u"), F.struct("user_id")),
     )
-    lines = load(spark, sf_dir, "events").select("event_id", value.alias("value"))
+    lines = spread(load(spark, sf_dir, "events")).select("event_id", value.alias("value"))
     rows = images.row_images(cl.parse_changes(lines, keep=("event_id",)))
     return rows.select("event_id", "op", images.field("image", "user_id", "bigint").alias("image_user_id"))
 
@@ -121,7 +123,11 @@ def replay_in_batches(spark, sf_dir):
 
 
 def _order_pending(spark, sf_dir):
-    return cp.replay(cl.parse_changes(fx.order_log(spark, sf_dir)), fx.ORDER_KEY)
+    """The orders log, compacted and decoded. It is used twice when it is applied,
+    so the log is parsed and shuffled once and the small result kept."""
+    pending = cp.replay(cl.parse_changes(fx.order_log(spark, sf_dir)), fx.ORDER_KEY)
+    values = {k: t for k, t in fx.ORDER_STATE.items() if k not in fx.ORDER_KEY}
+    return materialize(images.decode(pending, values, keep=("o_orderkey", "is_delete")))
 
 
 def _order_target(spark, sf_dir):
@@ -142,7 +148,7 @@ def apply_deletes(spark, sf_dir):
               WHEN o_orderkey % 3 = 0 AND o_orderkey % 7 <> 0 THEN o_totalprice + 1
               ELSE o_totalprice END AS o_totalprice FROM orders""")
 def apply_upserts(spark, sf_dir):
-    upserts = images.decode(cp.live(_order_pending(spark, sf_dir)), fx.ORDER_STATE)
+    upserts = cp.live(_order_pending(spark, sf_dir))
     return cp.apply_upserts(_order_target(spark, sf_dir), upserts, ["o_orderkey"]).select(*fx.ORDER_STATE)
 
 
@@ -154,9 +160,7 @@ def apply_upserts(spark, sf_dir):
   FROM orders WHERE NOT (o_orderkey % 7 = 0 AND o_orderkey % 21 <> 0)""")
 def apply_changes(spark, sf_dir):
     pending = _order_pending(spark, sf_dir)
-    decoded = images.decode(pending, {k: t for k, t in fx.ORDER_STATE.items() if k not in fx.ORDER_KEY},
-                            keep=("o_orderkey", "is_delete"))
-    return cp.apply_changes(_order_target(spark, sf_dir), decoded, ["o_orderkey"]).select(*fx.ORDER_STATE)
+    return cp.apply_changes(_order_target(spark, sf_dir), pending, ["o_orderkey"]).select(*fx.ORDER_STATE)
 
 
 @query("truncate_barrier", LAST_EVENT.format(
@@ -264,7 +268,7 @@ def default_fill(spark, sf_dir):
         F.when(F.col("event_id") % 3 == 0, F.col("props")).alias("props"),
     )
     value = fx.envelope(F.lit("c"), F.lit("user_state"), F.col("event_id"), after=image)
-    lines = load(spark, sf_dir, "events").select("event_id", value.alias("value"))
+    lines = spread(load(spark, sf_dir, "events")).select("event_id", value.alias("value"))
     rows = images.row_images(cl.parse_changes(lines, keep=("event_id",)))
     wanted = {"user_id": "bigint", "value": "double", "props": "string", "nickname": "string"}
     decoded = images.decode(rows, wanted, keep=("event_id",))
@@ -360,7 +364,7 @@ def evolved_state(spark, sf_dir):
         F.when(e > 200, e + 3_000_000_000).alias("n"),
         F.when(e > 600, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("c2"),
     )
-    rows = load(spark, sf_dir, "events").select(
+    rows = spread(load(spark, sf_dir, "events")).select(
         fx.envelope(F.lit("c"), F.lit("user_state"), e, after=image, pos=2 * (e % fx.LOG_SPAN)).alias("value")
     )
     lines = rows.union(fx.ddl_line(spark, EVOLUTION, "user_state"))

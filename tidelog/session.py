@@ -1,10 +1,10 @@
-"""Session settings the plans rely on, and the shared folder for checkpoints."""
+"""Session settings the plans rely on, and results kept in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # All date and time text is zone-free, so the session zone must not shift it.
 # AQE coalesces small shuffle partitions and splits the skewed ones of a join
@@ -34,15 +34,15 @@ def build_session(app: str = "tidelog", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
+def materialize(table: DataFrame) -> DataFrame:
+    """Compute a result once, into files every executor can reach, for a plan that
+    uses it more than once. It outlives the loss of executors.
 
-    Only where the cluster names none (tests on one machine) is a local folder
-    made and set.
+    The files go to the folder the cluster names in ``spark.checkpoint.dir``. Only
+    where it names none (tests on one machine) a local folder is made.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    local = tempfile.mkdtemp(prefix="tidelog-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    spark = table.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidelog-"))
+    return table.checkpoint()

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 from collections import defaultdict
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from urllib.parse import unquote
 
@@ -35,7 +35,9 @@ SOURCE_KEY = ["target_table", "table", "key"]
 @dataclass(frozen=True)
 class Table:
     """A registered source table (``db.table`` for a job over several databases):
-    key columns, and all columns, with their types as they were when the log began."""
+    key columns, and all columns, with their types as they were when the log began.
+
+    A key column that was renamed since is given with all its names, ``id|uid``."""
 
     name: str
     keys: dict[str, str]
@@ -69,7 +71,7 @@ class Job:
     def __post_init__(self):
         """Tables without a usable key cannot be kept up to date and are left out."""
         self.skipped = [t.name for t in self.tables if not self._keyed(t)]
-        self.tables = [t for t in self.tables if self._keyed(t)]
+        self.tables = [replace(t, name=t.name.lower()) for t in self.tables if self._keyed(t)]
 
     def _keyed(self, table: Table) -> bool:
         return len(table.keys) == 1 if self.strict_single_pk else len(table.keys) >= 1
@@ -108,7 +110,10 @@ class Job:
             kinds[tuple(t.keys.items())].append(t.name)
         out = F.lit(None).cast("array<string>")
         for keys, tables in kinds.items():
-            parts = [images.field(F.col(image), k, type_).cast("string") for k, type_ in keys]
+            parts = [
+                F.coalesce(*[images.field(F.col(image), name, type_) for name in k.split("|")]).cast("string")
+                for k, type_ in keys
+            ]
             whole = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
             out = F.when(F.col("source").isin(*tables) & whole, F.array(*parts)).otherwise(out)
         if not strict:
