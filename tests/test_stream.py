@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import compact as cp, images
 from tidelog.operators.lookup import CachedLookup, lookup_join
-from tidelog.plans import inputs as fx
+from tidelog.plans import inputs as fx, state  # noqa: F401  (state registers its queries)
 from tidelog.sources import changelog as cl
 from tidelog.streaming import apply as ap, sinks, store
 
@@ -384,6 +384,23 @@ def test_create_table_only_mode(spark):
     assert spark.table("made.ods_orders").count() == 0
 
 
+def test_snapshot_then_log(spark, sf, tmp_path):
+    """Snapshot of a table, then its log as a stream: the ``initial`` start."""
+    table = store.Table("orders", fx.ORDER_KEY, fx.ORDER_STATE)
+    job = store.Job(str(tmp_path / "store"), [table])
+    for _ in range(2):
+        store.load_snapshot(job, {"orders": fx.order_snapshot(spark, sf)}, "shop")
+    snapshot = store.current(spark, job, "orders")
+    assert rows(snapshot) == rows(fx.order_snapshot(spark, sf))
+    fx.order_log(spark, sf).write.text(str(tmp_path / "log"))
+    ap.start_apply(
+        job, cl.stream_lines(spark, str(tmp_path / "log")), str(tmp_path / "cp"), interval=None
+    ).awaitTermination()
+    from tidelog.plans.registry import QUERIES
+
+    assert rows(store.current(spark, job, "orders")) == rows(QUERIES["start_initial"](spark, sf).select(*fx.ORDER_STATE))
+
+
 def test_start_filters_apply_to_rows_and_ddl(spark, tmp_path, job):
     from tidelog.sources import starts
 

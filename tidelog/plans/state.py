@@ -284,7 +284,7 @@ def default_fill(spark, sf_dir):
               WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
   FROM orders WHERE NOT (o_orderkey % 7 = 0 AND o_orderkey % 21 <> 0)""")
 def start_initial(spark, sf_dir):
-    snapshot = cl.parse_changes(fx.order_snapshot(spark, sf_dir))
+    snapshot = starts.snapshot_changes(fx.order_snapshot(spark, sf_dir), "shop", "orders")
     log = cl.parse_changes(fx.order_log(spark, sf_dir))
     pending = cp.replay(starts.from_initial(snapshot, log), fx.ORDER_KEY)
     return images.decode(cp.live(pending), fx.ORDER_STATE)

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidelog.sources.changelog import SNAPSHOT_FILE
+from tidelog.sources.changelog import SNAPSHOT_FILE, sequence
 
 
 def from_earliest(changes: DataFrame) -> DataFrame:
@@ -18,6 +18,28 @@ def from_latest(changes: DataFrame) -> DataFrame:
     return changes.limit(0)
 
 
+def snapshot_changes(table: DataFrame, db: str, name: str, read_at_ms: int | None = None) -> DataFrame:
+    """Rows of a table as the ``r`` changes of its snapshot, in the form that parsed
+    log lines have. Their place in the log is before its first file."""
+    text = F.lit(None).cast("string")
+    nowhere = F.lit(0)
+    at = F.lit(read_at_ms).cast("bigint")
+    return table.select(
+        F.lit("r").alias("op"),
+        at.alias("ts_ms"),
+        F.lit(None).cast("variant").alias("before"),
+        F.to_variant_object(F.struct("*")).alias("after"),
+        F.lit(db).alias("db"),
+        text.alias("schema"),
+        F.lit(name).alias("table"),
+        text.alias("gtid"),
+        sequence(F.lit(SNAPSHOT_FILE), nowhere, nowhere).alias("seq"),
+        at.alias("source_ts_ms"),
+        text.alias("transaction"),
+        text.alias("history_record"),
+    )
+
+
 def from_initial(snapshot: DataFrame, log: DataFrame) -> DataFrame:
     """Snapshot rows, then the log. Snapshot rows sort before every log position."""
     first = snapshot.withColumn("seq", F.col("seq").withField("file_no", F.lit(SNAPSHOT_FILE).cast("bigint")))

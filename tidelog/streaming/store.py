@@ -21,8 +21,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidelog.operators import barriers, compact as cp, ddl, evolve, images, metrics, routing
-from tidelog.sources import catalog, changelog as cl
-from tidelog.sources.starts import from_earliest
+from tidelog.sources import catalog, changelog as cl, starts
 from tidelog.streaming import files
 
 SEQ = "struct<file_no: bigint, pos: bigint, row: int, step: int>"
@@ -66,7 +65,7 @@ class Job:
     with_metrics: bool = False
     # Where reading starts: a filter of parsed changes, as in ``sources.starts``. It
     # sees one batch at a time, so it must judge each change by itself.
-    start: Callable[[DataFrame], DataFrame] = from_earliest
+    start: Callable[[DataFrame], DataFrame] = starts.from_earliest
 
     def __post_init__(self):
         """Tables without a usable key cannot be kept up to date and are left out."""
@@ -146,32 +145,56 @@ def _keyed(job: Job, changes: DataFrame) -> DataFrame:
     )
 
 
-def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") -> None:
-    """Apply one batch of lines, unless it is committed already.
+def _save(job: Job, rows: DataFrame, part: str, run: str, batch_id: int, *by: str) -> None:
+    rows.write.mode("overwrite").partitionBy(*by).parquet(batch_path(job, part, run, batch_id))
 
-    All tables go out in one write; ``rebalance`` makes even files per table and
-    splits a table that is much larger than the rest. A strict job fails on
-    malformed lines and on changes without a key; otherwise both are kept aside.
-    """
-    spark = lines.sparkSession
-    if batch_id <= snapshot(spark, job).committed.get(run, -1):
-        return
 
-    def save(rows: DataFrame, part: str, *by: str) -> None:
-        rows.write.mode("overwrite").partitionBy(*by).parquet(batch_path(job, part, run, batch_id))
+def _save_changes(job: Job, keyed: DataFrame, run: str, batch_id: int) -> None:
+    """The compacted changes of all tables in one write; ``rebalance`` makes even files
+    per table and splits a table that is much larger than the rest."""
+    rows = cp.compact(keyed, SOURCE_KEY).hint("rebalance", "target_table")
+    _save(job, rows, "delta", run, batch_id, "target_table")
+
+
+def is_committed(spark: SparkSession, job: Job, run: str, batch_id: int) -> bool:
+    return batch_id <= snapshot(spark, job).committed.get(run, -1)
+
 
+def _commit(spark: SparkSession, job: Job, run: str, batch_id: int) -> None:
+    files.write(spark, f"{job.root}/commit/{run}-{batch_id}")
+
+
+def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") -> None:
+    """Apply one batch of lines, unless it is committed already. A strict job fails on
+    malformed lines and on changes without a key; otherwise both are kept aside."""
+    spark = lines.sparkSession
+    if is_committed(spark, job, run, batch_id):
+        return
     _, events = cl.split_ddl(job.start(cl.parse_changes(cl.ddl_lines(lines), strict=job.strict)))
-    save(_known(job, events).select(F.col("source").alias("table"), "seq", "history_record"), "ddl")
+    known = _known(job, events).select(F.col("source").alias("table"), "seq", "history_record")
+    _save(job, known, "ddl", run, batch_id)
 
     changes, _ = cl.split_ddl(job.start(cl.parse_changes(lines, strict=job.strict)))
     rows = _keyed(job, changes)
-    save(cp.compact(rows, SOURCE_KEY).hint("rebalance", "target_table"), "delta", "target_table")
+    _save_changes(job, rows, run, batch_id)
     if not job.strict:
-        save(cl.malformed_lines(lines), "bad")
-        save(cp.without_key(rows, ["key"]).select("table", "op", "seq", "image"), "keyless")
+        _save(job, cl.malformed_lines(lines), "bad", run, batch_id)
+        keyless = cp.without_key(rows, ["key"]).select("table", "op", "seq", "image")
+        _save(job, keyless, "keyless", run, batch_id)
     if job.with_metrics:
-        save(batch_metrics(job, lines), "metrics")
-    files.write(spark, f"{job.root}/commit/{run}-{batch_id}")
+        _save(job, batch_metrics(job, lines), "metrics", run, batch_id)
+    _commit(spark, job, run, batch_id)
+
+
+def load_snapshot(job: Job, tables: dict[str, DataFrame], db: str) -> None:
+    """Load the snapshots of source tables, before their log is applied (the start mode
+    ``initial``). Repeating it changes nothing."""
+    parts = [starts.snapshot_changes(table, db, name) for name, table in tables.items()]
+    changes = reduce(DataFrame.unionByName, parts)
+    spark = changes.sparkSession
+    if not is_committed(spark, job, "snapshot", 0):
+        _save_changes(job, _keyed(job, changes), "snapshot", 0)
+        _commit(spark, job, "snapshot", 0)
 
 
 def batch_metrics(job: Job, lines: DataFrame) -> DataFrame:
