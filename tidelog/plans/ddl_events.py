@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import ddl, evolve
 from tidelog.plans import inputs as fx
-from tidelog.plans.registry import load, query
+from tidelog.plans.registry import query
 from tidelog.sources import changelog as cl
 
 def number():

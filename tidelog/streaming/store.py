@@ -130,9 +130,8 @@ def batch_path(job: Job, part: str, run: str, batch_id: int) -> str:
 
 def _known(job: Job, changes: DataFrame) -> DataFrame:
     """Wanted changes of registered tables, with their registered ``source`` name."""
-    return changes.withColumn("source", job.source_name()).filter(
-        job.selected() & F.col("source").isin(*job.names())
-    )
+    named = changes.filter(job.selected()).withColumn("source", job.source_name())
+    return routing.listened(named, job.names(), by="source")
 
 
 def _keyed(job: Job, changes: DataFrame) -> DataFrame:
