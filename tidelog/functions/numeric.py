@@ -44,28 +44,6 @@ def ipv4_text(number: Column) -> Column:
     return F.when(number.isNotNull(), F.concat_ws(".", *parts))
 
 
-def _ipv6(text: str | None, strict_compat: bool) -> str | None:
-    if text is None or ":" in text:
-        return text
-    value = int(text)
-    high, low = value >> 64, value & (2**64 - 1)
-    dotted = str(ipaddress.IPv4Address(low & 0xFFFFFFFF))
-    if high == 0 and low >> 32 == 0xFFFF:
-        return "::ffff:" + dotted
-    # As the source system has it: bit 16 set, and the low half read as a signed
-    # number is at most 2^32-1, which lets halves from 2^63 on through.
-    signed = low - 2**64 if low >= 2**63 else low
-    limit = signed if strict_compat else low
-    if high == 0 and limit <= 0xFFFFFFFF and low & 0x10000:
-        return "::" + dotted
-    groups = [f"{(value >> shift) & 0xFFFF:x}" for shift in range(112, -1, -16)]
-    runs = [(len_, -at) for at in range(8) for len_ in range(2, 9 - at) if set(groups[at : at + len_]) == {"0"}]
-    if not runs:
-        return ":".join(groups)
-    size, at = max(runs)
-    return ":".join(groups[:-at]) + "::" + ":".join(groups[-at + size :])
-
-
 def ipv6_text(value: Column, strict_compat: bool = True) -> Column:
     """128-bit decimal text to address text. Text with ``:`` passes through.
 
@@ -73,8 +51,30 @@ def ipv6_text(value: Column, strict_compat: bool = True) -> Column:
     than DECIMAL holds. It runs on Arrow batches.
     """
 
+    # Nested, so that it travels with the plan and workers need no copy of the package.
+    def address(text: str) -> str:
+        if ":" in text:
+            return text
+        value = int(text)
+        high, low = value >> 64, value & (2**64 - 1)
+        dotted = str(ipaddress.IPv4Address(low & 0xFFFFFFFF))
+        if high == 0 and low >> 32 == 0xFFFF:
+            return "::ffff:" + dotted
+        # As the source system has it: bit 16 set, and the low half read as a signed
+        # number is at most 2^32-1, which lets halves from 2^63 on through.
+        signed = low - 2**64 if low >= 2**63 else low
+        limit = signed if strict_compat else low
+        if high == 0 and limit <= 0xFFFFFFFF and low & 0x10000:
+            return "::" + dotted
+        groups = [f"{(value >> shift) & 0xFFFF:x}" for shift in range(112, -1, -16)]
+        runs = [(n, -at) for at in range(8) for n in range(2, 9 - at) if set(groups[at : at + n]) == {"0"}]
+        if not runs:
+            return ":".join(groups)
+        size, at = max(runs)
+        return ":".join(groups[:-at]) + "::" + ":".join(groups[-at + size :])
+
     @F.pandas_udf("string")
     def convert(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _ipv6(t, strict_compat), na_action="ignore")
+        return texts.map(address, na_action="ignore")
 
     return convert(value)
