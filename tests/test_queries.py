@@ -6,8 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tests.compare import connect, mismatch
-
-ORACLES = driver.oracle_sql()
+from tidelog.plans.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +14,7 @@ def con(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_its_sql(spark, sf, con, name):
     assert name in ORACLES
     assert mismatch(driver.queries()[name](spark, sf), ORACLES[name], con) is None
