@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import packing, simhash
+from tidelog.llm import lattice, packing, simhash
 from tidelog.llm.registry import load, query
 
 
@@ -18,3 +18,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op1_subword_lattice")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return lattice.score(load(spark, sf_dir, "documents"), held)
