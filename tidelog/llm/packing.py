@@ -14,6 +14,8 @@ each on their own. An empty table gives no pieces. Other columns are left out.
 
 from __future__ import annotations
 
+import gc
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,32 +31,90 @@ WINDOW = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 MAX_OPEN = 1024  # open windows a task keeps, at most; beyond, they are filled up from each other
-CACHE_WORDS = 400_000  # of the map from a word to its ids, which starts anew when full
+ENDS = ".,;:!?#*$%&|"  # punctuation that stands at the end of words
+CACHE_WORDS = 800_000  # of the map from a word to its ids, which starts anew when full
+
+
+class _Words(dict):
+    """Ids of words, made at the first look at each and kept until there are too many."""
+
+    def __init__(self, encoder: Encoder):
+        super().__init__()
+        self._encoder, self._cores, self._ends = encoder, {}, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) > CACHE_WORDS:
+            self.clear()
+            self._cores.clear()
+            self._ends.clear()
+        encoder = self._encoder
+        core = word.rstrip(ENDS)
+        if not (core.isalpha() and encoder.by_letters):
+            made = encoder.whole(word)
+        else:
+            if core.isascii():
+                core, plain = core.lower(), True
+            else:
+                plain = core == core.lower() and unicodedata.is_normalized("NFC", core)
+            if plain:
+                made = self._cores.get(core)
+                if made is None:
+                    self._cores[core] = made = encoder.letters(core)
+                if len(core) < len(word):
+                    end = word[len(core):]
+                    tail = self._ends.get(end)
+                    if tail is None:
+                        self._ends[end] = tail = encoder.whole(end)
+                    made += tail
+            else:
+                made = encoder.whole(word)
+        self[word] = made
+        return made
 
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes.
 
-    The vocabulary never joins what white space separates, so the ids of a text are those of its
-    words one after another; each word is encoded once and then looked up.
+    A vocabulary that drops white space never joins what white space separates: the ids of a text
+    are those of its words, one after another, and each word is encoded once and then looked up.
+    One that also cuts letters from punctuation is asked for the letters alone, past its
+    normalization, which leaves letters as they are. Samples tell which kind a file is; texts for
+    any other are encoded whole.
     """
 
-    def __init__(self, file: str):
-        from tokenizers import Tokenizer
+    # Words that tell the kinds of vocabularies apart.
+    SAMPLES = ("the", "Thand", "été", "Ünd", "ser,", "x1", "don't", "a.b", "ñandú!!", "ßtz?", "5%", "###", "it...", "Zu&&&")
 
-        self._tokenizer, self._ids = Tokenizer.from_file(file), {}
+    def __init__(self, file: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self._tokenizer = Tokenizer.from_file(file)
+        self._model = self._tokenizer.model
+        self._bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self._spelt: dict[int, str] = {}  # code points beyond ASCII as the vocabulary spells them
+        joined = "  ".join(self.SAMPLES) + " \n" + " ".join(self.SAMPLES)
+        self.by_word = self.whole(joined) == b"".join(self.whole(w) for w in self.SAMPLES) * 2
+        self.by_letters = self.by_word
+        self.by_letters = self.by_word and all(_Words(self)[w] == self.whole(w) for w in self.SAMPLES)
+        self._words = _Words(self)
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def letters(self, core: str) -> bytes:
+        """Ids of a run of letters."""
+        if not core.isascii():
+            for c in core:
+                if not c.isascii() and ord(c) not in self._spelt:
+                    self._spelt[ord(c)] = self._bytes_of(c)[0][0]
+            core = core.translate(self._spelt)
+        return array("I", [t.id for t in self._model.tokenize(core)]).tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self._ids) > CACHE_WORDS:
-            self._ids = {}
-        missing = list(set().union(*split) - self._ids.keys())
-        for at in range(0, len(missing), 8192):
-            part = missing[at:at + 8192]
-            for word, encoded in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self._ids[word] = array("I", encoded.ids).tobytes()
-        look = self._ids.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        if not self.by_word:
+            return [self.whole(t) for t in texts]
+        look = self._words.__getitem__
+        return [b"".join(map(look, t.replace("\n", " ").split(" "))) for t in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -129,7 +189,7 @@ class Windows:
         self.count[:] = 0
         window, room = [], self.length
         for key, start, ids, tokens in waiting:
-            while ids:
+            while len(ids):
                 part, ids = ids[:4 * room], ids[4 * room:]
                 window.append((key, start, part, tokens))
                 start, room = start + len(part) // 4, room - len(part) // 4
@@ -180,6 +240,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             out.clear()
             return made
 
+        gc.disable()  # the maps below have no cycles, and walking through them costs a tenth of the time
         for batch in batches:
             kind = batch.column(0).type
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
@@ -192,6 +253,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
                         note(windows.put((k, start, ids[4 * start:4 * (start + window)], tokens)))
                 if len(out) > 4096:
                     yield flush()
+        gc.enable()
         if kind is not None:
             note(windows.finish())
             yield flush()
