@@ -42,18 +42,19 @@ ROLES = (
     "alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation",
     "search", "toolbar",
 )
-# A part whose class or id has one of these words is cut out, unless it also has one of GOOD.
+# A part whose class or id has one of these words is cut out. One of GOOD speaks for a part.
 BAD = (
-    "ad", "ads", "adbox", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "byline",
-    "comment", "comments", "commentlist", "consent", "cookie", "cookies", "copyright", "discussion", "disqus", "foot", "footer",
+    "ad", "ads", "adbox", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs",
+    "comment", "comments", "commentlist", "consent", "cookie", "cookies", "copyright", "disqus", "foot", "footer",
     "form", "gdpr", "header", "login", "masthead", "menu", "menus", "modal", "nav", "navbar", "navigation", "newsletter",
     "notice", "notices", "notification", "overlay", "pager", "pagination", "popup", "privacy", "promo", "promoted", "promotion",
-    "promotions", "recommended", "related", "replies", "reply", "respond", "share", "sharing", "shoutbox", "sidebar", "sidebars",
-    "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "tags", "teaser", "toc", "toolbar", "topbar", "warning",
-    "widget", "widgets",
+    "promotions", "recommended", "related", "replies", "share", "sharing", "shoutbox", "sidebar", "sidebars", "signup", "social", "sponsor",
+    "sponsored", "subscribe", "teaser", "toolbar", "topbar", "widget", "widgets",
 )
 GOOD = ("article", "body", "content", "entry", "main", "maincontent", "page", "post", "story", "text")
 
+ANCESTORS = 6  # how far up a paragraph's points are passed
+
 _RAW, _VOID, _BLOCK, _NEVER, _ROLES = map(frozenset, (RAW, VOID, BLOCK, NEVER, ROLES))
 _BAD, _GOOD = frozenset(BAD), frozenset(GOOD)
 # An open tag that ends another one of its kind which is still open, up to the container that shields it.
@@ -96,7 +97,10 @@ def _unwanted(tag: str, attributes: str) -> tuple[bool, int]:
             return True, 0
         if name in ("class", "id"):
             names = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", value))}
-            if names & _BAD and tag not in ("html", "body", "article", "main") and not (name == "class" and names & {"article", "content", "main"}):
+            bad = names & _BAD
+            if bad == {"header"} and names & _GOOD:
+                bad = None  # an article's own head
+            if bad and tag not in ("html", "body", "article", "main"):
                 return True, 0
             hint |= bool(names & _GOOD)
     return False, hint
@@ -168,9 +172,9 @@ def parse(page: str) -> Node:
             if not attributes.endswith("/"):
                 skipped.append(tag)
             continue
-        if tag in _BLOCK:  # a block ends an open paragraph
+        if tag in _BLOCK:  # a block ends an open paragraph, which no other block can be inside of
             node = here
-            while node is not root and node.tag not in ("p", "td", "th", "caption", "button", "object"):
+            while node is not root and node.tag not in _BLOCK:
                 node = node.parent
             if node.tag == "p":
                 here = node.parent
@@ -195,6 +199,7 @@ def _blocks(node: Node) -> list[str]:
     """The text of the blocks of a part in page order, white space as single spaces."""
     out: list[str] = []
     run: list[str] = []
+    is_block = [False]  # of the elements on the stack
 
     def close():
         if run:
@@ -208,7 +213,7 @@ def _blocks(node: Node) -> list[str]:
         item = next(stack[-1], None)
         if item is None:
             stack.pop()
-            if stack and ends[len(stack)]:
+            if is_block.pop():
                 close()
             continue
         if isinstance(item, str):
@@ -220,9 +225,7 @@ def _blocks(node: Node) -> list[str]:
             if block:
                 close()
             stack.append(iter(item.items))
-            if len(stack) == 2:
-                ends = {}
-            ends[len(stack) - 1] = block
+            is_block.append(block)
     close()
     return out
 
@@ -274,10 +277,12 @@ def extract(page: str | None) -> str:
         if len(text) < 20:
             continue
         points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - _density(node))
-        up, level = node.parent or node, 1
-        while up is not None:
+        up = node.parent or node
+        for level in range(1, ANCESTORS + 1):
             up.points += points / level
-            up, level = up.parent, level + 1
+            up = up.parent
+            if up is None:
+                break
     best, most = root, 0.0
     for node in order:
         if node.tag in ("article", "main"):

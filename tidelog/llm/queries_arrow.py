@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import lattice, packing, simhash
+from tidelog.llm import html_tree, lattice, packing, simhash
 from tidelog.llm.registry import load, query
 
 
@@ -24,3 +24,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
     return lattice.score(load(spark, sf_dir, "documents"), held)
+
+
+@query("op5_tree_scoring")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_tree.main_text(pages).select("page_id", "url", "text", "n_chars")
