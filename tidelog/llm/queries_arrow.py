@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import html_tree, lattice, packing, simhash
+from tidelog.llm import cross_polytope, html_tree, lattice, packing, sentence_spans, simhash
 from tidelog.llm.registry import load, query
 
 
@@ -30,3 +30,15 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_tree.main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@query("op6_cross_polytope")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    return cross_polytope.search(rows, rows.where(F.col("vec_id") % 20 == 0))
+
+
+@query("op10_sentence_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_spans.dedup(docs)
