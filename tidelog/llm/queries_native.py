@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import mixing, quality, sharding
+from tidelog.llm import mixing, pii, quality, sharding
 from tidelog.llm.common import materialize, text_of, words
 from tidelog.llm.registry import load, query
 
@@ -57,3 +57,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.when(F.col("taken") > 0, mixing.time_of(
         F.least(F.lit(1.0), (F.col("place") + F.least("size", "taken") / 2) / F.col("target")), F.col("rank")))
     return planned.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position"))
+
+
+@query("op4_bootstrapped_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(load(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.listed(F.col("spans")).alias("spans"))
