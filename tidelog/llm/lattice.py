@@ -37,7 +37,7 @@ ROUNDS = 2
 SMOOTHING = 0.1
 DISCOUNT = 0.7
 ADAPT = 0.2
-FREQUENT = 65536
+FREQUENT = 1 << 18
 HELD_WORDS = 300_000  # of the counts a task holds before it hands them on
 MARK = "▁".encode()
 LN10 = math.log(10)
@@ -240,10 +240,17 @@ def score_words(counts: DataFrame, pieces: Pieces) -> DataFrame:
 
 
 def _threshold(counts: DataFrame, most: int) -> int:
-    """The least power of two such that at most ``most`` words are as frequent."""
-    steps = [1 << k for k in range(62)]
-    row = counts.agg(*[F.sum((F.col("n") >= s).cast("long")).alias(str(s)) for s in steps]).first()
-    return next((s for s in steps if (row[str(s)] or 0) <= most), steps[-1])
+    """The least of some counts, a tenth apart, such that at most ``most`` words are as frequent."""
+    step = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(1.1)))
+    rows = counts.where("n > 0").groupBy(step.alias("step")).agg(
+        F.count(F.lit(1)).alias("words"), F.min("n").alias("least")).collect()  # some hundred rows at most
+    total, least = 0, 1 << 62
+    for row in sorted(rows, key=lambda r: -r["step"]):
+        total += row["words"]
+        if total > most:
+            break
+        least = row["least"]
+    return least
 
 
 class Model:
