@@ -34,15 +34,29 @@ def build_session(app: str = "tidelog", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach, which the cluster names in ``spark.checkpoint.dir``.
+
+    Where none is named, one is made on this machine, which only a local session can use.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
+    made = tempfile.mkdtemp(prefix="tidelog-")
+    spark.sparkContext.setCheckpointDir(made)
+    return made
+
+
 def materialize(table: DataFrame) -> DataFrame:
     """Compute a result once, into files every executor can reach, for a plan that
     uses it more than once. It outlives the loss of executors.
 
-    The files go to the folder the cluster names in ``spark.checkpoint.dir``. Only
-    where it names none (tests on one machine) a local folder is made.
+    The files go to the shared folder. They last as long as the session refers to them where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
-    spark = table.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidelog-"))
+    context = table.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(table.sparkSession))
     return table.checkpoint()
