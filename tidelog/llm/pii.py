@@ -229,7 +229,7 @@ def listed(spans: Column) -> Column:
 def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` with every span replaced by its kind in brackets; a column ``n_chars`` is
     brought up to date. Overlapping spans become one, of the first one's kind."""
-    mine = ("__key", "__spans")
+    mine = ("__key", "__spans", "__clean")
     row = F.struct(F.col(key).alias("key"), F.xxhash64(text).alias("text"))
     found = detect(docs, key, text, **how).where(F.size("spans") > 0)
     found = found.select(F.col("__key").alias("__found"), F.col("spans").alias("__spans")).dropDuplicates(["__found"])
@@ -248,6 +248,7 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> D
     cut = F.aggregate("__spans", start, step, lambda s: F.concat(
         F.array_join(s["out"], ""), F.substring(F.col(text), s["at"] + 1, F.length(text) - s["at"])))
     clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(cut)
-    columns = [clean.alias(c) if c == text else F.length(clean).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`")
-               for c in docs.columns if c.lower() not in mine]
+    rows = rows.select(*columns_but(docs, *mine, text), clean.alias("__clean"))
+    columns = [F.col("__clean").alias(c) if c == text else F.length("__clean").cast("long").alias(c) if c == "n_chars"
+               else F.col(f"`{c}`") for c in docs.columns if c.lower() not in mine]
     return rows.select(*columns)
