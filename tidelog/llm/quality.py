@@ -97,12 +97,13 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     def per(top: str, below: str) -> Column:
         return F.when(F.col(below) > 0, F.col(top) / F.col(below)).otherwise(F.lit(0.0))
 
-    return counted.select(
-        *keep, *MEASURES, per("word_chars", "n_words").alias("mean_word"),
+    # Put out by a generator, so that no later filter on a measure is moved below to compute it again.
+    return counted.select(*keep, F.inline(F.array(F.struct(
+        *MEASURES, per("word_chars", "n_words").alias("mean_word"),
         per("n_symbols", "n_words").alias("symbol_ratio"), per("__shouts", "n_words").alias("shout_ratio"),
         per("n_dup_lines", "__lines").alias("dup_line_ratio"), per("n_repeat_words", "n_words").alias("repeat_ratio"),
         "n_stop_words",
-    )
+    ))))
 
 
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, base: tuple[Rule, ...] = BASE) -> DataFrame:
