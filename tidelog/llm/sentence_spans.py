@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import columns_but
+from tidelog.llm.common import columns_but, materialize
 
 SENTENCES = 3
 WORDS = 20
@@ -64,7 +64,7 @@ def runs(text: str, least: int = SENTENCES, words: int = WORDS, long: int = LONG
 def repeated(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
     """(key, hash of the text, first, last): the runs of each text that are not the first of their kind."""
     rows = docs.where(F.col(text).isNotNull()).select(
-        F.col(key).alias("key"), F.xxhash64(text).alias("row"), F.col(text).alias("text")) 
+        F.col(key).alias("key"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -93,7 +93,8 @@ def repeated(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
     spans = rows.mapInArrow(run, f"key {kind}, row bigint, h1 bigint, h2 bigint, first int, last int")
     place = F.struct(F.col("key").isNull().alias("no_key"), "key", "row", "first")
     firsts = spans.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.max(place).alias("end"))
-    firsts = firsts.where("place <> end").select("h1", "h2", "place")
+    # Written out, so that the join deals both sides anew and Spark can split its hot keys.
+    firsts = materialize(firsts.where("place <> end").select("h1", "h2", "place"))
     return spans.join(firsts, ["h1", "h2"]).where(place != F.col("place")).select("key", "row", "first", "last")
 
 
