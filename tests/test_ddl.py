@@ -59,16 +59,16 @@ def test_definitions(spark):
         " ADD c DATETIME(3) DEFAULT CURRENT_TIMESTAMP(3) ON UPDATE CURRENT_TIMESTAMP(3), ADD d VARCHAR(9) DEFAULT COMMENT 'z',"
         " ADD e BIGINT DEFAULT -1 AFTER d, ADD f GEOMETRY, ADD `g` ENUM('a)', 'b,') DEFAULT 'a)'",
     ) == [
-        ("a", "INTEGER", "5", "it's"), ("b", "DOUBLE", "NULL", None), ("c", "TIMESTAMP(3)", "CURRENT_TIMESTAMP(3)", None),
+        ("a", "INTEGER", "5", "it's"), ("b", "DOUBLE", None, None), ("c", "TIMESTAMP(3)", "CURRENT_TIMESTAMP", None),
         ("d", "VARCHAR(9)", None, "z"), ("e", "BIGINT", "-1", None), ("f", None, None, None),
         ("g", "VARCHAR", "a)", None),
     ]
 
 
-def test_time_defaults_need_a_datetime_target(values):
+def test_time_defaults_need_a_time_target(values):
     rows = [("DATETIME", "now()"), ("DATETIMEV2(3)", "SysDate"), ("TIMESTAMP(3)", "NOW()"), ("DATETIME", "x"), ("DATETIME", None)]
     assert values("t string, d string", rows, ddl.default_value(F.col("t"), F.col("d"))) == [
-        "CURRENT_TIMESTAMP", "CURRENT_TIMESTAMP", "NOW()", "x", None]
+        "CURRENT_TIMESTAMP", "CURRENT_TIMESTAMP", "CURRENT_TIMESTAMP", "x", None]
 
 
 def test_create_table(spark):
@@ -92,15 +92,35 @@ def test_event_kind(values):
         "ALTER", "CREATE", "TRUNCATE", "SKIPPED", "SKIPPED", "SKIPPED"]
 
 
-def test_older_patterns(spark):
+def test_first_operation_and_renames(spark):
     df = spark.createDataFrame([
-        ("ALTER TABLE t ADD COLUMN a varchar(10) NULL",), ("alter table t drop b",), ("ALTER TABLE `t` CHANGE column `a` `b` int",),
-        ("ALTER TABLE t RENAME COLUMN x TO y",),
+        ("ALTER TABLE t ADD COLUMN a varchar(10) NULL, ADD z INT",), ("alter table t drop b",), ("ALTER TABLE `t` CHANGE column `a` `b` int",),
+        ("ALTER TABLE t RENAME COLUMN x TO y",), ("ALTER TABLE t ADD INDEX i (a)",),
     ], "ddl string")
-    got = df.select(*[c.alias(n) for n, c in {**ddl.add_drop(F.col("ddl")), **ddl.renamed(F.col("ddl"))}.items()]).collect()
-    assert [tuple(r) for r in got] == [
-        ("ADD", "a", "varchar(10)", None, None), ("DROP", "b", None, None, None), (None, None, None, "a", "b"),
-        (None, None, None, "x", "y")]
+    got = sorted(tuple(r)[1:] for r in ddl.first_operation(df).collect())
+    assert got == [("ADD", "a", "varchar(10)"), ("DROP", "b", None)]
+    assert sorted(tuple(r)[1:] for r in ddl.renamed(df).collect()) == [("a", "b"), ("x", "y")]
+
+
+def test_comments_conditions_and_nesting(spark):
+    assert columns(
+        spark, "/* note, ( */ -- more\n ALTER TABLE `d`.`t` ADD COLUMN IF NOT EXISTS a INT /* in, */ DEFAULT 1,"
+        " ADD b VARCHAR(10) DEFAULT (concat(lower(left('ab',1)),'x')) COMMENT 'c', ADD c BIT(1) DEFAULT b'0', # end\n ADD `d e` TIMESTAMP(3) DEFAULT now(3)"
+    ) == [("a", "INTEGER", "1", None), ("b", "VARCHAR(10)", "(concat(lower(left('ab',1)),'x'))", "c"), ("c", "BOOLEAN", "0", None),
+          ("d e", "TIMESTAMP(3)", "CURRENT_TIMESTAMP", None)]
+
+
+def test_texts_of_any_size(spark):
+    many = ", ".join(f"`c{i}` DECIMAL(10,{i % 9}) DEFAULT '{i}' COMMENT 'no, ({i}'" for i in range(1000))
+    df = spark.createDataFrame([(f"CREATE TABLE t ({many}, PRIMARY KEY (`c7`))",)], "ddl string")
+    got = ddl.create_columns(df).orderBy("ordinal").collect()
+    assert len(got) == 1000 and [r.column_name for r in got if r.is_key] == ["c7"]
+    assert (got[999].target_type, got[999].default_value, got[999].comment) == ("DECIMAL(10, 0)", "999", "no, (999")
+    long_enum = ",".join(f"'v{i},('" for i in range(4000))
+    assert columns(spark, f"ALTER TABLE t ADD e ENUM({long_enum}) COMMENT '{'x' * 60000}', ADD f INT") == [
+        ("e", "VARCHAR", None, "x" * 60000), ("f", "INTEGER", None, None)]
+    deep = "(" * 3000 + "1" + ")" * 3000
+    assert columns(spark, f"ALTER TABLE t ADD e INT DEFAULT {deep}, ADD f INT")[0][2] == deep
 
 
 def step(version, operation, name, **more):

@@ -20,54 +20,135 @@ HISTORY = """
       defaultValueExpression: string, comment: string>>>>>
 """
 
-# Building blocks: a quoted text, a parenthesis up to two levels deep, a name.
-QUOTED = r"(?:'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.|\"\")*\"|`[^`]*`)"
-PLAIN = r"[^()'\"`]"
-PARENS = rf"\((?:{PLAIN}|{QUOTED}|\((?:{PLAIN}|{QUOTED})*\))*\)"
+# A statement is read as tokens: quoted texts, comments, white space, brackets, commas, and runs of
+# anything else. Every repetition is possessive, so a text of any length is read without recursion.
+TOKEN = (
+    r"(?s)'(?:[^'\\]++|\\.|'')*+'|\"(?:[^\"\\]++|\\.|\"\")*+\"|`(?:[^`]++|``)*+`"
+    r"|/\*(?:[^*]++|\*(?!/))*+\*/|(?:--(?=\s|$)|#)[^\n]*+|\s++|[(),;]|[^\s(),;'\"`/#-]++|."
+)
+BLANK = r"(?s)^(?:\s|/\*|--(?:\s|$)|#)"
 NAME = r"[`\"]?([\w$]+)[`\"]?"
-# A piece between top-level commas, and one word of a column definition.
-PIECE = rf"((?:[^,()'\"`]|{PARENS}|{QUOTED})+)"
-WORD = rf"({QUOTED}|(?:[^\s()'\"`]|{PARENS})+)"
-
-ALTER_HEAD = r"(?is)^\s*ALTER\s+TABLE\s+\S+\s+"
-CLAUSE = rf"(?is)^\s*(ADD|DROP|CHANGE|MODIFY|RENAME)\s+(COLUMN\s+)?{NAME}(?:\s+(?:TO\s+)?(.*))?$"
-ADD_LIST = rf"(?is)^\s*ADD\s+(?:COLUMN\s+)?\((.*)\)\s*$"
-DEFINITION = rf"(?is)^\s*{NAME}\s+(\w+)\s*({PARENS})?\s*(.*)$"
-CREATE = rf"(?is)^\s*CREATE\s+TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?\S+?\s*({PARENS})(.*)$"
-INDEX_ITEM = r"(?is)^\s*(?:CONSTRAINT\s+(?:[`\"]?\w+[`\"]?\s+)?)?(PRIMARY|UNIQUE|KEY|INDEX|FULLTEXT|SPATIAL|FOREIGN|CHECK)\b"
-KEY_COLUMNS = r"(?is)^\s*(?:CONSTRAINT\s+(?:[`\"]?\w+[`\"]?\s+)?)?(?:PRIMARY\s+KEY|UNIQUE)[^(]*\(([^)]*)\)"
-TABLE_COMMENT = rf"(?is)\bCOMMENT\s*=?\s*({QUOTED})"
+_PART = r"(?:`[^`]++`|\"[^\"]++\"|[^\s.`\"(]++)"
+ALTER_HEAD = rf"(?is)^ALTER\s+(?:(?:ONLINE|IGNORE)\s+)?TABLE\s+(?:IF\s+EXISTS\s+)?{_PART}(?:\s*\.\s*{_PART})?\s*"
+ADD_LIST = r"(?is)^ADD\s*(?:COLUMN\s*)?\("
 
 # Words after ADD, DROP or RENAME that begin no column.
 NOT_COLUMNS = (
     "INDEX", "KEY", "CONSTRAINT", "PRIMARY", "UNIQUE", "FULLTEXT", "SPATIAL",
     "FOREIGN", "CHECK", "PARTITION", "TO", "AS",
 )
+# First words of an item of CREATE TABLE that is no column.
+INDEX_ITEMS = ("CONSTRAINT", "PRIMARY", "UNIQUE", "KEY", "INDEX", "FULLTEXT", "SPATIAL", "FOREIGN", "CHECK")
 # Words that belong to the type, and defaults meaning "now".
 TYPE_MODIFIERS = ("UNSIGNED", "ZEROFILL", "PRECISION")
 NOW_DEFAULTS = (
-    "SYSDATE", "SYSTIMESTAMP", "CURRENT_TIMESTAMP", "NOW()", "CURRENT TIMESTAMP", "GETDATE()",
+    "SYSDATE", "SYSTIMESTAMP", "CURRENT_TIMESTAMP", "NOW", "CURRENT TIMESTAMP", "GETDATE", "LOCALTIME", "LOCALTIMESTAMP",
 )
 CURRENT_TIMESTAMP = "CURRENT_TIMESTAMP"
 
-# The older patterns for one ADD/DROP, and for a rename.
-ADD_DROP = r"(?i)ALTER\s+TABLE\s+[^\s]+\s+(ADD|DROP)\s+(COLUMN\s+)?([^\s]+)(\s+([^\s]+))?.*"
-RENAME = (
-    r"(?i)ALTER\s+TABLE\s+\w+\s+(RENAME\s+COLUMN\s+(\w+)\s+TO\s+(\w+)"
-    r"|CHANGE\s+(?:column\s+)?(\w+)\s+(\w+)\s+(\w+))"
-)
 # Fixed value: how a captured default writes "now".
 EPOCH_DEFAULT = "1970-01-01 00:00:00"
 
 
-def _group(text: Column, pattern: str, n: int) -> Column:
-    """Group of the first match, NULL where it is absent or empty."""
-    found = F.regexp_extract(text, pattern, n)
-    return F.when(found != "", found)
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
+def _text(tokens: Column | str, begin: Column, end: Column) -> Column:
+    """Tokens begin..end (the end is left out) as text, comments as blanks."""
+    part = F.slice(tokens, begin + 1, F.greatest(end - begin, F.lit(0)))
+    return F.trim(F.array_join(F.transform(part, lambda t: F.when(t.rlike(BLANK), " ").otherwise(t)), ""))
+
+
+def _spans() -> Column:
+    return F.expr("cast(array() as array<struct<begin: int, end: int>>)")
+
+
+def _cut_at_commas(tokens: Column) -> Column:
+    """(begin, end) of the pieces between commas outside of brackets. What is kept from token to
+    token is a depth and a place; the list grows by piece."""
+    def step(s, k):
+        t = F.get(tokens, k)
+        cut = t.isin(",", ";") & (s["depth"] == 0)
+        depth = s["depth"] + F.when(t == "(", 1).when(t == ")", -1).otherwise(0)
+        return F.struct(
+            F.greatest(depth, F.lit(0)).alias("depth"), F.when(cut, k + 1).otherwise(s["begin"]).alias("begin"),
+            F.when(cut, F.concat(s["out"], F.array(F.struct(s["begin"].alias("begin"), k.alias("end")))))
+            .otherwise(s["out"]).alias("out"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("begin"), _spans().alias("out"))
+    last = F.size(tokens)
+    return F.aggregate(
+        F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))), start, step,
+        lambda s: F.concat(s["out"], F.array(F.struct(s["begin"].alias("begin"), last.alias("end")))))
+
+
+def _cut_to_units(tokens: Column) -> Column:
+    """(begin, end) of the units of a piece: a bracket with all it holds, or tokens that touch."""
+    def step(s, k):
+        t = F.get(tokens, k)
+        outside, open_, close = s["depth"] == 0, t == "(", t == ")"
+        depth = F.greatest(s["depth"] + F.when(open_, 1).when(close, -1).otherwise(0), F.lit(0))
+        blank = t.rlike(BLANK)
+        ends = outside & (open_ | blank) & (s["begin"] >= 0)
+        closes = close & (s["depth"] == 1)
+        done = F.when(ends, F.array(F.struct(s["begin"].alias("begin"), k.alias("end")))).when(
+            closes, F.array(F.struct(s["begin"].alias("begin"), (k + 1).alias("end")))).otherwise(_spans())
+        begin = F.when(outside & open_, k).when(outside & blank, -1).when(closes, -1).when(
+            outside & (s["begin"] < 0), k).otherwise(s["begin"])
+        return F.struct(depth.alias("depth"), begin.alias("begin"), F.concat(s["out"], done).alias("out"))
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(-1).alias("begin"), _spans().alias("out"))
+    last = F.size(tokens)
+    return F.aggregate(
+        F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))), start, step,
+        lambda s: F.when(s["begin"] >= 0, F.concat(s["out"], F.array(F.struct(
+            s["begin"].alias("begin"), last.alias("end"))))).otherwise(s["out"]))
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Columns put out by a generator: worked out once a row, whatever is asked of them later."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def _with_pieces(rows: DataFrame, text: Column, name: str) -> DataFrame:
+    """An array ``name`` of the texts between top-level commas; empty for a NULL text."""
+    rows = _once(rows, _t=F.coalesce(_tokens(text), F.expr("cast(array() as array<string>)")))
+    rows = _once(rows, _b=_cut_at_commas(F.col("_t")))
+    pieces = F.transform("_b", lambda s: _text("_t", s["begin"], s["end"]))
+    return _once(rows, **{name: F.filter(pieces, lambda p: p != "")}).drop("_t", "_b")
+
+
+def _with_units(rows: DataFrame, text: Column, name: str) -> DataFrame:
+    rows = _once(rows, _t=F.coalesce(_tokens(text), F.expr("cast(array() as array<string>)")))
+    rows = _once(rows, _b=_cut_to_units(F.col("_t")))
+    return _once(rows, **{name: F.transform("_b", lambda s: _text("_t", s["begin"], s["end"]))}).drop("_t", "_b")
+
+
+def _unit(units: Column, k: int | Column) -> Column:
+    return F.get(units, F.lit(k) if isinstance(k, int) else k)
+
+
+def _word(units: Column, k: int | Column) -> Column:
+    return F.upper(F.coalesce(_unit(units, k), F.lit("")))
+
+
+def _skip(at: Column, units: Column, *words: str) -> Column:
+    """The place behind ``words`` where they stand at a place, else the place."""
+    test = F.lit(True)
+    for k, w in enumerate(words):
+        test = test & (_word(units, at + k) == w)
+    return F.when(test, at + len(words)).otherwise(at)
 
 
-def _pieces(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PIECE), 1)
+def _bare(name: Column) -> Column:
+    """A name without its quotes; of a dotted one the last part."""
+    return F.regexp_replace(F.regexp_extract(name, r"([^.`\"]+|`(?:[^`]|``)++`|\"[^\"]*+\")$", 1), "^[`\"]|[`\"]$", "")
 
 
 def history(ddl_events: DataFrame, column: str = "history_record") -> DataFrame:
@@ -95,98 +176,105 @@ def alter_operations(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
 
     CHANGE is a rename only. Clauses on indexes, keys and partitions are skipped.
     """
-    body = F.regexp_replace(F.col(column), ALTER_HEAD, "")
+    names = ddl_events.columns
+    # A statement may start with comments, so what it is shows once they are gone.
+    rows = _with_pieces(ddl_events.filter(F.col(column).rlike(r"(?i)\balter\b")), F.col(column), "_clauses")
+    head = F.get("_clauses", F.lit(0))
+    rows = rows.filter(head.rlike(ALTER_HEAD))
+    clauses = F.concat(F.array(F.regexp_replace(head, ALTER_HEAD, "")), F.slice("_clauses", 2, F.size("_clauses")))
+
     # ADD (a INT, b INT) holds one operation per column.
-    listed = F.transform(
-        _pieces(body),
-        lambda piece: F.when(
-            piece.rlike(ADD_LIST),
-            F.transform(
-                _pieces(F.regexp_extract(piece, ADD_LIST, 1)), lambda c: F.concat(F.lit("ADD "), F.trim(c))
-            ),
-        ).otherwise(F.array(piece)),
-    )
-    alters = ddl_events.filter(F.col(column).rlike(ALTER_HEAD))
-    rows = alters.select("*", F.posexplode(F.flatten(listed)).alias("ordinal", "clause"))
-    rows = rows.filter(F.col("clause").rlike(CLAUSE)).withColumns(
-        {
-            "operation": F.upper(F.regexp_extract("clause", CLAUSE, 1)),
-            "_column_word": F.regexp_extract("clause", CLAUSE, 2),
-            "column_name": F.regexp_extract("clause", CLAUSE, 3),
-            "_rest": _group(F.col("clause"), CLAUSE, 4),
-        }
-    )
+    def listed(clause: Column) -> Column:
+        inner = F.regexp_replace(clause, rf"{ADD_LIST}|\)$", "")
+        parts = _let(_tokens(inner), lambda t: F.transform(
+            _cut_at_commas(t), lambda s: F.concat(F.lit("ADD "), _text(t, s["begin"], s["end"]))))
+        return F.when(clause.rlike(ADD_LIST) & clause.endswith(")"), parts).otherwise(F.array(clause))
+
+    rows = rows.select(*names, F.posexplode(F.flatten(F.transform(clauses, listed))).alias("ordinal", "_clause"))
+    rows = _with_units(rows, F.col("_clause"), "_u")
+    u = F.col("_u")
+    column_word = _word(u, 1) == "COLUMN"
+    at = _skip(_skip(F.when(column_word, 2).otherwise(1), u, "IF", "NOT", "EXISTS"), u, "IF", "EXISTS")
+    rows = _once(rows, operation=_word(u, 0), _column_word=column_word, _at=at)
+    rows = rows.filter(F.col("operation").isin("ADD", "DROP", "CHANGE", "MODIFY", "RENAME"))
+    rows = _once(
+        rows, _name=_unit(u, F.col("_at")),
+        _rest=F.array_join(F.slice(u, F.col("_at") + 2, F.size(u)), " "))
     # Without the word COLUMN, KEY, INDEX and the like are what is altered.
-    on_column = (F.col("_column_word") != "") | ~F.upper("column_name").isin(*NOT_COLUMNS)
+    quoted = F.col("_name").rlike("^[`\"]")
+    on_column = F.col("_name").isNotNull() & (F.col("_column_word") | quoted | ~F.upper("_name").isin(*NOT_COLUMNS))
     renames = F.col("operation").isin("CHANGE", "RENAME")
+    target = F.regexp_extract(F.regexp_replace("_rest", r"(?i)^TO\s+", ""), r"^(`(?:[^`]|``)++`|\"[^\"]*+\"|\S++)", 1)
     return rows.filter(on_column).select(
-        *ddl_events.columns,
+        *names,
         "ordinal",
         "operation",
-        "column_name",
-        F.when(renames, F.regexp_extract("_rest", rf"^\s*{NAME}", 1)).alias("new_name"),
-        F.when(
-            F.col("operation").isin("ADD", "MODIFY"),
-            F.concat_ws(" ", "column_name", "_rest"),
-        ).alias("definition"),
+        _bare(F.col("_name")).alias("column_name"),
+        F.when(renames, _bare(target)).alias("new_name"),
+        F.when(F.col("operation").isin("ADD", "MODIFY"), F.concat_ws(" ", "_name", "_rest")).alias("definition"),
     )
 
 
-def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), 1)
+def _word_after(specs: Column, key: str) -> Column:
+    """The unit behind the first ``key`` that is not itself a keyword, with the bracket that follows a
+    function's name."""
+    places = F.filter(
+        F.transform(specs, lambda w, k: F.when(F.upper(w) == key, k)),
+        lambda k: k.isNotNull() & F.get(specs, k + 1).isNotNull() & ~_word(specs, k + 1).isin("DEFAULT", "COMMENT"))
+    at = F.get(places, F.lit(0)) + 1
+    word, more = F.get(specs, at), F.get(specs, at + 1)
+    called = word.rlike(r"^[A-Za-z_][\w.]*$") & F.coalesce(more.startswith("("), F.lit(False))
+    return F.when(called, F.concat(word, more)).otherwise(word)
 
 
-def _word_after(words: Column, key: str) -> Column:
-    """The word behind the first ``key`` that is not itself a keyword."""
-    n = F.size(words)
-    pairs = F.zip_with(
-        F.slice(words, 1, F.greatest(n - 1, F.lit(0))),
-        F.slice(words, 2, F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
-    )
-    hits = F.filter(
-        pairs, lambda p: (F.upper(p["a"]) == key) & ~F.upper(p["b"]).isin("DEFAULT", "COMMENT")
+def literal_default(raw: Column) -> Column:
+    """A default as it is written, as a value: quotes off, bits as a number, NULL as none."""
+    bits = F.regexp_extract(raw, r"(?i)^b'([01]+)'$", 1)
+    return (
+        F.when(F.upper(raw) == "NULL", F.lit(None).cast("string"))
+        .when(bits != "", F.conv(bits, 2, 10))
+        .when(raw.startswith("'") | raw.startswith('"'), tx.strip_quotes(raw))
+        .otherwise(raw)
     )
-    return tx.strip_quotes(F.get(hits, F.lit(0))["b"])
 
 
 def default_value(type_: Column, raw: Column) -> Column:
-    """Default of a column; functions meaning "now" become one where the target
-    type is a DATETIME."""
-    now = type_.startswith("DATETIME") & F.upper(raw).isin(*NOW_DEFAULTS)
+    """Default of a column; functions meaning "now", with any digits, become one where the target
+    type is a date with a time."""
+    timed = type_.startswith("DATETIME") | type_.startswith("TIMESTAMP")
+    now = timed & F.upper(F.regexp_replace(raw, r"\s*\(\s*\d*\s*\)$", "")).isin(*NOW_DEFAULTS)
     return F.when(now, CURRENT_TIMESTAMP).otherwise(raw)
 
 
 def with_definition(rows: DataFrame, column: str = "definition", strict: bool = False) -> DataFrame:
-    """Column definitions to ``target_type, spark_type, default_value, comment``."""
-    text = F.col(column)
-    rows = rows.withColumns(
-        {
-            "_type": _group(text, DEFINITION, 2),
-            "_args": F.transform(
-                F.split(F.translate(F.regexp_extract(text, DEFINITION, 3), "()", ""), ","),
-                lambda a: F.trim(a).try_cast("int"),
-            ),
-            "_specs": _words(F.regexp_extract(text, DEFINITION, 4)),
-        }
-    )
+    """Column definitions to ``target_type, spark_type, default_value, comment``.
+
+    A type without an equal has a NULL target type (or, if strict, is an error) and is kept as text.
+    """
+    names = rows.columns
+    rows = _with_units(rows, F.col(column), "_u")
+    u = F.col("_u")
+    bracket = F.coalesce(_unit(u, 2).startswith("("), F.lit(False))
+    rows = _once(
+        rows, _type=F.regexp_extract(_unit(u, 1), r"^(\w+)$", 1),
+        _args=F.transform(
+            F.split(F.when(bracket, F.translate(_unit(u, 2), "()", "")).otherwise(""), ","),
+            lambda a: F.trim(a).try_cast("int")),
+        _specs=F.slice(u, F.when(bracket, 4).otherwise(3), F.size(u)))
     specs = F.col("_specs")
     modifiers = F.filter(F.transform(specs, F.upper), lambda w: w.isin(*TYPE_MODIFIERS))
     source = F.trim(F.concat_ws(" ", F.upper("_type"), F.array_join(modifiers, " ")))
     sizes = [F.coalesce(F.get("_args", F.lit(i)), F.lit(0)) for i in (0, 1)]
     typed = F.col("_type").isNotNull()
-    rows = rows.withColumns(
-        {
-            "target_type": F.when(typed, target_type(source, *sizes, strict)),
-            "spark_type": F.when(typed, spark_type_text(source, *sizes)),
-        }
+    rows = _once(
+        rows, target_type=F.when(typed, target_type(source, *sizes, strict)),
+        spark_type=F.when(typed, F.coalesce(spark_type_text(source, *sizes), F.lit("string"))),
+        _default=_word_after(specs, "DEFAULT"), _comment=_word_after(specs, "COMMENT"))
+    return rows.select(
+        *names, "target_type", "spark_type",
+        default_value(F.col("target_type"), literal_default(F.col("_default"))).alias("default_value"),
+        tx.strip_quotes(F.col("_comment")).alias("comment"),
     )
-    return rows.withColumns(
-        {
-            "default_value": default_value(F.col("target_type"), _word_after(specs, "DEFAULT")),
-            "comment": _word_after(specs, "COMMENT"),
-        }
-    ).drop("_type", "_args", "_specs")
 
 
 def create_columns(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
@@ -194,60 +282,49 @@ def create_columns(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
 
     Keys are columns marked PRIMARY and those of PRIMARY KEY and UNIQUE indexes.
     """
-    creates = ddl_events.filter(F.col(column).rlike(CREATE))
-    body = F.regexp_extract(F.col(column), CREATE, 1)
-    inner = F.substring(body, F.lit(2), F.length(body) - 2)
-    creates = creates.withColumns(
-        {
-            "_items": _pieces(inner),
-            "table_comment": tx.strip_quotes(
-                _group(F.regexp_extract(F.col(column), CREATE, 2), TABLE_COMMENT, 1)
-            ),
-        }
-    )
-    indexed = F.flatten(
-        F.transform(
-            F.filter("_items", lambda i: i.rlike(KEY_COLUMNS)),
-            lambda i: F.transform(
-                F.split(F.regexp_extract(i, KEY_COLUMNS, 1), ","),
-                lambda c: F.lower(F.regexp_extract(c, NAME, 1)),
-            ),
-        )
-    )
-    columns = F.filter("_items", lambda i: ~i.rlike(INDEX_ITEM))
-    rows = creates.withColumn("_keys", F.array_distinct(indexed)).select(
-        *ddl_events.columns, "table_comment", "_keys", F.posexplode(columns).alias("ordinal", "definition")
-    )
-    rows = rows.withColumns(
-        {
-            "column_name": F.regexp_extract("definition", DEFINITION, 1),
-            "_marked": F.exists(
-                _words(F.regexp_extract("definition", DEFINITION, 4)), lambda w: F.upper(w) == "PRIMARY"
-            ),
-        }
-    )
-    rows = rows.withColumn(
-        "is_key", F.col("_marked") | F.array_contains("_keys", F.lower("column_name"))
-    )
-    return with_definition(rows).drop("_keys", "_marked", "definition")
-
-
-def add_drop(ddl: Column) -> dict[str, Column]:
-    """Operation, column and type of one ADD or DROP, by the older pattern."""
-    return {
-        "operation": F.upper(_group(ddl, ADD_DROP, 1)),
-        "column_name": _group(ddl, ADD_DROP, 3),
-        "column_type": _group(ddl, ADD_DROP, 5),
-    }
-
-
-def renamed(ddl: Column) -> dict[str, Column]:
-    """Old and new name of a RENAME COLUMN or CHANGE, by the older pattern."""
-    bare = F.replace(ddl, F.lit("`"), F.lit(""))
-    return {
-        "old_name": F.coalesce(_group(bare, RENAME, 2), _group(bare, RENAME, 4)),
-        "new_name": F.coalesce(_group(bare, RENAME, 3), _group(bare, RENAME, 5)),
-    }
+    names = ddl_events.columns
+    rows = _with_units(ddl_events.filter(F.col(column).rlike(r"(?i)\bcreate\b")), F.col(column), "_u")
+    u = F.col("_u")
+    table = _skip(F.lit(1), u, "TEMPORARY")
+    rows = _once(rows, _at=_skip(table + 1, u, "IF", "NOT", "EXISTS") + 1, _is=(_word(u, 0) == "CREATE") & (_word(u, table) == "TABLE"))
+    body = _unit(u, F.col("_at"))
+    rows = rows.filter(F.col("_is") & F.coalesce(body.startswith("("), F.lit(False)))
+    # COMMENT='text' touches, COMMENT = 'text' does not.
+    options = F.array_join(F.slice(u, F.col("_at") + 2, F.size(u)), " ")
+    comment = F.regexp_extract(options, r"(?is)\bCOMMENT\s*=?\s*('(?:[^'\\]++|\\.|'')*+'|\"(?:[^\"\\]++|\\.|\"\")*+\")", 1)
+    rows = _once(
+        rows, _body=F.substring(body, F.lit(2), F.length(body) - 2),
+        table_comment=tx.strip_quotes(F.when(comment != "", comment)))
+    rows = _with_pieces(rows.drop("_u"), F.col("_body"), "_items")
+    index = rf"(?is)^\s*(?:{'|'.join(INDEX_ITEMS)})\b"
+    key = r"(?is)^\s*(?:CONSTRAINT\s+(?:(?!PRIMARY\b|UNIQUE\b)\S+\s+)?)?(?:PRIMARY\s+KEY|UNIQUE)[^(]*+\(([^)]*+)\)"
+    indexed = F.flatten(F.transform(
+        F.filter("_items", lambda i: i.rlike(key)),
+        lambda i: F.transform(
+            F.split(F.regexp_extract(i, key, 1), ","), lambda c: F.lower(F.regexp_extract(c, NAME, 1)))))
+    rows = _once(rows, _keys=F.array_distinct(indexed), _columns=F.filter("_items", lambda i: ~i.rlike(index)))
+    rows = rows.select(*names, "table_comment", "_keys", F.posexplode("_columns").alias("ordinal", "definition"))
+    rows = _with_units(rows, F.col("definition"), "_w")
+    name = _bare(_unit(F.col("_w"), 0))
+    marked = F.exists(F.slice("_w", 3, F.size("_w")), lambda w: F.upper(w) == "PRIMARY")
+    rows = _once(rows, column_name=name, is_key=marked | F.array_contains("_keys", F.lower(name)))
+    return with_definition(rows.drop("_w")).drop("_keys", "definition")
+
+
+def first_operation(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
+    """``operation, column_name, column_type`` of the first ADD or DROP of a column in each statement."""
+    names = ddl_events.columns
+    rows = alter_operations(ddl_events, column).filter(F.col("operation").isin("ADD", "DROP"))
+    type_ = F.regexp_extract("definition", r"^(?:`(?:[^`]|``)++`|\"[^\"]*+\"|\S++)\s+(\w+(?:\s*\([^)]*+\))?)", 1)
+    typed = F.when((F.col("operation") == "ADD") & (type_ != ""), F.regexp_replace(type_, r"\s", ""))
+    first = F.min_by(F.struct("operation", "column_name", typed.alias("column_type")), "ordinal")
+    return rows.groupBy(*names).agg(first.alias("_first")).select(*names, "_first.*")
+
+
+def renamed(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
+    """``old_name, new_name`` of each RENAME COLUMN or CHANGE."""
+    rows = alter_operations(ddl_events, column).filter(F.col("operation").isin("CHANGE", "RENAME"))
+    return rows.select(*ddl_events.columns, F.col("column_name").alias("old_name"), "new_name")
 
 
 def change_columns(events: DataFrame) -> DataFrame:

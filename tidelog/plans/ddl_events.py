@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import ddl, evolve
 from tidelog.plans import inputs as fx
-from tidelog.plans.registry import query
+from tidelog.plans.registry import load, query
 from tidelog.sources import changelog as cl
 
 def number():
@@ -40,7 +40,7 @@ _OPS = """
     (3, 0, 'CHANGE', 'c', 'p', NULL, NULL, NULL),
     (4, 0, 'MODIFY', 'v', NULL, 'DECIMAL(18, 4)', '1', 'it''''s'),
     (5, 0, 'RENAME', 'a', 'b', NULL, NULL, NULL),
-    (9, 0, 'ADD', 'd', NULL, 'TIMESTAMP(3)', 'NOW()', NULL)
+    (9, 0, 'ADD', 'd', NULL, 'TIMESTAMP(3)', 'CURRENT_TIMESTAMP', NULL)
   ) o(kind, ordinal, operation, p, q, target_type, default_value, comment) ON event_id % 10 = o.kind"""
 
 
@@ -74,13 +74,12 @@ def ddl_create_columns(spark, sf_dir):
 
 @query("ddl_add_drop", """
   SELECT event_id, 'ADD' AS operation,
-    CASE event_id % 10 WHEN 1 THEN 'c' || event_id WHEN 2 THEN 'n' || event_id WHEN 8 THEN 'INDEX' ELSE 'd' || event_id END AS column_name,
-    CASE event_id % 10 WHEN 1 THEN 'DECIMAL(10,2)' WHEN 2 THEN 'INT' WHEN 8 THEN 'i' || event_id ELSE 'DATETIME(3)' END AS column_type
-  FROM events WHERE event_id % 10 IN (1, 2, 8, 9)""")
+    CASE event_id % 10 WHEN 1 THEN 'c' || event_id WHEN 2 THEN 'n' || event_id ELSE 'd' || event_id END AS column_name,
+    CASE event_id % 10 WHEN 1 THEN 'DECIMAL(10,2)' WHEN 2 THEN 'INT' ELSE 'DATETIME(3)' END AS column_type
+  FROM events WHERE event_id % 10 IN (1, 2, 9)""")
 def ddl_add_drop(spark, sf_dir):
-    found = ddl.add_drop(F.col("ddl"))
-    rows = fx.ddl_texts(spark, sf_dir).select("event_id", *[c.alias(n) for n, c in found.items()])
-    return rows.filter(F.col("operation").isNotNull())
+    rows = ddl.first_operation(fx.ddl_texts(spark, sf_dir))
+    return rows.select("event_id", "operation", "column_name", "column_type")
 
 
 @query("ddl_renames", """
@@ -88,9 +87,26 @@ def ddl_add_drop(spark, sf_dir):
          CASE event_id % 10 WHEN 3 THEN 'p' ELSE 'b' END || event_id AS new_name
   FROM events WHERE event_id % 10 IN (3, 5)""")
 def ddl_renames(spark, sf_dir):
-    found = ddl.renamed(F.col("ddl"))
-    rows = fx.ddl_texts(spark, sf_dir).select("event_id", *[c.alias(n) for n, c in found.items()])
-    return rows.filter(F.col("old_name").isNotNull())
+    return ddl.renamed(fx.ddl_texts(spark, sf_dir)).select("event_id", "old_name", "new_name")
+
+
+@query("ddl_wide_create", """
+  WITH w AS (SELECT o_custkey, o_orderkey, o_orderpriority, 2 * (row_number() OVER (PARTITION BY o_custkey % 50 ORDER BY o_orderkey) - 1) AS place
+    FROM orders)
+  SELECT o_custkey % 50 AS table_no, CAST(place AS INTEGER) AS ordinal, 'c' || o_orderkey AS column_name, 'VARCHAR' AS target_type,
+    'a,(' || o_orderpriority AS comment FROM w
+  UNION ALL SELECT o_custkey % 50, CAST(place + 1 AS INTEGER), 'd' || o_orderkey, 'TIMESTAMP(3)', NULL FROM w""")
+def ddl_wide_create(spark, sf_dir):
+    """A CREATE TABLE for each of 50 groups of orders, with two columns per order: hundreds at sf0.01."""
+    order = F.col("o_orderkey").cast("string")
+    columns = F.concat(
+        F.lit("`c"), order, F.lit("` ENUM('x','y(') /* old, (name */ DEFAULT NULL COMMENT 'a,("), F.col("o_orderpriority"),
+        F.lit("', d"), order, F.lit(" DATETIME(3) DEFAULT (date_add(concat(lower(left('2020',4)),'-01-01'), interval 1 day))"))
+    rows = load(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 50).alias("table_no")).agg(
+        F.sort_array(F.collect_list(F.struct("o_orderkey", columns.alias("c")))).alias("c"))
+    text = F.concat(F.lit("-- made\n/* by */ CREATE TABLE t ("), F.array_join("c.c", ", "), F.lit(", KEY k (x)) COMMENT 'it'"))
+    found = ddl.create_columns(rows.select("table_no", text.alias("ddl")))
+    return found.select("table_no", "ordinal", "column_name", "target_type", "comment")
 
 
 @query("table_change_columns", """
@@ -109,7 +125,7 @@ def table_change_columns(spark, sf_dir):
   WITH o AS (SELECT *, '"shop"."t_' || user_id || '"' AS t, '"' || column_name || '"' AS c FROM ({_OPS}))
   SELECT event_id, ordinal, 0 AS statement_no, CASE operation
     WHEN 'ADD' THEN 'ALTER TABLE ' || t || ' ADD COLUMN IF NOT EXISTS ' || c || ' ' || target_type ||
-      coalesce(' DEFAULT ''' || default_value || '''', '') || coalesce(' COMMENT ''' || comment || '''', '')
+      coalesce(' DEFAULT ' || CASE default_value WHEN 'CURRENT_TIMESTAMP' THEN default_value ELSE '''' || default_value || '''' END, '') || coalesce(' COMMENT ''' || comment || '''', '')
     WHEN 'DROP' THEN 'ALTER TABLE ' || t || ' DROP COLUMN IF EXISTS ' || c
     WHEN 'MODIFY' THEN 'ALTER TABLE ' || t || ' ALTER COLUMN ' || c || ' SET DATA TYPE ' || target_type
     ELSE 'ALTER TABLE ' || t || ' RENAME COLUMN ' || c || ' "' || new_name || '"' END AS statement FROM o
