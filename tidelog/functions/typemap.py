@@ -86,11 +86,13 @@ def target_type(type_: Column, length: Column, scale: Column, strict: bool = Tru
     ``strict`` fails on unknown types; otherwise they give NULL.
     """
     name = F.upper(type_)
-    precision = F.least(F.when(length > 0, length).otherwise(10), F.lit(MAX_PRECISION))
+    precision = F.when(length > 0, length).otherwise(10)
     places = F.when(scale >= 0, scale).otherwise(0)
     digits = fraction_digits(length)
     known = (
-        F.when(name.isin(*_decimal_names()), F.format_string("DECIMAL(%d, %d)", precision, places))
+        # Digits beyond what a decimal holds would be lost: such columns are text.
+        F.when(name.isin(*_decimal_names()) & (precision > MAX_PRECISION), "VARCHAR")
+        .when(name.isin(*_decimal_names()), F.format_string("DECIMAL(%d, %d)", precision, places))
         .when(
             name.isin(*TIME_TYPES),
             F.when(digits.isNull(), "TIMESTAMP").otherwise(F.format_string("TIMESTAMP(%d)", digits)),
@@ -111,7 +113,9 @@ def spark_type(type_: str, length: int | None = None, scale: int | None = None,
     """Spark type of a source column, for building a table's schema."""
     name = type_.upper()
     if name in _decimal_names():
-        precision = min(length if length and length > 0 else 10, MAX_PRECISION)
+        precision = length if length and length > 0 else 10
+        if precision > MAX_PRECISION:
+            return "string"
         return f"decimal({precision},{min(max(scale or 0, 0), precision)})"
     if name in TIME_TYPES:
         return "timestamp_ntz"
@@ -139,10 +143,11 @@ def table_schema(columns: list[dict]) -> T.StructType:
 def spark_type_text(type_: Column, length: Column, scale: Column) -> Column:
     """The same as an expression; NULL for unknown types."""
     name = F.upper(type_)
-    precision = F.least(F.when(length > 0, length).otherwise(10), F.lit(MAX_PRECISION))
+    precision = F.when(length > 0, length).otherwise(10)
     places = F.least(F.greatest(F.coalesce(scale, F.lit(0)), F.lit(0)), precision)
     return (
-        F.when(name.isin(*_decimal_names()), F.format_string("decimal(%d,%d)", precision, places))
+        F.when(name.isin(*_decimal_names()) & (precision > MAX_PRECISION), "string")
+        .when(name.isin(*_decimal_names()), F.format_string("decimal(%d,%d)", precision, places))
         .when(name.isin(*TIME_TYPES), "timestamp_ntz")
         .when(name.isin("CHAR", "VARCHAR"), "string")
         .otherwise(_lookup(_simple_names(target=False), name))

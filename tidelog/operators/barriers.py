@@ -9,18 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# One barrier row per table is broadcast while the tables are at most this many.
-BROADCAST_TABLES = 100_000
-
-
 def truncate_positions(truncates: DataFrame, tables: list[str], by: str = "table") -> DataFrame:
     """Last TRUNCATE position of each registered table: at most one row a table."""
-    last = (
+    return (
         truncates.filter(F.col(by).isin(*tables))
         .groupBy(by)
         .agg(F.max("seq").alias("truncated_at"))
     )
-    return F.broadcast(last) if len(tables) <= BROADCAST_TABLES else last
 
 
 def after_truncate(rows: DataFrame, positions: DataFrame, by: str = "table") -> DataFrame:

@@ -7,10 +7,12 @@ the name that fits the row's schema version, in one pass over the rows.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field as dc_field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidelog.operators.ddl import CURRENT_TIMESTAMP
 from tidelog.operators.images import field
 
 
@@ -26,20 +28,30 @@ class TracedColumn:
     names: list[tuple[int, str]] = dc_field(default_factory=list)
 
 
+def _default(op: dict) -> str | None:
+    """The default that rows from before an ADD take: a default that means "now" is the time of the
+    ALTER, where it is known (``at``); one that is an expression cannot be worked out and is NULL."""
+    value = op.get("default_value")
+    if value == CURRENT_TIMESTAMP:
+        return op.get("at")
+    return None if value is not None and re.fullmatch(r"(?s)\(.*\)|[A-Za-z_]\w*\(.*\)", value) else value
+
+
 def trace(base: dict[str, str], operations: list[dict]) -> list[TracedColumn]:
     """Fold column operations, in log order, over a base schema.
 
-    Each operation has ``version`` (1 for the first ALTER), ``operation``,
+    Names compare without case. Each operation has ``version`` (1 for the first ALTER), ``operation``,
     ``column_name`` and, as it applies, ``new_name``, ``spark_type`` and
     ``default_value``. Adding a column that exists, or dropping or renaming one
     that does not, changes nothing.
     """
-    columns = {n: TracedColumn(n, t, names=[(0, n)]) for n, t in base.items()}
+    columns = {n.lower(): TracedColumn(n, t, names=[(0, n)]) for n, t in base.items()}
     for op in operations:
-        kind, name, version = op["operation"], op["column_name"], op["version"]
+        kind, written, version = op["operation"], op["column_name"], op["version"]
+        name = written.lower()
         if kind == "ADD" and name not in columns:
             columns[name] = TracedColumn(
-                name, op["spark_type"], version, op.get("default_value"), [(version, name)]
+                written, op.get("spark_type") or "string", version, _default(op), [(version, written)]
             )
         elif kind == "DROP":
             columns.pop(name, None)
@@ -48,15 +60,15 @@ def trace(base: dict[str, str], operations: list[dict]) -> list[TracedColumn]:
             new = op["new_name"]
             columns[name].name = new
             columns[name].names.append((version, new))
-            columns = {c.name: c for c in columns.values()}
+            columns = {c.name.lower(): c for c in columns.values()}
         elif kind == "MODIFY" and name in columns:
-            columns[name].type = op["spark_type"]
+            columns[name].type = op.get("spark_type") or "string"
     return list(columns.values())
 
 
 def read_column(column: TracedColumn, image: Column, version: Column) -> Column:
     """The column's value of a row image written under some schema version."""
-    out = F.lit(column.default).cast(column.type)
+    out = F.lit(column.default).try_cast(column.type)
     for first, name in column.names:
         out = F.when(version >= first, field(image, name, column.type)).otherwise(out)
     return out.alias(column.name)
@@ -72,15 +84,16 @@ def apply_operations(table: DataFrame, operations: list[dict]) -> DataFrame:
     """The same operations on stored rows: add, drop, rename, cast."""
     for op in operations:
         kind, name = op["operation"], op["column_name"]
-        if kind == "ADD" and name not in table.columns:
-            value = F.lit(op.get("default_value")).cast(op["spark_type"])
+        there = name.lower() in {c.lower() for c in table.columns}
+        if kind == "ADD" and not there:
+            value = F.lit(_default(op)).try_cast(op.get("spark_type") or "string")
             table = table.withColumn(name, value)
         elif kind == "DROP":
             table = table.drop(name)
         elif kind in ("CHANGE", "RENAME"):
             table = table.withColumnRenamed(name, op["new_name"])
-        elif kind == "MODIFY" and name in table.columns:
-            table = table.withColumn(name, F.col(name).cast(op["spark_type"]))
+        elif kind == "MODIFY" and there:
+            table = table.withColumn(name, F.col(name).cast(op.get("spark_type") or "string"))
     return table
 
 

@@ -29,9 +29,17 @@ def row_images(changes: DataFrame) -> DataFrame:
 
 
 def field(image: Column | str, name: str, type_: str, strict: bool = True) -> Column:
-    """One column of an image. Missing fields are NULL, unknown ones are ignored."""
+    """One column of an image. Missing fields are NULL, unknown ones are ignored.
+
+    Bytes come as base64 text; what is none is an error, or NULL where not strict.
+    """
     get = F.variant_get if strict else F.try_variant_get
-    return get(image, f"$.{name}", type_)
+    quote = '"' if "'" in name else "'"
+    path = f"$[{quote}{name}{quote}]"
+    if type_ == "binary":
+        text = get(image, path, "string")
+        return F.to_binary(text, F.lit("base64")) if strict else F.try_to_binary(text, F.lit("base64"))
+    return get(image, path, type_)
 
 
 def decode(rows: DataFrame, schema: dict[str, str], image: str = "image", keep: tuple = ()) -> DataFrame:

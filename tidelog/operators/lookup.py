@@ -76,8 +76,6 @@ class CachedLookup:
             self.close()
             fresh = self._read()
             self.loads += 1
-            if fresh.limit(self._max_rows + 1).count() > self._max_rows:
-                return fresh
             self._held, self._since = fresh.cache(), self._clock()
         return self._held
 
@@ -85,18 +83,3 @@ class CachedLookup:
         if self._held is not None:
             self._held.unpersist()
             self._held = None
-
-
-def lookup_counters(requests: DataFrame, key: str, at: Column, ttl_seconds: int) -> DataFrame:
-    """Per key: requests, loads (first request in a TTL span) and hits (the rest)."""
-    span = F.floor(F.unix_micros(at.cast("timestamp")) / (ttl_seconds * 1_000_000))
-    per_span = (
-        requests.filter(F.col(key).isNotNull())
-        .groupBy(key, span.alias("span"))
-        .agg(F.count("*").alias("n"))
-    )
-    return per_span.groupBy(key).agg(
-        F.sum("n").alias("requests"),
-        F.count("*").alias("loads"),
-        F.sum(F.col("n") - 1).alias("hits"),
-    )

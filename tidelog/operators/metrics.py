@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Fixed value: a latency histogram looks at this many latest samples.
-HISTOGRAM_SAMPLES = 100
-
 
 def _n(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
@@ -29,16 +26,19 @@ def observed(rows: DataFrame, name: str, size: Column) -> DataFrame:
     return rows.observe(name, F.count("*").alias("rows"), F.sum(size).alias("bytes"))
 
 
-def latency_histogram(samples: DataFrame, by: str, at: str, value: str) -> DataFrame:
-    """Percentiles over the latest samples of each group.
+def latency_histogram(
+    samples: DataFrame, by: str, at: str, value: str, latest: int | None = None, ties: tuple[str, ...] = ()
+) -> DataFrame:
+    """Percentiles over the samples of each group, or over its ``latest`` ones only (a sliding
+    window of the stated length; ``ties`` order samples of the same time, and the value last).
 
-    Spark cuts every group to the sample size in the map tasks already, so a large
-    group is not shuffled whole.
+    Spark cuts every group to the window in the map tasks already, so a large group is not shuffled
+    whole.
     """
-    latest = Window.partitionBy(by).orderBy(F.desc(at))
-    recent = samples.withColumn("_n", F.row_number().over(latest)).filter(
-        F.col("_n") <= HISTOGRAM_SAMPLES
-    )
+    recent = samples
+    if latest is not None:
+        order = Window.partitionBy(by).orderBy(F.desc(at), *map(F.desc, ties), F.desc(value))
+        recent = samples.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= latest)
     return recent.groupBy(by).agg(
         F.count("*").alias("samples"),
         F.max(value).alias("max_value"),

@@ -112,7 +112,7 @@ def ddl_wide_create(spark, sf_dir):
 @query("table_change_columns", """
   SELECT event_id, 0 AS ordinal, 'user_id' AS column_name, 'BIGINT' AS target_type, NULL AS default_value,
          NULL AS comment, TRUE AS is_key FROM events WHERE event_id % 10 NOT IN (6, 7)
-  UNION ALL SELECT event_id, 1, 'c' || event_id, 'DECIMAL(' || least(10 + event_id % 40, 38) || ', ' || event_id % 5 || ')',
+  UNION ALL SELECT event_id, 1, 'c' || event_id, CASE WHEN event_id % 40 > 28 THEN 'VARCHAR' ELSE 'DECIMAL(' || (10 + event_id % 40) || ', ' || event_id % 5 || ')' END,
          '0', 'a, b', FALSE FROM events WHERE event_id % 10 NOT IN (6, 7)
   UNION ALL SELECT event_id, 2, 'made_at', CASE WHEN event_id % 7 = 0 THEN 'TIMESTAMP' ELSE 'TIMESTAMP(' || event_id % 7 || ')' END,
          'current_timestamp', NULL, FALSE FROM events WHERE event_id % 10 NOT IN (6, 7)""")

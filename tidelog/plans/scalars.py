@@ -324,8 +324,9 @@ def _sql_list(names):
       WHEN type_name IN ('SMALLINT UNSIGNED ZEROFILL', 'MEDIUMINT', 'YEAR', 'int', 'INT UNSIGNED') THEN 'INTEGER'
       WHEN type_name IN ('BIGINT', 'BIGINT UNSIGNED', 'SERIAL') THEN 'BIGINT'
       WHEN type_name IN ('FLOAT', 'REAL UNSIGNED') THEN 'FLOAT' WHEN type_name = 'DOUBLE PRECISION' THEN 'DOUBLE'
+      WHEN type_name IN ('DECIMAL', 'NUMERIC UNSIGNED') AND len > 38 THEN 'VARCHAR'
       WHEN type_name IN ('DECIMAL', 'NUMERIC UNSIGNED') THEN 'DECIMAL(' ||
-        CASE WHEN coalesce(len, 0) <= 0 THEN 10 WHEN len > 38 THEN 38 ELSE len END || ', ' || coalesce(scale, 0) || ')'
+        CASE WHEN coalesce(len, 0) <= 0 THEN 10 ELSE len END || ', ' || coalesce(scale, 0) || ')'
       WHEN type_name IN ('DATE', 'TIME', 'JSON') THEN type_name
       WHEN type_name IN ('DATETIME', 'timestamp') THEN CASE WHEN len BETWEEN 1 AND 6 THEN 'TIMESTAMP(' || len || ')'
         WHEN len > 25 THEN 'TIMESTAMP(6)' WHEN len > 19 THEN 'TIMESTAMP(' || (len - 20) || ')' ELSE 'TIMESTAMP' END

@@ -10,7 +10,6 @@ from tidelog.plans import inputs as fx
 from tidelog.plans.registry import load, query
 from tidelog.session import materialize
 from tidelog.sources import changelog as cl, starts
-from tidelog.sources.scan import spread
 from tidelog.streaming import store
 
 # A user's last event, the independent form of last-change-wins.
@@ -93,7 +92,7 @@ def row_images(spark, sf_dir):
         op, F.lit("user_state"), F.col("event_id"),
         before=F.when((op != "c") & ~lost, old), after=F.when(op.isin("c", "u"), F.struct("user_id")),
     )
-    lines = spread(load(spark, sf_dir, "events")).select("event_id", value.alias("value"))
+    lines = load(spark, sf_dir, "events").select("event_id", value.alias("value"))
     rows = images.row_images(cl.parse_changes(lines, keep=("event_id",)))
     return rows.select("event_id", "op", images.field("image", "user_id", "bigint").alias("image_user_id"))
 
@@ -173,7 +172,7 @@ def truncate_barrier(spark, sf_dir):
     lines = fx.user_log(spark, sf_dir).select("value").union(middle.select(cut.alias("value")))
 
     rows, _ = cl.split_ddl(cl.parse_changes(lines))
-    _, events_ddl = cl.split_ddl(cl.parse_changes(cl.ddl_lines(lines)))
+    _, events_ddl = cl.split_ddl(cl.parse_changes(lines))
     history = ddl.history(events_ddl)
     truncates = history.filter(ddl.event_kind(F.col("change_type"), F.col("ddl")) == "TRUNCATE")
     positions = barriers.truncate_positions(truncates, ["user_state"])
@@ -268,7 +267,7 @@ def default_fill(spark, sf_dir):
         F.when(F.col("event_id") % 3 == 0, F.col("props")).alias("props"),
     )
     value = fx.envelope(F.lit("c"), F.lit("user_state"), F.col("event_id"), after=image)
-    lines = spread(load(spark, sf_dir, "events")).select("event_id", value.alias("value"))
+    lines = load(spark, sf_dir, "events").select("event_id", value.alias("value"))
     rows = images.row_images(cl.parse_changes(lines, keep=("event_id",)))
     wanted = {"user_id": "bigint", "value": "double", "props": "string", "nickname": "string"}
     decoded = images.decode(rows, wanted, keep=("event_id",))
@@ -335,8 +334,10 @@ def snapshot_chunks(spark, sf_dir):
 # --- schema evolution ------------------------------------------------------
 
 EVOLUTION = [
-    (100, "ALTER TABLE user_state ADD COLUMN score DECIMAL(10,2) DEFAULT '0.00' COMMENT 'a, b'"),
-    (200, "ALTER TABLE user_state ADD n INT UNSIGNED, DROP COLUMN props"),
+    (100, "/* v2 */ ALTER TABLE user_state ADD COLUMN score DECIMAL(10,2) DEFAULT '0.00' COMMENT 'a, b',"
+          " ADD COLUMN IF NOT EXISTS made DATETIME(3) DEFAULT NOW(), ADD note VARCHAR(9) DEFAULT NULL, ADD k BIT(1) DEFAULT b'1',"
+          " ADD place GEOMETRY"),
+    (200, "ALTER TABLE user_state ADD n INT UNSIGNED, DROP COLUMN PROPS"),
     (300, "ALTER TABLE user_state CHANGE score points DECIMAL(12,2)"),
     (400, "ALTER TABLE user_state MODIFY value DECIMAL(18,4)"),
     (500, "ALTER TABLE user_state RENAME COLUMN points TO pts"),
@@ -350,7 +351,10 @@ EVOLUTION = [
          CASE WHEN event_id <= 100 THEN '0.00' ELSE CAST(CAST(value AS DECIMAL(10,2)) AS VARCHAR) END AS pts,
          CASE WHEN event_id > 200 THEN 3000000000 + event_id END AS n,
          CASE WHEN event_id <= 600 THEN '2020-01-01 00:00:00'
-              ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS c2
+              ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS c2,
+         CASE WHEN event_id > 100 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS made,
+         CASE WHEN event_id > 100 THEN 'n' || event_id % 10 END AS note,
+         event_id <= 100 OR event_id % 2 = 0 AS k, CASE WHEN event_id > 100 THEN 'POINT(1 2)' END AS place
   FROM events""")
 def evolved_state(spark, sf_dir):
     """Every event inserts a row whose image has the columns its table had then."""
@@ -363,21 +367,23 @@ def evolved_state(spark, sf_dir):
         F.when(e > 500, value).alias("pts"),
         F.when(e > 200, e + 3_000_000_000).alias("n"),
         F.when(e > 600, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("c2"),
+        F.when(e > 100, F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("made"),
+        F.when(e > 100, F.concat(F.lit("n"), e % 10)).alias("note"),
+        F.when(e > 100, e % 2 == 0).alias("k"), F.when(e > 100, F.lit("POINT(1 2)")).alias("place"),
     )
-    rows = spread(load(spark, sf_dir, "events")).select(
+    rows = load(spark, sf_dir, "events").select(
         fx.envelope(F.lit("c"), F.lit("user_state"), e, after=image, pos=2 * (e % fx.LOG_SPAN)).alias("value")
     )
     lines = rows.union(fx.ddl_line(spark, EVOLUTION, "user_state"))
 
     changes, _ = cl.split_ddl(cl.parse_changes(lines))
-    _, ddl_events = cl.split_ddl(cl.parse_changes(cl.ddl_lines(lines)))
+    _, ddl_events = cl.split_ddl(cl.parse_changes(lines))
     base = {"event_id": "bigint", "user_id": "bigint", "value": "double", "props": "string"}
     columns, positions = store.table_history(ddl_events, "user_state", base)
     pending = cp.live(cp.replay(changes, {"event_id": "bigint"}))
     state = store.decode_table(pending, columns, positions)
-    return state.withColumns({c: F.col(c).cast("string") for c in ("value", "pts")}).withColumn(
-        "c2", F.date_format("c2", "yyyy-MM-dd HH:mm:ss")
-    )
+    state = state.withColumns({c: F.col(c).cast("string") for c in ("value", "pts")})
+    return state.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("c2", "made")})
 
 
 # --- output ----------------------------------------------------------------
@@ -442,8 +448,7 @@ def apply_metrics(spark, sf_dir):
   SELECT event_type, count(*) AS samples, max(value) AS max_value, min(value) AS min_value,
          round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95,
          round(quantile_cont(value, 0.99), 6) AS p99
-  FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC) AS rn FROM events)
-  WHERE rn <= 100 GROUP BY event_type""")
+  FROM events GROUP BY event_type""")
 def latency_histogram(spark, sf_dir):
     out = metrics.latency_histogram(load(spark, sf_dir, "events"), "event_type", "ts", "value")
     return out.withColumns({p: F.round(p, 6) for p in ("p50", "p95", "p99")})

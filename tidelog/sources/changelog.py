@@ -138,9 +138,3 @@ def split_ddl(changes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(row changes, DDL events) of one parsed input."""
     ddl = is_ddl(F.col("op"))
     return changes.filter(~ddl), changes.filter(ddl)
-
-
-def ddl_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines that may hold DDL. A plain text test that cannot miss one: it spares
-    parsing the row changes when only the DDL events of a large log are wanted."""
-    return lines.filter(F.col(column).contains("historyRecord"))

@@ -30,10 +30,3 @@ def scan(
 def page(table: DataFrame, order: list[str], offset: int, size: int) -> DataFrame:
     """One page of an ordered table."""
     return table.orderBy(*order).offset(offset).limit(size)
-
-
-def spread(table: DataFrame) -> DataFrame:
-    """Rows over all cores where a table is stored in fewer pieces than that (a few
-    files that cannot be split). A table of many pieces is left as it is."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table

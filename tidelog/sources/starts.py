@@ -117,7 +117,9 @@ def parse_chunk_columns(text: str) -> dict[tuple[str, str], str]:
 def chunk_of(table: DataFrame, key: str, size: int) -> Column:
     """Chunk number of a row: which span of ``size`` key values it lies in."""
     low = table.agg(F.min(key)).scalar()
-    return F.floor((F.col(key) - low) / size).cast("bigint")
+    # Decimals: the span of two bigints may be wider than a bigint, and doubles would round it.
+    span = F.col(key).cast("decimal(20,0)") - low.cast("decimal(20,0)")
+    return F.call_function("div", span, F.lit(size).cast("decimal(20,0)")).cast("bigint")
 
 
 def snapshot_chunks(table: DataFrame, key: str, size: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.functions.typemap import table_schema
 from tidelog.operators.layout import create_target
+from tidelog.streaming import files
 from tidelog.streaming.store import Job, write_batch
 
 # How often pending changes are flushed, by default and in bulk, and
@@ -19,9 +20,17 @@ BULK_INTERVAL = "10 seconds"
 BULK_BYTES = 100 * 1024 * 1024
 
 
-def new_lines_only(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of files that appear from now on (the start mode ``latest-offset``)."""
-    begin = F.lit(spark.sql("SELECT current_timestamp() AS t").first().t)
+def new_lines_only(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """Lines of files that appear from the job's first start on (the start mode ``latest-offset``).
+
+    The time of that start is kept beside the checkpoint, so that files which come while the job is
+    down are read once it is up again.
+    """
+    place = f"{checkpoint.rstrip('/')}-start"
+    if not files.exists(spark, place):
+        now = spark.sql("SELECT CAST(unix_micros(current_timestamp()) AS STRING) AS t").first().t
+        files.write(spark, place, now)
+    begin = F.timestamp_micros(F.lit(int(files.read(spark, place))))
     return (
         spark.readStream.format("text").load(path)
         .select("value", F.col("_metadata.file_modification_time").alias("_at"))
@@ -45,7 +54,7 @@ def start_apply(
     (``maxFilesPerTrigger``, ``maxBytesPerTrigger``).
     """
 
-    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         write_batch(job, batch, batch_id, run)

@@ -29,9 +29,12 @@ def write(spark: SparkSession, path: str, text: str = "") -> None:
         out.write(bytearray(text.encode()))
     finally:
         out.close()
-    fs.delete(p, False)
-    if not fs.rename(aside, p):
-        raise OSError(f"could not write {path}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    overwrite = getattr(hadoop, "Options$Rename").OVERWRITE
+    options = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    options[0] = overwrite
+    # One step: a reader sees the old file or the new one.
+    hadoop.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration()).rename(aside, p, options)
 
 
 def read(spark: SparkSession, path: str) -> str:

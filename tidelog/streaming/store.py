@@ -11,6 +11,7 @@ and not by batch; now and then the deltas are merged into a new base version.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections import defaultdict
 from collections.abc import Callable
@@ -169,11 +170,10 @@ def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") ->
     spark = lines.sparkSession
     if is_committed(spark, job, run, batch_id):
         return
-    _, events = cl.split_ddl(job.start(cl.parse_changes(cl.ddl_lines(lines), strict=job.strict)))
+    changes, events = cl.split_ddl(job.start(cl.parse_changes(lines, strict=job.strict)))
     known = _known(job, events).select(F.col("source").alias("table"), "seq", "history_record")
     _save(job, known, "ddl", run, batch_id)
 
-    changes, _ = cl.split_ddl(job.start(cl.parse_changes(lines, strict=job.strict)))
     rows = _keyed(job, changes)
     _save_changes(job, rows, run, batch_id)
     if not job.strict:
@@ -187,13 +187,19 @@ def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") ->
 
 def load_snapshot(job: Job, tables: dict[str, DataFrame], db: str) -> None:
     """Load the snapshots of source tables, before their log is applied (the start mode
-    ``initial``). Repeating it changes nothing."""
-    parts = [starts.snapshot_changes(table, db, name) for name, table in tables.items()]
-    changes = reduce(DataFrame.unionByName, parts)
+    ``initial``). Repeating it changes nothing; each table's is committed on its own, so tables may
+    join a job later."""
+    for name, table in tables.items():
+        _load_snapshot(job, name, table, db)
+
+
+def _load_snapshot(job: Job, name: str, table: DataFrame, db: str) -> None:
+    run = "snapshot_" + hashlib.sha256(f"{db}.{name}".encode()).hexdigest()
+    changes = starts.snapshot_changes(table, db, name)
     spark = changes.sparkSession
-    if not is_committed(spark, job, "snapshot", 0):
-        _save_changes(job, _keyed(job, changes), "snapshot", 0)
-        _commit(spark, job, "snapshot", 0)
+    if not is_committed(spark, job, run, 0):
+        _save_changes(job, _keyed(job, changes), run, 0)
+        _commit(spark, job, run, 0)
 
 
 def batch_metrics(job: Job, lines: DataFrame) -> DataFrame:
