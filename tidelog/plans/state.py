@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidelog.functions import text as tx
 from tidelog.operators import barriers, compact as cp, ddl, images, metrics, routing
 from tidelog.plans import inputs as fx
 from tidelog.plans.registry import load, query
-from tidelog.session import materialize
+from tidelog.session import materialize, shared_folder
 from tidelog.sources import changelog as cl, starts
 from tidelog.streaming import store
 
@@ -49,11 +51,19 @@ def changelog_parse(spark, sf_dir):
 
 
 @query("row_decode", """
-  SELECT event_id, user_id, value, CAST(NULL AS VARCHAR) AS nickname FROM events""")
+  SELECT event_id, user_id, value, CAST(NULL AS VARCHAR) AS nickname, props AS blob, event_type AS dotted,
+    event_id % 7 AS dashed FROM events""")
 def row_decode(spark, sf_dir):
-    rows = images.row_images(user_changes(spark, sf_dir, keep=("event_id",)))
-    wanted = {"user_id": "bigint", "value": "double", "nickname": "string"}
-    return images.decode(rows, wanted, keep=("event_id",))
+    """Images with a BLOB (base64 text), and names that a path has to quote."""
+    image = F.struct(
+        "user_id", "value", F.base64(F.col("props").cast("binary")).alias("blob"), F.col("event_type").alias("a.b"),
+        (F.col("event_id") % 7).alias("My-Col"))
+    lines = load(spark, sf_dir, "events").select(
+        "event_id", fx.envelope(F.lit("c"), F.lit("user_state"), F.col("event_id"), after=image).alias("value"))
+    rows = images.row_images(cl.parse_changes(lines, keep=("event_id",)))
+    wanted = {"user_id": "bigint", "value": "double", "nickname": "string", "blob": "binary", "a.b": "string", "My-Col": "bigint"}
+    decoded = images.decode(rows, wanted, keep=("event_id",)).withColumn("blob", F.col("blob").cast("string"))
+    return decoded.withColumnsRenamed({"a.b": "dotted", "My-Col": "dashed"})
 
 
 @query("bad_record_split", """
@@ -331,6 +341,70 @@ def snapshot_chunks(spark, sf_dir):
     return starts.snapshot_chunks(load(spark, sf_dir, "orders"), "o_orderkey", 1000)
 
 
+@query("snapshot_chunks_wide", """
+  SELECT CAST((k - (SELECT min(k) FROM w)) // 4611686018427387904 AS BIGINT) AS chunk_id, count(*) AS n_rows,
+    min(CAST(k AS BIGINT)) AS min_key, max(CAST(k AS BIGINT)) AS max_key
+  FROM (SELECT CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS HUGEINT) - 9223372036854775808
+    WHEN 1 THEN CAST(o_orderkey AS HUGEINT) ELSE 9223372036854775807 - CAST(o_orderkey AS HUGEINT) END AS k FROM orders) w
+  GROUP BY 1""".replace("FROM w)", """FROM (SELECT CASE o_orderkey % 3 WHEN 0 THEN CAST(o_orderkey AS HUGEINT) - 9223372036854775808
+    WHEN 1 THEN CAST(o_orderkey AS HUGEINT) ELSE 9223372036854775807 - CAST(o_orderkey AS HUGEINT) END AS k FROM orders))"""))
+def snapshot_chunks_wide(spark, sf_dir):
+    """Keys over the whole range of a BIGINT."""
+    kind, k = F.col("o_orderkey") % 3, F.col("o_orderkey")
+    wide = F.when(kind == 0, k + F.lit(-2**63)).when(kind == 1, k).otherwise(F.lit(2**63 - 1) - k)
+    return starts.snapshot_chunks(load(spark, sf_dir, "orders").select(wide.alias("k")), "k", 2**62)
+
+
+# --- the stored target -----------------------------------------------------
+
+
+def _stored_job(spark, sf_dir, batches: int = 2):
+    """A job in the shared folder that has applied the users' log in some batches."""
+    job = store.Job(f"{shared_folder(spark)}/store-{uuid.uuid4()}", [store.Table("user_state", fx.USER_KEY, fx.USER_STATE)])
+    lines = fx.user_log(spark, sf_dir)
+    for n in range(batches):
+        store.write_batch(job, lines.filter(F.col("event_id") % batches == n).select("value"), n)
+    return job
+
+
+@query("stored_state", LAST_EVENT.format(events="events"))
+def stored_state(spark, sf_dir):
+    return store.current(spark, _stored_job(spark, sf_dir), "user_state")
+
+
+@query("stored_replay_twice", LAST_EVENT.format(events="events"))
+def stored_replay_twice(spark, sf_dir):
+    """Both batches come again under later numbers."""
+    job = _stored_job(spark, sf_dir)
+    for n in (2, 3):
+        store.write_batch(job, fx.user_log(spark, sf_dir).filter(F.col("event_id") % 2 == n - 2).select("value"), n)
+    return store.current(spark, job, "user_state")
+
+
+@query("stored_after_compaction", LAST_EVENT.format(events="events"))
+def stored_after_compaction(spark, sf_dir):
+    """The first half of the log is in the base, the other in a change set over it."""
+    job = store.Job(f"{shared_folder(spark)}/store-{uuid.uuid4()}", [store.Table("user_state", fx.USER_KEY, fx.USER_STATE)])
+    lines, middle = fx.user_log(spark, sf_dir), load(spark, sf_dir, "events").agg(F.max("event_id") / 2).first()[0] or 0
+    store.write_batch(job, lines.filter(F.col("event_id") <= middle).select("value"), 0)
+    store.compact_store(spark, job)
+    store.write_batch(job, lines.filter(F.col("event_id") > middle).select("value"), 1)
+    return store.current(spark, job, "user_state")
+
+
+@query("stored_added_table", """
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""")
+def stored_added_table(spark, sf_dir):
+    """A table joins a job that has loaded another one's snapshot; both are there."""
+    state = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double"}
+    root = f"{shared_folder(spark)}/store-{uuid.uuid4()}"
+    users, orders = store.Table("nation", {"n_nationkey": "bigint"}, {"n_nationkey": "bigint"}), store.Table("orders", fx.ORDER_KEY, state)
+    store.load_snapshot(store.Job(root, [users]), {"nation": load(spark, sf_dir, "nation").select("n_nationkey")}, "shop")
+    job = store.Job(root, [users, orders])
+    store.load_snapshot(job, {"orders": load(spark, sf_dir, "orders").select(*state)}, "shop")
+    return store.current(spark, job, "orders")
+
+
 # --- schema evolution ------------------------------------------------------
 
 EVOLUTION = [

@@ -63,7 +63,8 @@ def from_offset(
 
     After seeking, ``skip_events`` whole events are passed over, then the first
     ``skip_rows`` rows of the event that follows. Both counts are part of a
-    saved offset and small, so the cut is found by a top-n, not by a sort.
+    saved offset and small, so the cut is found by a top-n, not by a sort, and is then one literal
+    bound on the log.
     """
     rows = changes.filter(at_or_after(file_no, pos))
     if not skip_events and not skip_rows:
@@ -72,13 +73,13 @@ def from_offset(
     events = rows.select(seq["file_no"].alias("f"), seq["pos"].alias("p")).distinct()
     # The event that reading resumes in is the last of the first skip_events + 1.
     head = events.orderBy("f", "p").limit(skip_events + 1)
-    cut = head.agg(F.max(F.struct("f", "p")).alias("cut"), F.count("*").alias("n"))
+    found = head.agg(F.max(F.struct("f", "p")).alias("cut"), F.count("*").alias("n")).first()
     # With fewer events than are to be skipped nothing is left.
-    cut = cut.select(
-        F.when(F.col("n") == skip_events + 1, F.col("cut")).alias("cut")
-    ).scalar()
-    here = F.struct(seq["file_no"].alias("f"), seq["pos"].alias("p"))
-    return rows.filter((here > cut) | ((here == cut) & (seq["row"] >= skip_rows)))
+    if found.n < skip_events + 1:
+        return rows.filter(F.lit(False))
+    last_file, last = found.cut
+    here = (seq["file_no"] == last_file) & (seq["pos"] == last)
+    return changes.filter(at_or_after(last_file, last) & (~here | (seq["row"] >= skip_rows)))
 
 
 def _gtid_ranges(gtid_set: str) -> list[tuple[str, list[tuple[int, int]]]]:
@@ -131,9 +132,12 @@ def snapshot_chunks(table: DataFrame, key: str, size: int) -> DataFrame:
     )
 
 
-def jdbc_snapshot(spark, url: str, table: str, key: str, low: int, high: int, size: int, **options) -> DataFrame:
-    """A snapshot read over JDBC, one partition per chunk of ``size`` keys."""
-    parts = max(1, -(-(high - low + 1) // size))
+def jdbc_snapshot(
+    spark, url: str, table: str, key: str, low: int, high: int, rows: int, size: int, **options
+) -> DataFrame:
+    """A snapshot read over JDBC in partitions of about ``size`` of its ``rows`` rows: as many as the
+    rows ask for, however far apart the keys are."""
+    parts = max(1, min(-(-rows // size), high - low + 1))
     return (
         spark.read.format("jdbc")
         .options(url=url, dbtable=table, partitionColumn=key, lowerBound=low, upperBound=high + 1,
