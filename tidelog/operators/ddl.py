@@ -170,6 +170,12 @@ def event_kind(change_type: Column, ddl: Column) -> Column:
     )
 
 
+def _statements(ddl_events: DataFrame, column: str, word: str) -> DataFrame:
+    """The events whose text has a word, dealt out evenly: a statement takes far longer to read than to
+    move, and DDL is a small part of a log that may lie in few of its files."""
+    return ddl_events.filter(F.col(column).rlike(rf"(?i)\b{word}\b")).repartition(F.xxhash64(column))
+
+
 def alter_operations(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
     """One row per column operation of an ALTER TABLE, in statement order:
     ``ordinal, operation, column_name, new_name, definition``.
@@ -178,7 +184,7 @@ def alter_operations(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
     """
     names = ddl_events.columns
     # A statement may start with comments, so what it is shows once they are gone.
-    rows = _with_pieces(ddl_events.filter(F.col(column).rlike(r"(?i)\balter\b")), F.col(column), "_clauses")
+    rows = _with_pieces(_statements(ddl_events, column, "alter"), F.col(column), "_clauses")
     head = F.get("_clauses", F.lit(0))
     rows = rows.filter(head.rlike(ALTER_HEAD))
     clauses = F.concat(F.array(F.regexp_replace(head, ALTER_HEAD, "")), F.slice("_clauses", 2, F.size("_clauses")))
@@ -264,12 +270,14 @@ def with_definition(rows: DataFrame, column: str = "definition", strict: bool =
     specs = F.col("_specs")
     modifiers = F.filter(F.transform(specs, F.upper), lambda w: w.isin(*TYPE_MODIFIERS))
     source = F.trim(F.concat_ws(" ", F.upper("_type"), F.array_join(modifiers, " ")))
-    sizes = [F.coalesce(F.get("_args", F.lit(i)), F.lit(0)) for i in (0, 1)]
-    typed = F.col("_type").isNotNull()
     rows = _once(
-        rows, target_type=F.when(typed, target_type(source, *sizes, strict)),
-        spark_type=F.when(typed, F.coalesce(spark_type_text(source, *sizes), F.lit("string"))),
+        rows, _source=F.when(F.col("_type").isNotNull(), source),
+        _length=F.coalesce(F.get("_args", F.lit(0)), F.lit(0)), _scale=F.coalesce(F.get("_args", F.lit(1)), F.lit(0)),
         _default=_word_after(specs, "DEFAULT"), _comment=_word_after(specs, "COMMENT"))
+    given, sizes = F.col("_source"), (F.col("_length"), F.col("_scale"))
+    rows = rows.select(
+        *names, "_default", "_comment", F.when(given.isNotNull(), target_type(given, *sizes, strict)).alias("target_type"),
+        F.when(given.isNotNull(), F.coalesce(spark_type_text(given, *sizes), F.lit("string"))).alias("spark_type"))
     return rows.select(
         *names, "target_type", "spark_type",
         default_value(F.col("target_type"), literal_default(F.col("_default"))).alias("default_value"),
@@ -283,7 +291,7 @@ def create_columns(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
     Keys are columns marked PRIMARY and those of PRIMARY KEY and UNIQUE indexes.
     """
     names = ddl_events.columns
-    rows = _with_units(ddl_events.filter(F.col(column).rlike(r"(?i)\bcreate\b")), F.col(column), "_u")
+    rows = _with_units(_statements(ddl_events, column, "create"), F.col(column), "_u")
     u = F.col("_u")
     table = _skip(F.lit(1), u, "TEMPORARY")
     rows = _once(rows, _at=_skip(table + 1, u, "IF", "NOT", "EXISTS") + 1, _is=(_word(u, 0) == "CREATE") & (_word(u, table) == "TABLE"))
