@@ -41,4 +41,4 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sentence_spans")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentence_spans.dedup(docs)
+    return sentence_spans.dedup(docs, tails=True)

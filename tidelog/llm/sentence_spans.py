@@ -1,9 +1,11 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of several consecutive sentences is hashed: from each sentence on, the shortest run of at
-least ``SENTENCES`` sentences and ``WORDS`` words, or of ``LONG`` words in fewer. Runs meet by hash
-over the whole corpus; the first occurrence (least key, then place) stays, and a sentence that any
-other occurrence covers is removed.
+Runs of consecutive sentences are hashed: from each sentence on, the shortest run of at least
+``SENTENCES`` sentences and ``WORDS`` words, or of ``LONG`` words in fewer; with ``tails``, also the
+shortest such run up to each sentence. With both, every sentence of a repeated passage that is long
+enough for a run lies in a run within the passage: where the run from it leaves the passage, the run
+up to the passage's end begins before it. Runs meet by hash over the whole corpus; the first
+occurrence (least key, then place) stays, and a sentence that any other occurrence covers is removed.
 
 A run's occurrences are never gathered: an aggregate finds the first of each, and a join, whose hot
 keys Spark splits, marks the others. Only a document's own marks come together.
@@ -37,28 +39,40 @@ def sentences(text: str) -> list[str]:
     return _SENTENCE.findall(text)
 
 
-def runs(text: str, least: int = SENTENCES, words: int = WORDS, long: int = LONG):
+def runs(text: str, least: int = SENTENCES, words: int = WORDS, long: int = LONG, tails: bool = False):
     """(hash as two signed 64-bit numbers, first sentence, last sentence) of every run of a text."""
     import xxhash
 
-    at, plain, sizes = [], [], []
+    at, plain, sums = [], [], [0]
     for i, s in enumerate(sentences(text)):
         w = s.encode().lower().split()
         if w:
             at.append(i)
             plain.append(b" ".join(w))
-            sizes.append(len(w))
-    end, total = 0, 0  # the run is plain[begin:end] with total words
+            sums.append(sums[-1] + len(w))
+
+    def enough(begin: int, end: int) -> bool:  # plain[begin:end] is a run
+        total = sums[end] - sums[begin]
+        return total >= long or total >= words and end - begin >= least
+
+    found, end = [], 0
     for begin in range(len(plain)):
-        while end < len(plain) and not (total >= long or total >= words and end - begin >= least):
-            total += sizes[end]
+        while end < len(plain) and not enough(begin, end):
             end += 1
-        if not (total >= long or total >= words and end - begin >= least):
-            return
+        if not enough(begin, end):
+            break
+        found.append((begin, end))
+    if tails:
+        begin, known = 0, set(found)
+        for end in range(1, len(plain) + 1):
+            while begin + 1 < end and enough(begin + 1, end):
+                begin += 1
+            if enough(begin, end) and (begin, end) not in known:
+                found.append((begin, end))
+    for begin, end in found:
         digest = xxhash.xxh3_128_digest(b"\n".join(plain[begin:end]))
         yield (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True),
                at[begin], at[end - 1])
-        total -= sizes[begin]
 
 
 def repeated(docs: DataFrame, key: str, text: str, **how) -> DataFrame:
