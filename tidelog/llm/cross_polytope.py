@@ -5,9 +5,12 @@ transform) and the signed axis nearest to the result. Rows lie in one bucket of
 probes, in each table, the axes with the largest components of its rotation. Rows met in a probed
 bucket are candidates and are compared by the exact inner product.
 
-The nearest row is that of the largest inner product, also where lengths differ: rows are scaled into
-the unit ball and lifted onto the sphere by one more component, queries lift with 0, which keeps the
-order of inner products.
+The nearest row is that of the largest inner product, also where lengths differ: rows are indexed in
+bands of length, ``BANDS_PER_DOUBLING`` to a factor of 2. Each band is scaled into the unit ball by its
+own longest row and lifted onto the sphere by one more component, queries lift with 0, which keeps the
+order of inner products. Queries probe all bands, so a row of another length changes nothing in a band.
+
+A query that meets too few rows for its list is compared with all rows, chunk by chunk.
 
 Equal vectors are one entry with its least ids, so copies fill no bucket. A bucket with many entries
 is cut into chunks of a bounded expected size, and its queries visit all of them: no task gets more
@@ -25,9 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import materialize
+
 TABLES = 16
 PROBES = 16
 NEAREST = 20
+BANDS_PER_DOUBLING = 4
 ROWS_PER_CHUNK = 4096
 QUERIES_AT_ONCE = 512
 SEED = 6
@@ -71,8 +77,8 @@ def _usable(vector: Column) -> Column:
     return vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0)
 
 
-def _hashed(entries: DataFrame, tables: int, probes: int, longest: float, lift: bool, seed: int) -> DataFrame:
-    """entries (id, dim, v) with ``at``, an array of (table, bucket)."""
+def _hashed(entries: DataFrame, tables: int, probes: int, lift: bool, seed: int) -> DataFrame:
+    """entries (id, dim, v, band, longest) with ``at``, an array of (table, bucket)."""
 
     def run(batches):
         for batch in batches:
@@ -82,7 +88,8 @@ def _hashed(entries: DataFrame, tables: int, probes: int, longest: float, lift:
                 here = np.flatnonzero(dims == dim)
                 x = _matrix(batch.column(2).take(pa.array(here)))
                 if lift:
-                    x = x / longest
+                    longest = batch.column(4).to_numpy()[here]
+                    x = x / np.where(longest > 0, longest, 1.0)[:, None]
                     x = np.hstack((x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1)))[:, None]))
                 else:
                     x = np.hstack((x / np.sqrt((x * x).sum(axis=1))[:, None], np.zeros((len(x), 1))))
@@ -90,9 +97,10 @@ def _hashed(entries: DataFrame, tables: int, probes: int, longest: float, lift:
                 found = found + (np.arange(tables) << 32)[None, :, None]
                 for row, codes in zip(here, found.reshape(len(here), -1)):
                     out[row] = codes
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, type=pa.list_(pa.int64()))], names=["id", "dim", "v", "at"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, type=pa.list_(pa.int64()))], names=[*batch.schema.names, "at"])
 
-    return entries.select("id", "dim", "v").mapInArrow(run, "id bigint, dim int, v array<double>, at array<bigint>")
+    return entries.select("id", "dim", "v", "band", "longest").mapInArrow(
+        run, "id bigint, dim int, v array<double>, band int, longest double, at array<bigint>")
 
 
 def _best(scores: np.ndarray, ids: list, k: int):
@@ -138,23 +146,42 @@ def search(rows: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str
     copies = Window.partitionBy("v").orderBy("id")
     ranked = entries(rows).distinct().withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1)
     classes = ranked.groupBy("v").agg(F.min("id").alias("id"), F.sort_array(F.collect_list("id")).alias("ids"))
-    index = classes.select("id", F.size("v").alias("dim"), "v")
-    asked = entries(queries).groupBy("v").agg(F.min("id").alias("id")).select("id", F.size("v").alias("dim"), "v")
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    longest = index.agg(F.max(F.sqrt(square))).first()[0] or 1.0
-
-    placed = _hashed(index, tables, 1, longest, True, seed).select("id", "dim", "v", F.explode("at").alias("at"))
-    chunk_of = F.pmod(F.xxhash64("id"), F.col("chunks"))
-    sizes = placed.groupBy("dim", "at").agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_CHUNK).cast("long").alias("chunks"))
-    placed = placed.join(sizes, ["dim", "at"]).select("id", "dim", "v", "at", chunk_of.alias("chunk"))
-    probing = _hashed(asked, tables, probes, longest, False, seed).select("id", "dim", "v", F.explode("at").alias("at"))
-    probing = probing.join(sizes, ["dim", "at"]).select(
-        "id", "dim", "v", "at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"))
-
-    where = ["dim", "at", "chunk"]
-    met = placed.groupBy(*where).cogroup(probing.groupBy(*where)).applyInArrow(
-        lambda key_, left, right: _meet(key_, left, right, k + 1), "query bigint, id bigint, score double")
-    found = met.distinct().join(classes.select("id", "ids"), "id").select("query", "score", F.explode("ids").alias("id"))
+    # Bands begin half a band off the powers of 2, so that unit lengths, as rounded, are in one.
+    band = F.coalesce(F.floor(F.log2(F.sqrt(square)) * BANDS_PER_DOUBLING + 0.5).cast("int"), F.lit(-(1 << 30)))
+    index = classes.select("id", F.size("v").alias("dim"), "v", band.alias("band"), F.sqrt(square).alias("length"))
+    longest = index.groupBy("dim", "band").agg(F.max("length").alias("longest"))
+    index = index.join(longest, ["dim", "band"])
+    asked = entries(queries).groupBy("v").agg(F.min("id").alias("id")).select(
+        "id", F.size("v").alias("dim"), "v", F.lit(0).alias("band"), F.lit(1.0).alias("longest"))
+
+    def meet(placed: DataFrame, probing: DataFrame, where: list[str]) -> DataFrame:
+        """The nearest rows in each chunk of what both have in common; ``probing`` visits all chunks."""
+        sizes = placed.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / ROWS_PER_CHUNK).cast("long").alias("chunks"))
+        chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).alias("chunk")
+        left = placed.join(sizes, where).select(*where, "id", "v", chunk)
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk")
+        right = probing.join(sizes, [c for c in where if c != "band"]).select(*where, "id", "v", every)
+        right = right.select(*[F.col(c).alias(c) for c in right.columns])  # columns of their own, not those of ``sizes``
+        by = [*where, "chunk"]
+        return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(
+            lambda key_, rows_, queries_: _meet(key_, rows_, queries_, k + 1), "query bigint, id bigint, score double").distinct()
+
+    placed = _hashed(index, tables, 1, True, seed).select("id", "dim", "v", "band", F.explode("at").alias("at"))
+    probing = _hashed(asked, tables, probes, False, seed).select("id", "dim", "v", F.explode("at").alias("at"))
+    met = materialize(meet(placed, probing, ["dim", "band", "at"]))
+
+    # Queries with fewer rows than a list and the query itself, where there are more to be had.
+    copies_of = classes.select("id", F.size("ids").alias("copies"), F.size("v").alias("dim"))
+    had = met.join(copies_of.select("id", "copies"), "id").groupBy("query").agg(F.sum("copies").alias("had"))
+    there = copies_of.groupBy("dim").agg(F.sum("copies").alias("there"))
+    short = asked.join(there, "dim").join(had, F.col("id") == F.col("query"), "left").where(
+        F.coalesce("had", F.lit(0)) < F.least(F.col("there"), F.lit(k + 1)))
+    short = materialize(short.select("id", "dim", "v"))
+    if not short.isEmpty():
+        rest = met.join(short.select(F.col("id").alias("query")), "query", "left_anti")
+        met = rest.unionAll(meet(index.select("id", "dim", "v"), short, ["dim"]))
+    found = met.join(classes.select("id", "ids"), "id").select("query", "score", F.explode("ids").alias("id"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "id")
     found = found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
 
