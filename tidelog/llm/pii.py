@@ -34,7 +34,7 @@ FORMS = {
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]{2}", "phone": r"\+[0-9]"}
+NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 # Strings that may be identifiers, seeds or not: with an @ or at least MIN_DIGITS digits.
 LOOKS = r"(?<![A-Za-z0-9@._+-])(?=[A-Za-z._+-]*+[0-9@])[A-Za-z0-9@._+-]++"
 MIN_DIGITS = 4
