@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from tidelog.llm import queries_arrow, queries_native  # noqa: F401  (it registers)
+from tidelog.llm import queries_arrow, queries_blocks, queries_native  # noqa: F401  (it registers)
 from tidelog.llm.registry import ORACLES, QUERIES  # noqa: F401
