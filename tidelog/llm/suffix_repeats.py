@@ -327,10 +327,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
         each = np.where(kinds == 3, count[at], 1)  # rows that an answer needs
         row = np.repeat(np.arange(len(at)), each)
         shift = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
-        single = kinds[row] == 3
+        single, known = kinds[row] == 3, kinds[row] == 1
         place = begin[at][row] + shift
         size = np.where(single, least, count[at][row] + least - 1)
-        keys = a[row].copy()
+        size[known] = 0
+        group = np.full(len(row), table["__group"][0].as_py(), np.int64)
+        keys = np.where(known, _join(a[row], group).view(np.int64), a[row])  # what is known needs no company
         if single.any():
             words = _words(_gather(data, place[single], least))
             own = a[row][single].view(np.uint64)
@@ -338,11 +340,11 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
                 own = _join(own, np.ascontiguousarray(column))
             keys[single] = own.view(np.int64)
         bodies = pa.array([data[p:p + s].tobytes() for p, s in zip(place.tolist(), size.tolist())], pa.binary())
-        group = np.full(len(row), table["__group"][0].as_py(), np.int64)
         return pa.table([pa.array(keys), pa.array(a[row]), pa.array(c[row].astype(np.int32)), pa.array(group),
                          pa.array(np.where(single, shift, -1).astype(np.int32)), bodies], names=names)
 
-    sent = dealt.groupBy("__group").cogroup(met.where("kind > 1").groupBy("__group")).applyInArrow(
+    # Answers that are known already come along, so that the windows are worked out once.
+    sent = dealt.groupBy("__group").cogroup(met.groupBy("__group")).applyInArrow(
         contexts, "key bigint, a bigint, c int, g bigint, shift int, context binary")
 
     def answers(batches):
@@ -357,9 +359,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
         if held is not None and held.num_rows:
             yield _answered(held, least)
 
-    masks = sent.repartition("key").sortWithinPartitions("key").mapInArrow(
+    replies = sent.repartition("key").sortWithinPartitions("key").mapInArrow(
         answers, "__group bigint, a bigint, c int, mask bigint")
-    replies = met.where("kind = 1").select("__group", "a", "c", F.lit(-1).cast("bigint").alias("mask")).unionAll(masks)
 
     def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
         data, offsets, keys = _texts(table, key, text)
@@ -388,9 +389,12 @@ def _answered(rows: pa.Table, least: int) -> pa.RecordBatch:
     column = rows["context"].combine_chunks()
     column = (column.chunk(0) if isinstance(column, pa.ChunkedArray) else column).cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2], np.uint8)
-    group, shift = rows["g"].to_numpy(), rows["shift"].to_numpy()
-    masks = covered(rows["key"].to_numpy(), group >> SUB_BITS, data, offsets[:-1], np.diff(offsets) - least + 1, least)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    group, shift, size = rows["g"].to_numpy(), rows["shift"].to_numpy(), np.diff(offsets)
+    masks = np.full(rows.num_rows, (1 << 64) - 1, np.uint64)  # an answer that was known has no context
+    ask = np.flatnonzero(size)
+    masks[ask] = covered(
+        rows["key"].to_numpy()[ask], group[ask] >> SUB_BITS, data, offsets[:-1][ask], size[ask] - least + 1, least)
     masks = np.where(shift < 0, masks, masks << np.maximum(shift, 0).astype(np.uint64))
     hit = np.flatnonzero(masks)
     return pa.RecordBatch.from_arrays(
