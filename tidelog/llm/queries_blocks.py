@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import suffix_repeats
+from tidelog.llm import centroids, suffix_repeats
 from tidelog.llm.registry import load, query
 
 
@@ -30,3 +30,31 @@ FROM x""")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_repeats.dedup(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _rounds_sql() -> str:
+    """The rounds of op11, one pair of tables after another."""
+    near = """a{i} AS MATERIALIZED (SELECT id, vec_id, v, arg_min(k, d * 8 + k) AS k, min(d) AS d FROM (
+  SELECT id, vec_id, v, k, CAST(list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS HUGEINT) AS d
+  FROM v, c{i}) GROUP BY ALL)"""
+    parts = [near.format(i=0)]
+    for i in range(1, centroids.ROUNDS + 1):
+        parts.append(f"""c{i} AS MATERIALIZED (SELECT k, coalesce(m, c) AS c FROM c{i - 1} LEFT JOIN (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS m FROM (
+    SELECT k, j, sum(v[j]) AS s, count(*) AS n FROM a{i - 1}, range(1, 65) AS r(j) GROUP BY k, j) GROUP BY k) USING (k))""")
+        parts.append(near.format(i=i))
+    return ",\n".join(parts)
+
+
+@query("op11_scalar_tables", f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS INTEGER) AS k, v AS c FROM v ORDER BY k LIMIT 8),
+{_rounds_sql()}
+SELECT vec_id, k AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{centroids.ROUNDS} JOIN c{centroids.ROUNDS} USING (k)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(load(spark, sf_dir, "embeddings")).drop("centroid")
