@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import centroids, suffix_repeats
+from tidelog.llm import centroids, conversations, suffix_repeats
 from tidelog.llm.registry import load, query
 
 
@@ -58,3 +58,45 @@ SELECT vec_id, k AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PA
 FROM a{centroids.ROUNDS} JOIN c{centroids.ROUNDS} USING (k)""")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster(load(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(n) + 1), lambda i: CAST(ord(n[i]) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+_MADE = """{'cost': (l).cost + 2 * m + %s, 'audit': (l).audit || repeat('I', m) || %s, 'rep': list_concat(list_concat((l).rep, lines), %s)}"""
+
+
+@query("op12_bidirectional_repair", f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS kind
+  FROM (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS n FROM conversations)),
+c AS MATERIALIZED (SELECT conv_id, row_number() OVER () AS cid FROM (SELECT DISTINCT conv_id FROM conversations)),
+r AS (SELECT cid, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM k JOIN c ON k.conv_id IS NOT DISTINCT FROM c.conv_id WHERE kind <> 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+  row_number() OVER (PARTITION BY cid, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM r),
+o AS MATERIALIZED (SELECT *, role[1] AS a, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN nth > 1 THEN 'd'
+    WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\\z') THEN 't' ELSE '' END AS fault,
+  coalesce(lag(role[1]) OVER (PARTITION BY cid ORDER BY i) || role[1] NOT IN ('su', 'ua', 'au'), false) AS bad FROM p),
+e(q, x, m, lines) AS (VALUES (0, 0, 0, CAST([] AS VARCHAR[])), (0, 2, 1, ['user:']), (0, 3, 2, ['user:', 'assistant:']), (1, 1, 0, []), (1, 2, 1, ['user:']),
+  (1, 3, 2, ['user:', 'assistant:']), (2, 2, 0, []), (2, 3, 1, ['assistant:']), (3, 3, 0, []), (3, 2, 1, ['user:'])),
+t AS (
+  SELECT cid, 0 AS i, 0 AS q, {{'cost': 0, 'audit': '', 'rep': CAST([] AS VARCHAR[])}} AS l FROM c
+  UNION ALL
+  SELECT cid, CAST(i AS INTEGER), q, min(l) FROM (
+    SELECT t.cid, o.i, CASE op WHEN 1 THEN x WHEN 2 THEN CASE a WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END WHEN 3 THEN CASE x WHEN 2 THEN 3 ELSE 2 END END AS q,
+      CASE op WHEN 1 THEN {_MADE % ("3", "'D'", "[]")}
+        WHEN 2 THEN {_MADE % ("CAST(fault = 't' AS INTEGER)", "'K'", "[role || ':' || text]")}
+        ELSE {_MADE % ("2 + CAST(fault = 't' AS INTEGER)", "'R'", "[CASE x WHEN 2 THEN 'assistant:' ELSE 'user:' END || text]")} END AS l
+    FROM t JOIN o ON o.cid = t.cid AND o.i = t.i + 1 JOIN e ON e.q = t.q, (VALUES (1), (2), (3)) AS ops(op)
+    WHERE op = 1 OR (fault NOT IN ('b', 'd') AND (op = 3 OR a = 's' AND x = 0 OR a = 'u' AND x <> 2 OR a = 'a' AND x = 2)))
+  GROUP BY cid, i, q),
+s AS (SELECT cid, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+  count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (bad) AS illegal FROM o GROUP BY cid),
+w AS (SELECT t.cid, min({_MADE % ("0", "''", "[]")}) AS l FROM t LEFT JOIN s USING (cid) JOIN e USING (q)
+  WHERE t.i = coalesce(n, 0) AND x IN (0, 3) GROUP BY t.cid)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST((l).cost AS BIGINT) AS cost, (l).audit AS audit,
+  sha256(coalesce(array_to_string((l).rep, chr(10)), '')) AS repaired_sha256
+FROM c JOIN w USING (cid) LEFT JOIN s USING (cid)""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(load(spark, sf_dir, "conversations"))).drop("repaired")
