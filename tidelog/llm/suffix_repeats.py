@@ -45,6 +45,7 @@ MOST_CONTEXTS = 4096
 STEP = 1 << 20  # bytes that are hashed at a time
 SUB_BITS = 11  # of a group's number: its part of a key that fills several groups
 MADE = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
+WHOLE, KNOWN = -1, -2  # in place of a start: a whole context, answers that are known
 _LOW = np.int64(0xFFFFFFFF)
 
 
@@ -323,27 +324,33 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
         name = _join(anchor[rep], context[rep])
         order = np.argsort(name)
         a, c, kinds = (asked[x].to_numpy().astype(np.int64) for x in ("a", "c", "kind"))
+        group, known = table["__group"][0].as_py(), kinds == 1
+        told = a[known].tobytes() + c[known].astype(np.int32).tobytes()
+        a, c, kinds = a[~known], c[~known], kinds[~known]
         at = rep[order[np.searchsorted(name[order], _join(a, c & _LOW))]]
         each = np.where(kinds == 3, count[at], 1)  # rows that an answer needs
         row = np.repeat(np.arange(len(at)), each)
         shift = np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
-        single, known = kinds[row] == 3, kinds[row] == 1
+        single = kinds[row] == 3
         place = begin[at][row] + shift
         size = np.where(single, least, count[at][row] + least - 1)
-        size[known] = 0
-        group = np.full(len(row), table["__group"][0].as_py(), np.int64)
-        keys = np.where(known, _join(a[row], group).view(np.int64), a[row])  # what is known needs no company
+        keys = a[row].copy()
         if single.any():
             words = _words(_gather(data, place[single], least))
             own = a[row][single].view(np.uint64)
             for column in words.T:
                 own = _join(own, np.ascontiguousarray(column))
             keys[single] = own.view(np.int64)
-        bodies = pa.array([data[p:p + s].tobytes() for p, s in zip(place.tolist(), size.tolist())], pa.binary())
-        return pa.table([pa.array(keys), pa.array(a[row]), pa.array(c[row].astype(np.int32)), pa.array(group),
-                         pa.array(np.where(single, shift, -1).astype(np.int32)), bodies], names=names)
-
-    # Answers that are known already come along, so that the windows are worked out once.
+        bodies = [data[p:p + s].tobytes() for p, s in zip(place.tolist(), size.tolist())]
+        columns = keys, a[row], c[row].astype(np.int32), np.full(len(row), group), np.where(single, shift, WHOLE).astype(np.int32)
+        rows = pa.table([*[pa.array(x, t) for x, t in zip(columns, _TYPES)], pa.array(bodies, pa.binary())], names=names)
+        if not told:
+            return rows
+        whose = int(_mix(np.array([group], np.uint64)).view(np.int64)[0])
+        known = pa.table([pa.array([x], t) for x, t in zip((whose, 0, 0, group, KNOWN, told), _TYPES)], names=names)
+        return pa.concat_tables([rows, known])
+
+    # Answers that are known already come along, packed in one row of their group, so that the windows are worked out once.
     sent = dealt.groupBy("__group").cogroup(met.groupBy("__group")).applyInArrow(
         contexts, "key bigint, a bigint, c int, g bigint, shift int, context binary")
 
@@ -360,18 +367,14 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int =
             yield _answered(held, least)
 
     replies = sent.repartition("key").sortWithinPartitions("key").mapInArrow(
-        answers, "__group bigint, a bigint, c int, mask bigint")
+        answers, "__group bigint, a bigint, c int, mask bigint, known binary")
 
     def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
         data, offsets, keys = _texts(table, key, text)
         anchor, context, begin, count, doc = runs(data, offsets, least)
         masks = _within(anchor, context, keys[doc], data, begin, count, least)
         if replies.num_rows and len(anchor):
-            name = _join(replies["a"].to_numpy(), replies["c"].to_numpy().astype(np.int64) & _LOW)
-            order = np.argsort(name, kind="stable")
-            first = np.flatnonzero(np.r_[True, name[order][1:] != name[order][:-1]])
-            told = np.bitwise_or.reduceat(replies["mask"].to_numpy().view(np.uint64)[order], first)
-            known, mine = name[order][first], _join(anchor, context & _LOW)
+            (known, told), mine = _told(replies), _join(anchor, context & _LOW)
             at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
             masks = np.where(known[at] == mine, masks | told[at], masks)
         return _cut(table, data, offsets, begin, count, masks, least)
@@ -391,15 +394,31 @@ def _answered(rows: pa.Table, least: int) -> pa.RecordBatch:
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     group, shift, size = rows["g"].to_numpy(), rows["shift"].to_numpy(), np.diff(offsets)
-    masks = np.full(rows.num_rows, (1 << 64) - 1, np.uint64)  # an answer that was known has no context
-    ask = np.flatnonzero(size)
+    ask = np.flatnonzero(shift != KNOWN)
+    masks = np.zeros(rows.num_rows, np.uint64)
     masks[ask] = covered(
         rows["key"].to_numpy()[ask], group[ask] >> SUB_BITS, data, offsets[:-1][ask], size[ask] - least + 1, least)
-    masks = np.where(shift < 0, masks, masks << np.maximum(shift, 0).astype(np.uint64))
-    hit = np.flatnonzero(masks)
+    masks <<= np.maximum(shift, 0).astype(np.uint64)
+    hit = np.flatnonzero((masks != 0) | (shift == KNOWN))
+    known = pa.array([column[i].as_py() if shift[i] == KNOWN else None for i in hit.tolist()], pa.binary())
     return pa.RecordBatch.from_arrays(
-        [pa.array(group[hit]), pa.array(rows["a"].to_numpy()[hit]), pa.array(rows["c"].to_numpy()[hit]), pa.array(masks[hit].view(np.int64))],
-        names=["__group", "a", "c", "mask"])
+        [pa.array(group[hit]), pa.array(rows["a"].to_numpy()[hit]), pa.array(rows["c"].to_numpy()[hit]),
+         pa.array(masks[hit].view(np.int64)), known], names=["__group", "a", "c", "mask", "known"])
+
+
+def _told(replies: pa.Table):
+    """(hash of anchor and context, bits) of every answer a group got."""
+    full = np.uint64((1 << 64) - 1)
+    a, c, masks = [replies["a"].to_numpy()], [replies["c"].to_numpy()], [replies["mask"].to_numpy().view(np.uint64)]
+    for packed in replies["known"].drop_null().to_pylist():
+        n = len(packed) // 12
+        a.append(np.frombuffer(packed, np.int64, n))
+        c.append(np.frombuffer(packed, np.int32, n, 8 * n))
+        masks.append(np.full(n, full))
+    name, masks = _join(np.concatenate(a), np.concatenate(c).astype(np.int64) & _LOW), np.concatenate(masks)
+    order = np.argsort(name, kind="stable")
+    first = np.flatnonzero(np.r_[True, name[order][1:] != name[order][:-1]])
+    return name[order][first], np.bitwise_or.reduceat(masks[order], first)
 
 
 def _cut(table, data, offsets, begin, count, masks, least) -> pa.Table:
