@@ -177,3 +177,31 @@ def test_catalog_round_trip(spark):
     catalog.drop_database(spark, "cat_db", cascade=True)
     catalog.drop_database(spark, "cat_db")
     assert "cat_db" not in catalog.list_databases(spark)
+
+
+def test_a_hundred_thousand_columns(spark):
+    """Reading takes time in proportion to the statement."""
+    items = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(99_999)), lambda i: F.concat(
+        F.lit("`c"), i.cast("string"), F.lit("` ENUM('x,(','y') DEFAULT (lower(left('(',1))) COMMENT 'a,('"))), ", ")
+    df = spark.range(1).select(F.concat(F.lit("CREATE TABLE t ("), items, F.lit(", PRIMARY KEY (c7))")).alias("ddl"))
+    got = ddl.create_columns(df).agg(
+        F.count(F.lit(1)).alias("n"), F.max("ordinal").alias("last"), F.count_if("is_key").alias("keys"),
+        F.count_if(F.col("comment") == "a,(").alias("told")).first()
+    assert tuple(got) == (100_000, 99_999, 1, 100_000)
+    adds = df.select(F.regexp_replace("ddl", r"^CREATE TABLE t \(|, PRIMARY KEY \(c7\)\)$", "").alias("ddl"))
+    adds = adds.select(F.concat(F.lit("ALTER TABLE t ADD ("), "ddl", F.lit(")")).alias("ddl"))
+    assert ddl.alter_operations(adds).count() == 100_000
+
+
+def test_odd_brackets(spark):
+    deep = "(" * 30 + "1, 2" + ")" * 30
+    assert ops(spark, f"ALTER TABLE t ADD a INT DEFAULT {deep}, DROP b", "ALTER TABLE t ADD a INT DEFAULT (1, DROP b",
+               "ALTER TABLE t ADD a) INT, DROP b", "ALTER TABLE t ADD a INT COMMENT 'it, DROP b") == [
+        ("ADD", "a", None), ("DROP", "b", None), ("ADD", "a", None), ("ADD", "a)", None), ("DROP", "b", None),
+        ("ADD", "a", None), ("DROP", "b", None)]
+
+
+def test_one_statement_on_many_shards_is_dealt_out(spark):
+    df = spark.range(20_000).select("id", F.lit("ALTER TABLE t ADD a INT").alias("ddl"))
+    dealt = ddl._statements(df, "ddl", "alter").groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) > 1 and sum(r["count"] for r in dealt) == 20_000

@@ -20,13 +20,25 @@ HISTORY = """
       defaultValueExpression: string, comment: string>>>>>
 """
 
-# A statement is read as tokens: quoted texts, comments, white space, brackets, commas, and runs of
-# anything else. Every repetition is possessive, so a text of any length is read without recursion.
-TOKEN = (
-    r"(?s)'(?:[^'\\]++|\\.|'')*+'|\"(?:[^\"\\]++|\\.|\"\")*+\"|`(?:[^`]++|``)*+`"
-    r"|/\*(?:[^*]++|\*(?!/))*+\*/|(?:--(?=\s|$)|#)[^\n]*+|\s++|[(),;]|[^\s(),;'\"`/#-]++|."
-)
-BLANK = r"(?s)^(?:\s|/\*|--(?:\s|$)|#)"
+# A statement is read by three patterns: what a comment ends, what a comma outside of brackets ends, and what
+# white space outside of brackets ends. A bracket is taken whole, with brackets in it to a fixed depth, so no
+# depth is counted and no list is built piece by piece but in statements that nest deeper. Every repetition is possessive: a text of any length
+# is read in one pass, without recursion but into brackets. A bracket that is never closed goes on to the end.
+NESTING = 32
+QUOTED = r"'(?:[^'\\]++|\\.|'')*+'|\"(?:[^\"\\]++|\\.|\"\")*+\"|`(?:[^`]++|``)*+`"
+COMMENT = r"/\*(?:[^*]++|\*(?!/))*+(?:\*/|\z)|--(?=\s|\z)[^\n]*+|#[^\n]*+"
+
+
+def _bracket(levels: int) -> str:
+    inner = rf"|{_bracket(levels - 1)}" if levels else ""
+    return rf"\((?:{QUOTED}|[^()'\"`]++|['\"`]{inner})*+(?:\)|\z)"
+
+
+BRACKET = _bracket(NESTING)
+TOKEN = rf"(?s){QUOTED}|\s++|[(),;]|[^\s(),;'\"`]++|."
+TO_COMMENT = rf"(?s)((?:{QUOTED}|[^'\"`/#-]++|(?!{COMMENT}).)*+)(?:{COMMENT}|\z)"
+PIECE = rf"(?s)(?:{QUOTED}|{BRACKET}|[^,;('\"`]++|[('\"`])++"
+UNIT = rf"(?s){BRACKET}|(?:{QUOTED}|[^\s('\"`]++|['\"`])++|\("
 NAME = r"[`\"]?([\w$]+)[`\"]?"
 _PART = r"(?:`[^`]++`|\"[^\"]++\"|[^\s.`\"(]++)"
 ALTER_HEAD = rf"(?is)^ALTER\s+(?:(?:ONLINE|IGNORE)\s+)?TABLE\s+(?:IF\s+EXISTS\s+)?{_PART}(?:\s*\.\s*{_PART})?\s*"
@@ -50,14 +62,32 @@ CURRENT_TIMESTAMP = "CURRENT_TIMESTAMP"
 EPOCH_DEFAULT = "1970-01-01 00:00:00"
 
 
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s++|\s++$", "")
+
+
+def _plain(text: Column) -> Column:
+    """A statement with a blank for each comment."""
+    return _stripped(F.regexp_replace(text, TO_COMMENT, "$1 "))
+
+
+def _deep(text: Column) -> Column:
+    """Whether brackets nest deeper than the patterns read: only then one is left that opens."""
+    many = F.length(text) - F.length(F.replace(text, F.lit("("))) > NESTING
+    return many & F.contains(F.regexp_replace(text, rf"(?s){QUOTED}|{BRACKET}", ""), F.lit("("))
+
+
+# Texts that nest deeper are read token by token, with a running depth.
+
+
 def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
 def _text(tokens: Column | str, begin: Column, end: Column) -> Column:
-    """Tokens begin..end (the end is left out) as text, comments as blanks."""
+    """Tokens begin..end (the end is left out) as text."""
     part = F.slice(tokens, begin + 1, F.greatest(end - begin, F.lit(0)))
-    return F.trim(F.array_join(F.transform(part, lambda t: F.when(t.rlike(BLANK), " ").otherwise(t)), ""))
+    return F.trim(F.array_join(part, ""))
 
 
 def _spans() -> Column:
@@ -89,7 +119,7 @@ def _cut_to_units(tokens: Column) -> Column:
         t = F.get(tokens, k)
         outside, open_, close = s["depth"] == 0, t == "(", t == ")"
         depth = F.greatest(s["depth"] + F.when(open_, 1).when(close, -1).otherwise(0), F.lit(0))
-        blank = t.rlike(BLANK)
+        blank = t.rlike(r"^\s")
         ends = outside & (open_ | blank) & (s["begin"] >= 0)
         closes = close & (s["depth"] == 1)
         done = F.when(ends, F.array(F.struct(s["begin"].alias("begin"), k.alias("end")))).when(
@@ -111,23 +141,24 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _once(rows: DataFrame, **columns: Column) -> DataFrame:
-    """Columns put out by a generator: worked out once a row, whatever is asked of them later."""
-    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+def _cut(text: Column, pattern: str, places) -> Column:
+    folded = _let(_tokens(text), lambda t: F.transform(places(t), lambda s: _text(t, s["begin"], s["end"])))
+    return F.when(_deep(text), folded).otherwise(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
 
 
-def _with_pieces(rows: DataFrame, text: Column, name: str) -> DataFrame:
-    """An array ``name`` of the texts between top-level commas; empty for a NULL text."""
-    rows = _once(rows, _t=F.coalesce(_tokens(text), F.expr("cast(array() as array<string>)")))
-    rows = _once(rows, _b=_cut_at_commas(F.col("_t")))
-    pieces = F.transform("_b", lambda s: _text("_t", s["begin"], s["end"]))
-    return _once(rows, **{name: F.filter(pieces, lambda p: p != "")}).drop("_t", "_b")
+def _pieces(text: Column) -> Column:
+    """The texts between top-level commas; NULL for a NULL text."""
+    return F.filter(F.transform(_cut(text, PIECE, _cut_at_commas), _stripped), lambda p: p != "")
 
 
-def _with_units(rows: DataFrame, text: Column, name: str) -> DataFrame:
-    rows = _once(rows, _t=F.coalesce(_tokens(text), F.expr("cast(array() as array<string>)")))
-    rows = _once(rows, _b=_cut_to_units(F.col("_t")))
-    return _once(rows, **{name: F.transform("_b", lambda s: _text("_t", s["begin"], s["end"]))}).drop("_t", "_b")
+def _units(text: Column) -> Column:
+    """The units of a piece: a bracket with all it holds, or what stands together."""
+    return _cut(text, UNIT, _cut_to_units)
+
+
+def _once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Columns put out by a generator: worked out once a row, whatever is asked of them later."""
+    return rows.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def _unit(units: Column, k: int | Column) -> Column:
@@ -172,8 +203,11 @@ def event_kind(change_type: Column, ddl: Column) -> Column:
 
 def _statements(ddl_events: DataFrame, column: str, word: str) -> DataFrame:
     """The events whose text has a word, dealt out evenly: a statement takes far longer to read than to
-    move, and DDL is a small part of a log that may lie in few of its files."""
-    return ddl_events.filter(F.col(column).rlike(rf"(?i)\b{word}\b")).repartition(F.xxhash64(column))
+    move, and DDL is a small part of a log that may lie in few of its files. All columns decide, so that
+    one statement on many shards does not go to one task; the number is given, so that small tasks stay apart."""
+    told = [f.name for f in ddl_events.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    tasks = int(ddl_events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ddl_events.filter(F.col(column).rlike(rf"(?i)\b{word}\b")).repartition(tasks, F.xxhash64(*told))
 
 
 def alter_operations(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
@@ -184,20 +218,17 @@ def alter_operations(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
     """
     names = ddl_events.columns
     # A statement may start with comments, so what it is shows once they are gone.
-    rows = _with_pieces(_statements(ddl_events, column, "alter"), F.col(column), "_clauses")
-    head = F.get("_clauses", F.lit(0))
-    rows = rows.filter(head.rlike(ALTER_HEAD))
-    clauses = F.concat(F.array(F.regexp_replace(head, ALTER_HEAD, "")), F.slice("_clauses", 2, F.size("_clauses")))
+    rows = _once(_statements(ddl_events, column, "alter"), _plain=_plain(F.col(column)))
+    rows = _once(rows.filter(F.col("_plain").rlike(ALTER_HEAD)), _body=F.regexp_replace("_plain", ALTER_HEAD, "")).drop("_plain")
 
     # ADD (a INT, b INT) holds one operation per column.
     def listed(clause: Column) -> Column:
-        inner = F.regexp_replace(clause, rf"{ADD_LIST}|\)$", "")
-        parts = _let(_tokens(inner), lambda t: F.transform(
-            _cut_at_commas(t), lambda s: F.concat(F.lit("ADD "), _text(t, s["begin"], s["end"]))))
+        parts = F.transform(_pieces(F.regexp_replace(clause, rf"{ADD_LIST}|\)$", "")), lambda p: F.concat(F.lit("ADD "), p))
         return F.when(clause.rlike(ADD_LIST) & clause.endswith(")"), parts).otherwise(F.array(clause))
 
-    rows = rows.select(*names, F.posexplode(F.flatten(F.transform(clauses, listed))).alias("ordinal", "_clause"))
-    rows = _with_units(rows, F.col("_clause"), "_u")
+    clauses = F.transform(_pieces(F.col("_body")), listed)
+    rows = rows.select(*names, F.posexplode(F.flatten(clauses)).alias("ordinal", "_clause"))
+    rows = _once(rows, _u=_units(F.col("_clause")))
     u = F.col("_u")
     column_word = _word(u, 1) == "COLUMN"
     at = _skip(_skip(F.when(column_word, 2).otherwise(1), u, "IF", "NOT", "EXISTS"), u, "IF", "EXISTS")
@@ -258,21 +289,23 @@ def with_definition(rows: DataFrame, column: str = "definition", strict: bool =
     A type without an equal has a NULL target type (or, if strict, is an error) and is kept as text.
     """
     names = rows.columns
-    rows = _with_units(rows, F.col(column), "_u")
+    rows = _once(rows, _u=_units(F.col(column)))
     u = F.col("_u")
     bracket = F.coalesce(_unit(u, 2).startswith("("), F.lit(False))
+
+    def number(pattern: str) -> Column:
+        found = F.regexp_extract(_unit(u, 2), pattern, 1)
+        return F.coalesce(F.when(found != "", found.cast("int")), F.lit(0))
+
     rows = _once(
         rows, _type=F.regexp_extract(_unit(u, 1), r"^(\w+)$", 1),
-        _args=F.transform(
-            F.split(F.when(bracket, F.translate(_unit(u, 2), "()", "")).otherwise(""), ","),
-            lambda a: F.trim(a).try_cast("int")),
+        _length=number(r"^\(\s*+(\d{1,9})\s*+[,)]"), _scale=number(r"^\([^,]*+,\s*+(\d{1,9})\s*+[,)]"),
         _specs=F.slice(u, F.when(bracket, 4).otherwise(3), F.size(u)))
     specs = F.col("_specs")
     modifiers = F.filter(F.transform(specs, F.upper), lambda w: w.isin(*TYPE_MODIFIERS))
     source = F.trim(F.concat_ws(" ", F.upper("_type"), F.array_join(modifiers, " ")))
     rows = _once(
         rows, _source=F.when(F.col("_type").isNotNull(), source),
-        _length=F.coalesce(F.get("_args", F.lit(0)), F.lit(0)), _scale=F.coalesce(F.get("_args", F.lit(1)), F.lit(0)),
         _default=_word_after(specs, "DEFAULT"), _comment=_word_after(specs, "COMMENT"))
     given, sizes = F.col("_source"), (F.col("_length"), F.col("_scale"))
     rows = rows.select(
@@ -291,7 +324,7 @@ def create_columns(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
     Keys are columns marked PRIMARY and those of PRIMARY KEY and UNIQUE indexes.
     """
     names = ddl_events.columns
-    rows = _with_units(_statements(ddl_events, column, "create"), F.col(column), "_u")
+    rows = _once(_statements(ddl_events, column, "create"), _u=_units(_plain(F.col(column))))
     u = F.col("_u")
     table = _skip(F.lit(1), u, "TEMPORARY")
     rows = _once(rows, _at=_skip(table + 1, u, "IF", "NOT", "EXISTS") + 1, _is=(_word(u, 0) == "CREATE") & (_word(u, table) == "TABLE"))
@@ -303,7 +336,7 @@ def create_columns(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
     rows = _once(
         rows, _body=F.substring(body, F.lit(2), F.length(body) - 2),
         table_comment=tx.strip_quotes(F.when(comment != "", comment)))
-    rows = _with_pieces(rows.drop("_u"), F.col("_body"), "_items")
+    rows = _once(rows.drop("_u"), _items=_pieces(F.col("_body")))
     index = rf"(?is)^\s*(?:{'|'.join(INDEX_ITEMS)})\b"
     key = r"(?is)^\s*(?:CONSTRAINT\s+(?:(?!PRIMARY\b|UNIQUE\b)\S+\s+)?)?(?:PRIMARY\s+KEY|UNIQUE)[^(]*+\(([^)]*+)\)"
     indexed = F.flatten(F.transform(
@@ -312,7 +345,7 @@ def create_columns(ddl_events: DataFrame, column: str = "ddl") -> DataFrame:
             F.split(F.regexp_extract(i, key, 1), ","), lambda c: F.lower(F.regexp_extract(c, NAME, 1)))))
     rows = _once(rows, _keys=F.array_distinct(indexed), _columns=F.filter("_items", lambda i: ~i.rlike(index)))
     rows = rows.select(*names, "table_comment", "_keys", F.posexplode("_columns").alias("ordinal", "definition"))
-    rows = _with_units(rows, F.col("definition"), "_w")
+    rows = _once(rows, _w=_units(F.col("definition")))
     name = _bare(_unit(F.col("_w"), 0))
     marked = F.exists(F.slice("_w", 3, F.size("_w")), lambda w: F.upper(w) == "PRIMARY")
     rows = _once(rows, column_name=name, is_key=marked | F.array_contains("_keys", F.lower(name)))
