@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import ipaddress
-
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
 
@@ -44,37 +41,47 @@ def ipv4_text(number: Column) -> Column:
     return F.when(number.isNotNull(), F.concat_ws(".", *parts))
 
 
+def _limbs(digits: Column) -> Column:
+    """Four 32-bit parts, low first, of a number of up to 39 digits: nine digits are taken in at a time."""
+    padded = F.lpad(digits, 45, "0")
+    chunks = F.array(*[F.substring(padded, 9 * i + 1, 9).cast("bigint") for i in range(5)])
+
+    def take(limbs, chunk):
+        sums, carry = [], chunk
+        for i in range(4):
+            sums.append(limbs[i] * F.lit(10**9).cast("bigint") + carry)
+            carry = F.shiftrightunsigned(sums[-1], 32)
+        return F.array(*[x.bitwiseAND(0xFFFFFFFF) for x in sums])
+
+    return F.aggregate(chunks, F.array(*[F.lit(0).cast("bigint")] * 4), take)
+
+
+def _shortened(groups: Column) -> Column:
+    """Address text with its longest run of zero groups, the first of equals, as ``::``."""
+    out = groups
+    for n in range(2, 9):  # the last that applies wins
+        run = rf"^(.*?)(?:^|:)0(?::0){{{n - 1}}}(?:$|:)(.*)$"
+        out = F.when(groups.rlike(run), F.regexp_replace(groups, run, "$1::$2")).otherwise(out)
+    return out
+
+
 def ipv6_text(value: Column, strict_compat: bool = True) -> Column:
-    """128-bit decimal text to address text. Text with ``:`` passes through.
+    """128-bit decimal text to address text. Text with ``:`` passes through; other text is NULL.
 
-    The one Python function of the package: the values need 39 digits, one more
-    than DECIMAL holds. It runs on Arrow batches.
+    The values need 39 digits, one more than DECIMAL holds, so they are worked out in 32-bit parts.
     """
-
-    # Nested, so that it travels with the plan and workers need no copy of the package.
-    def address(text: str) -> str:
-        if ":" in text:
-            return text
-        value = int(text)
-        high, low = value >> 64, value & (2**64 - 1)
-        dotted = str(ipaddress.IPv4Address(low & 0xFFFFFFFF))
-        if high == 0 and low >> 32 == 0xFFFF:
-            return "::ffff:" + dotted
+    def address(limbs: Column) -> Column:
+        low, second, none = limbs[0], limbs[1], (limbs[2] == 0) & (limbs[3] == 0)
+        dotted = ipv4_text(low)
         # As the source system has it: bit 16 set, and the low half read as a signed
         # number is at most 2^32-1, which lets halves from 2^63 on through.
-        signed = low - 2**64 if low >= 2**63 else low
-        limit = signed if strict_compat else low
-        if high == 0 and limit <= 0xFFFFFFFF and low & 0x10000:
-            return "::" + dotted
-        groups = [f"{(value >> shift) & 0xFFFF:x}" for shift in range(112, -1, -16)]
-        runs = [(n, -at) for at in range(8) for n in range(2, 9 - at) if set(groups[at : at + n]) == {"0"}]
-        if not runs:
-            return ":".join(groups)
-        size, at = max(runs)
-        return ":".join(groups[:-at]) + "::" + ":".join(groups[-at + size :])
-
-    @F.pandas_udf("string")
-    def convert(texts: pd.Series) -> pd.Series:
-        return texts.map(address, na_action="ignore")
-
-    return convert(value)
+        small = (second == 0) | (second >= 2**31) if strict_compat else second == 0
+        groups = F.concat_ws(":", *[F.lower(F.hex(F.shiftright(limbs[i // 2], 16 * (i % 2)).bitwiseAND(0xFFFF))) for i in range(7, -1, -1)])
+        return (
+            F.when(none & (second == 0xFFFF), F.concat(F.lit("::ffff:"), dotted))
+            .when(none & small & (low.bitwiseAND(0x10000) != 0), F.concat(F.lit("::"), dotted))
+            .otherwise(_shortened(groups)))
+
+    number = F.regexp_extract(value, r"^\s*0*(\d{1,39})\s*$", 1)
+    worked_out = F.get(F.transform(F.array(_limbs(number)), address), F.lit(0))
+    return F.when(value.contains(":"), value).when(number != "", worked_out)

@@ -28,26 +28,21 @@ def after_truncate(rows: DataFrame, positions: DataFrame, by: str = "table") ->
 def schema_versions(rows: DataFrame, alters: DataFrame, by: str = "table") -> DataFrame:
     """Rows with ``schema_version``: how many ALTERs of their table precede them.
 
-    A running count over a table's whole log would put the table in one task.
-    Log files cut it: per table and file there is a number of ALTERs in earlier
-    files, summed over files only, and the positions inside the file, which its
-    size bounds. Rows then look both up by (table, file).
+    A running count over a table's whole log would put the table in one task. Log files cut it: rows and
+    ALTERs go together by (table, file) and are counted in the file's order, which its size bounds. What
+    earlier files add is a sum over files, each counted once, and meets the rows in the same partitions.
     """
     file_no = F.col("seq")["file_no"]
-    inside = alters.groupBy(by, file_no.alias("file_no")).agg(
-        F.array_sort(F.collect_list("seq")).alias("cuts")
-    )
-    files = rows.select(by, file_no.alias("file_no")).distinct()
-    known = files.join(inside, [by, "file_no"], "full_outer").withColumn(
-        "cuts", F.coalesce("cuts", F.array().cast(inside.schema["cuts"].dataType))
-    )
-    earlier = Window.partitionBy(by).orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
-    known = known.withColumn("before_file", F.coalesce(F.sum(F.size("cuts")).over(earlier), F.lit(0)))
-    joined = rows.withColumn("file_no", file_no).join(known, [by, "file_no"], "left")
-    within = F.size(F.filter("cuts", lambda cut: cut < F.col("seq")))
-    return joined.withColumn("schema_version", (F.col("before_file") + within).cast("bigint")).drop(
-        "file_no", "cuts", "before_file"
-    )
+    both = rows.select("*", F.lit(0).alias("_alter")).unionByName(
+        alters.select(by, "seq", F.lit(1).alias("_alter")), allowMissingColumns=True).withColumn("_file", file_no)
+    files = both.groupBy(by, "_file").agg(F.sum("_alter").alias("_here"))
+    earlier = Window.partitionBy(by).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(by, "_file", F.coalesce(F.sum("_here").over(earlier), F.lit(0)).alias("_before"))
+    # An ALTER at a row's own place comes after it.
+    inside = Window.partitionBy(by, "_file").orderBy("seq", "_alter").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = both.withColumn("_inside", F.sum("_alter").over(inside)).filter("_alter = 0")
+    joined = counted.join(files, (counted[by].eqNullSafe(files[by])) & (counted["_file"].eqNullSafe(files["_file"])), "left")
+    return joined.select(*[counted[c] for c in rows.columns], (F.col("_inside") + F.col("_before")).cast("bigint").alias("schema_version"))
 
 
 def version_of(seq: Column, cuts: list[Column]) -> Column:

@@ -26,6 +26,32 @@ def observed(rows: DataFrame, name: str, size: Column) -> DataFrame:
     return rows.observe(name, F.count("*").alias("rows"), F.sum(size).alias("bytes"))
 
 
+SKETCH_K = 200
+
+
+def latency_sketch(samples: DataFrame, by: str, value: str, k: int = SKETCH_K) -> DataFrame:
+    """A quantile sketch per group: some kilobytes, however many samples there are. Sketches of parts merge
+    (:func:`merged_sketches`), so a window of any length is put together from stored pieces."""
+    return samples.groupBy(by).agg(
+        F.count(value).alias("samples"), F.max(value).alias("max_value"), F.min(value).alias("min_value"),
+        F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(k)).alias("sketch"))
+
+
+def merged_sketches(parts: DataFrame, by: str, k: int = SKETCH_K) -> DataFrame:
+    return parts.groupBy(by).agg(
+        F.sum("samples").alias("samples"), F.max("max_value").alias("max_value"), F.min("min_value").alias("min_value"),
+        F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+
+
+def sketch_percentiles(sketches: DataFrame, by: str) -> DataFrame:
+    """Percentiles of the sketches' groups. With ``k`` = 200 a value's true rank lies within 1.65 % of the
+    group's size of the asked one (99 times in 100; the extremes are exact)."""
+    def at(q: float) -> Column:
+        return F.when(F.col("samples") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(q).cast("double")))
+
+    return sketches.select(by, "samples", "max_value", "min_value", at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"))
+
+
 def latency_histogram(
     samples: DataFrame, by: str, at: str, value: str, latest: int | None = None, ties: tuple[str, ...] = ()
 ) -> DataFrame:

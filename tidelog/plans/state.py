@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidelog.functions import text as tx
 from tidelog.operators import barriers, compact as cp, ddl, images, metrics, routing
@@ -321,6 +321,15 @@ def start_offset_skip(spark, sf_dir):
     return changes.groupBy(key.alias("o_orderkey")).agg(F.count("*").alias("n_changes"))
 
 
+@query("start_offset_files", LAST_EVENT.format(events="events WHERE event_id >= 4500"))
+def start_offset_files(spark, sf_dir):
+    """The log is stored file by file; files before the offset's are not read."""
+    path, number = f"{shared_folder(spark)}/log-{uuid.uuid4()}", F.floor(F.col("event_id") / fx.LOG_SPAN)
+    log = fx.user_log(spark, sf_dir).select("value", F.concat(F.lit("binlog."), F.lpad(number.cast("string"), 6, "0")).alias("file"))
+    log.write.partitionBy("file").text(path)
+    return user_state(starts.from_offset(cl.parse_changes(starts.lines_from(spark, path, 4)), 4, 500))
+
+
 @query("start_timestamp", LAST_EVENT.format(events="events WHERE epoch_us(ts) // 1000 >= 1705276800000"))
 def start_timestamp(spark, sf_dir):
     return user_state(starts.from_timestamp(user_changes(spark, sf_dir), 1705276800000))
@@ -355,6 +364,24 @@ def snapshot_chunks_wide(spark, sf_dir):
     return starts.snapshot_chunks(load(spark, sf_dir, "orders").select(wide.alias("k")), "k", 2**62)
 
 
+@query("snapshot_chunks_even", """
+  SELECT count(*) AS n_rows, count(DISTINCT k) AS n_keys, CAST(ceil(count(*) / 500) AS BIGINT) AS n_chunks,
+    TRUE AS within_twice_the_mean, TRUE AS no_overlap FROM (
+    SELECT CASE o_orderkey % 3 WHEN 0 THEN o_orderkey ELSE CAST(o_orderkey AS BIGINT) * o_orderkey * 1000 END AS k FROM orders)""")
+def snapshot_chunks_even(spark, sf_dir):
+    """Keys that lie close for a third of the orders and very far apart for the others."""
+    k = F.col("o_orderkey").cast("bigint")
+    rows = load(spark, sf_dir, "orders").select(F.when(k % 3 == 0, k).otherwise(k * k * 1000).alias("k"))
+    chunks = starts.even_chunks(rows, "k", 500)
+    after = F.lead("min_key").over(Window.orderBy("min_key"))  # a row per chunk
+    mean = F.sum("n_rows") / F.count("*")
+    checked = chunks.withColumn("apart", F.coalesce(F.col("max_key") < after, F.lit(True))).agg(
+        F.sum("n_rows").alias("n_rows"), F.count("*").alias("n_chunks"), (F.max("n_rows") <= 2 * mean).alias("within_twice_the_mean"),
+        F.every("apart").alias("no_overlap"))
+    return checked.crossJoin(rows.agg(F.countDistinct("k").alias("n_keys"))).select(
+        "n_rows", "n_keys", "n_chunks", "within_twice_the_mean", "no_overlap")
+
+
 # --- the stored target -----------------------------------------------------
 
 
@@ -526,3 +553,19 @@ def apply_metrics(spark, sf_dir):
 def latency_histogram(spark, sf_dir):
     out = metrics.latency_histogram(load(spark, sf_dir, "events"), "event_type", "ts", "value")
     return out.withColumns({p: F.round(p, 6) for p in ("p50", "p95", "p99")})
+
+
+@query("latency_sketch", """
+  SELECT event_type, count(*) AS samples, max(value) AS max_value, min(value) AS min_value,
+    TRUE AS p50_close, TRUE AS p95_close, TRUE AS p99_close FROM events GROUP BY event_type""")
+def latency_sketch(spark, sf_dir):
+    """Sketches of each user bucket, merged per event type, against the exact ranks of what they answer."""
+    events = load(spark, sf_dir, "events").select("event_type", "value", (F.col("user_id") % 7).alias("bucket"))
+    parts = metrics.latency_sketch(events.withColumn("part", F.concat_ws("/", "event_type", "bucket")), "part", "value")
+    parts = parts.withColumn("event_type", F.substring_index("part", "/", 1))
+    told = metrics.sketch_percentiles(metrics.merged_sketches(parts, "event_type"), "event_type")
+    names = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    ranks = events.join(told.select("event_type", *names), "event_type").groupBy("event_type").agg(
+        F.count("value").alias("n"), *[F.count_if(F.col("value") <= F.col(p)).alias(f"{p}_rank") for p in names])
+    close = [(F.abs(F.col(f"{p}_rank") / F.col("n") - q) <= 0.0165 + 1 / F.col("n")).alias(f"{p}_close") for p, q in names.items()]
+    return told.join(ranks, "event_type").select("event_type", "samples", "max_value", "min_value", *close)

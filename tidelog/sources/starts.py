@@ -56,6 +56,17 @@ def at_or_after(file_no: int, pos: int) -> Column:
     return (seq["file_no"] > file_no) | ((seq["file_no"] == file_no) & (seq["pos"] >= pos))
 
 
+# Fixed value: how a log file is called, or the folder of its parts.
+LOG_FILE = r"\.(\d+)(?:/[^/]*)?$"
+
+
+def lines_from(spark, path: str, file_no: int) -> DataFrame:
+    """Lines of a stored log from a file on. The number is in the file's path, so that earlier files are
+    not even opened: the condition is on file metadata, which Spark applies while it lists the files."""
+    number = F.regexp_extract(F.col("_metadata.file_path"), LOG_FILE, 1).cast("bigint")
+    return spark.read.text(path).filter(number >= file_no).select("value")
+
+
 def from_offset(
     changes: DataFrame, file_no: int, pos: int, skip_events: int = 0, skip_rows: int = 0
 ) -> DataFrame:
@@ -132,6 +143,35 @@ def snapshot_chunks(table: DataFrame, key: str, size: int) -> DataFrame:
     )
 
 
+def even_chunks(table: DataFrame, key: str, size: int) -> DataFrame:
+    """One row per chunk of about ``size`` rows each, however the keys lie: ``chunk_id, n_rows, min_key, max_key``.
+
+    Spark's range partitioner finds the cuts from a sample of every partition. Rows of one key stay together,
+    so chunks do not overlap; keys are NULL in no chunk.
+    """
+    keys = table.select(F.col(key).alias("k")).filter("k is not null")
+    parts = max(1, -(-keys.count() // size))
+    cut = keys.repartitionByRange(parts, "k").withColumn("_p", F.spark_partition_id())
+    chunks = cut.groupBy("_p").agg(F.count("*").alias("n_rows"), F.min("k").alias("min_key"), F.max("k").alias("max_key"))
+    return chunks.withColumnRenamed("_p", "chunk_id")
+
+
+def chunk_predicates(key: str, chunks: DataFrame) -> list[str]:
+    """WHERE conditions, one per chunk, that together take every row once: a partition of a JDBC read each.
+    New keys below the first chunk and between chunks are taken too, and so are rows without a key."""
+    lows = [r.min_key for r in chunks.select("min_key").orderBy("min_key").collect()]  # one number per partition of the read
+    if not lows:
+        return ["1 = 1"]
+    ends = [*lows[1:], None]
+    first = f"{key} IS NULL OR {key} < {lows[1]}" if len(lows) > 1 else "1 = 1"
+    return [first, *[f"{key} >= {a}" + (f" AND {key} < {b}" if b is not None else "") for a, b in zip(lows[1:], ends[1:])]]
+
+
+def jdbc_chunks(spark, url: str, table: str, predicates: list[str], **options) -> DataFrame:
+    """A snapshot read over JDBC in the partitions of :func:`chunk_predicates`."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
+
+
 def jdbc_snapshot(
     spark, url: str, table: str, key: str, low: int, high: int, rows: int, size: int, **options
 ) -> DataFrame:
