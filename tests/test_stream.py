@@ -473,3 +473,35 @@ def test_materialized_results_go_to_the_shared_folder(spark):
     df = materialize(spark.range(5))
     assert df.count() == 5
     assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path):
+    """A lenient job with counters has five outputs of a batch; each line is made once."""
+    job = store.Job(str(tmp_path / "store"), [store.Table("t", {"id": "bigint"}, {"id": "bigint", "v": "double"})],
+                    strict=False, with_metrics=True)
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(line):
+        made.add(1)
+        return line
+
+    lines = [change("c", n, after={"id": n % 7, "v": 1.0 * n}) for n in range(40)] + ["{broken", "", change("c", 50, after={"v": 1.0}),
+             ddl_line(60, "ALTER TABLE t ADD w INT DEFAULT 3", "ALTER")]
+    store.write_batch(job, spark.createDataFrame([(x,) for x in lines], "value string").select(counted("value").alias("value")), 0)
+    assert made.value == len(lines)
+    assert sorted((r.id, r.v, r.w) for r in store.current(spark, job, "t").collect()) == sorted(
+        (n % 7, 1.0 * n, 3) for n in range(33, 40))
+    assert [r.value for r in spark.read.parquet(f"{job.root}/bad").collect()] == ["{broken"]
+    assert spark.read.parquet(f"{job.root}/keyless").count() == 1
+    assert [(r.total_rows, r.loaded_rows, r.filtered_rows) for r in spark.read.parquet(f"{job.root}/metrics").collect()] == [(41, 40, 1)]
+    assert not list((tmp_path / "store" / "stage").rglob("*.parquet"))
+
+
+def test_a_default_that_means_now_is_the_time_of_its_alter(spark, tmp_path, job):
+    before = change("c", 1, after={"id": 1, "v": 1.0})
+    alter = json.loads(ddl_line(5, "ALTER TABLE t ADD made DATETIME(3) DEFAULT NOW(3)", "ALTER"))
+    alter["ts_ms"] = 1_700_000_000_123
+    store.write_batch(job, lines_df(spark, before, json.dumps(alter), change("c", 9, after={"id": 2, "v": 2.0, "made": "2024-01-01 00:00:00"})), 0)
+    found = {r.id: str(r.made) for r in store.current(spark, job, "t").collect()}
+    assert found == {1: "2023-11-14 22:13:20.123000", 2: "2024-01-01 00:00:00"}

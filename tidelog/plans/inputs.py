@@ -248,6 +248,7 @@ def ddl_line(spark: SparkSession, items: list[tuple[int, str]], table: str) -> D
     record = F.to_json(F.struct("ddl", F.array(F.struct(F.lit("ALTER").alias("type"))).alias("tableChanges")))
     value = envelope(
         F.lit(None).cast("string"), F.lit(table), F.col("event_id"),
+        ts_ms=1_700_000_000_000 + 1000 * F.col("event_id"),
         pos=2 * (F.col("event_id") % LOG_SPAN) + 1, history=record,
     )
     return rows.select(value.alias("value"))

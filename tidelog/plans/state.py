@@ -181,15 +181,20 @@ def truncate_barrier(spark, sf_dir):
     cut = fx.envelope(F.lit(None).cast("string"), F.lit("user_state"), F.col("n"), history=record)
     lines = fx.user_log(spark, sf_dir).select("value").union(middle.select(cut.alias("value")))
 
-    rows, _ = cl.split_ddl(cl.parse_changes(lines))
-    _, events_ddl = cl.split_ddl(cl.parse_changes(lines))
-    history = ddl.history(events_ddl)
+    # TRUNCATEs are compacted along with the rows, each under its place in the log: one parse, one
+    # shuffle, which both sides of the join read.
+    changes = cl.parse_changes(lines)
+    marker = F.to_variant_object(F.struct(F.lit("ddl").alias("kind")))
+    is_ddl = cl.is_ddl(F.col("op"))
+    both = images.expand_updates(changes.withColumns({
+        "op": F.when(is_ddl, "c").otherwise(F.col("op")), "after": F.when(is_ddl, marker).otherwise(F.col("after"))}))
+    keyed = cp.keyed(both, fx.USER_KEY).withColumn("at", F.when(F.col("history_record").isNotNull(), F.col("seq")))
+    pending = cp.latest(keyed, ["table", "at", *fx.USER_KEY], ["is_delete", "image", "seq", "history_record"])
+    history = ddl.history(pending.filter(F.col("history_record").isNotNull()))
     truncates = history.filter(ddl.event_kind(F.col("change_type"), F.col("ddl")) == "TRUNCATE")
     positions = barriers.truncate_positions(truncates, ["user_state"])
-    # Compacted first: the barrier then meets one row per key.
-    keyed = cp.keyed(images.expand_updates(rows), fx.USER_KEY)
-    pending = cp.compact(keyed, ["table", *fx.USER_KEY])
-    return images.decode(cp.live(barriers.after_truncate(pending, positions)), fx.USER_STATE)
+    rows = pending.filter(F.col("history_record").isNull() & cp.has_key(fx.USER_KEY))
+    return images.decode(cp.live(barriers.after_truncate(rows, positions)), fx.USER_STATE)
 
 
 @query("schema_versions", """
@@ -453,7 +458,7 @@ EVOLUTION = [
          CASE WHEN event_id > 200 THEN 3000000000 + event_id END AS n,
          CASE WHEN event_id <= 600 THEN '2020-01-01 00:00:00'
               ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS c2,
-         CASE WHEN event_id > 100 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS made,
+         CASE WHEN event_id > 100 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE '2023-11-14 22:15:00' END AS made,
          CASE WHEN event_id > 100 THEN 'n' || event_id % 10 END AS note,
          event_id <= 100 OR event_id % 2 = 0 AS k, CASE WHEN event_id > 100 THEN 'POINT(1 2)' END AS place
   FROM events""")

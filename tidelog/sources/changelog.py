@@ -114,6 +114,17 @@ def parse_changes(
     return _shape(rows, keep)
 
 
+def routed_lines(lines: DataFrame, column: str = "value", strict: bool = True) -> DataFrame:
+    """Every line that is not blank, parsed once, as a change row with its ``kind`` (``row``, ``ddl`` or
+    ``bad``), ``n_bytes`` and, of a bad line, its text ``line``: one pass serves all side outputs of a batch."""
+    rows = _parsed(lines, column, (column,), {**JSON_DIALECT, "mode": "FAILFAST"} if strict else JSON_DIALECT)
+    bad = F.lit(False) if strict else F.col("_corrupt").isNotNull()
+    rows = rows.withColumns({
+        "kind": F.when(bad, "bad").when(is_ddl(F.col("op")), "ddl").otherwise("row"),
+        "n_bytes": F.octet_length(column), "line": F.when(bad, F.col(column))})
+    return _shape(rows, ("kind", "n_bytes", "line"))
+
+
 def classify_lines(lines: DataFrame, column: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Every line with its status: ``blank``, ``bad`` or ``ok``."""
     text = F.col(column)

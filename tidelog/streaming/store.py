@@ -27,7 +27,7 @@ from tidelog.streaming import files
 
 SEQ = "struct<file_no: bigint, pos: bigint, row: int, step: int>"
 CHANGES = f"`table` string, key array<string>, is_delete boolean, image variant, seq {SEQ}"
-DDL_EVENTS = f"`table` string, seq {SEQ}, history_record string"
+DDL_EVENTS = f"`table` string, seq {SEQ}, history_record string, ts_ms bigint"
 BATCH = "run string, batch_id bigint"
 SOURCE_KEY = ["target_table", "table", "key"]
 
@@ -164,25 +164,36 @@ def _commit(spark: SparkSession, job: Job, run: str, batch_id: int) -> None:
     files.write(spark, f"{job.root}/commit/{run}-{batch_id}")
 
 
+def _staged(job: Job, lines: DataFrame, run: str, batch_id: int) -> DataFrame:
+    """A batch's lines, parsed and written once, split by kind: whatever is made of the batch reads its
+    own part of these files and no line is parsed again."""
+    parsed = cl.routed_lines(lines, strict=job.strict)
+    _save(job, parsed, "stage", run, batch_id, "kind")
+    return lines.sparkSession.read.schema(parsed.schema).parquet(batch_path(job, "stage", run, batch_id))
+
+
 def write_batch(job: Job, lines: DataFrame, batch_id: int, run: str = "main") -> None:
     """Apply one batch of lines, unless it is committed already. A strict job fails on
     malformed lines and on changes without a key; otherwise both are kept aside."""
     spark = lines.sparkSession
     if is_committed(spark, job, run, batch_id):
         return
-    changes, events = cl.split_ddl(job.start(cl.parse_changes(lines, strict=job.strict)))
-    known = _known(job, events).select(F.col("source").alias("table"), "seq", "history_record")
-    _save(job, known, "ddl", run, batch_id)
+    staged = _staged(job, lines, run, batch_id)
+    of_kind = {kind: staged.filter(F.col("kind") == kind).drop("kind") for kind in ("row", "ddl", "bad")}
+    known = _known(job, job.start(of_kind["ddl"]))
+    at = F.coalesce("source_ts_ms", "ts_ms").alias("ts_ms")
+    _save(job, known.select(F.col("source").alias("table"), "seq", "history_record", at), "ddl", run, batch_id)
 
-    rows = _keyed(job, changes)
+    rows = _keyed(job, job.start(of_kind["row"]))
     _save_changes(job, rows, run, batch_id)
     if not job.strict:
-        _save(job, cl.malformed_lines(lines), "bad", run, batch_id)
+        _save(job, of_kind["bad"].select(F.col("line").alias("value")), "bad", run, batch_id)
         keyless = cp.without_key(rows, ["key"]).select("table", "op", "seq", "image")
         _save(job, keyless, "keyless", run, batch_id)
     if job.with_metrics:
-        _save(job, batch_metrics(job, lines), "metrics", run, batch_id)
+        _save(job, _counted(job, of_kind["row"]), "metrics", run, batch_id)
     _commit(spark, job, run, batch_id)
+    files.remove(spark, batch_path(job, "stage", run, batch_id))
 
 
 def load_snapshot(job: Job, tables: dict[str, DataFrame], db: str) -> None:
@@ -205,13 +216,16 @@ def _load_snapshot(job: Job, name: str, table: DataFrame, db: str) -> None:
 def batch_metrics(job: Job, lines: DataFrame) -> DataFrame:
     """Counters per source table of a batch: rows that were loaded, filtered as
     unusable (no key or image) and not selected."""
-    rows, _ = cl.split_ddl(cl.parse_changes(lines, strict=False, keep=("value",)))
+    return _counted(job, cl.routed_lines(lines, strict=False).filter("kind = 'row'"))
+
+
+def _counted(job: Job, rows: DataFrame) -> DataFrame:
     image = images.image_of(F.col("op"), F.col("before"), F.col("after"))
     rows = rows.withColumns({"image": image, "source": job.source_name()})
     selected = F.col("source").isin(*job.names()) & job.selected()
     usable = (F.col("op") != "t") & job.key_text().isNotNull()
     status = F.when(~selected, "unselected").when(usable, "loaded").otherwise("filtered")
-    counted = rows.select(F.col("source").alias("table"), status.alias("status"), F.octet_length("value").alias("size"))
+    counted = rows.select(F.col("source").alias("table"), status.alias("status"), F.col("n_bytes").alias("size"))
     return metrics.apply_metrics(counted, "table", "status", "size")
 
 
@@ -311,9 +325,11 @@ def table_history(
     to the driver, as the columns have to be known to build a plan."""
     history = ddl.history(events.filter(F.lower("table") == table))
     alters = history.filter(ddl.event_kind(F.col("change_type"), F.col("ddl")) == "ALTER")
-    operations = ddl.with_definition(ddl.alter_operations(alters.select("seq", "ddl")))
+    # A default that means "now" is the time of the ALTER for rows from before it.
+    at = F.date_format(F.timestamp_millis("ts_ms"), "yyyy-MM-dd HH:mm:ss.SSS").alias("at")
+    operations = ddl.with_definition(ddl.alter_operations(alters.select("seq", "ddl", at)))
     wanted = operations.select(
-        "seq", "ordinal", "operation", "column_name", "new_name", "spark_type", "default_value"
+        "seq", "ordinal", "operation", "column_name", "new_name", "spark_type", "default_value", "at"
     )
     # A batch that was delivered twice has its DDL twice.
     found = sorted(wanted.distinct().collect(), key=lambda r: (tuple(r.seq), r.ordinal))
