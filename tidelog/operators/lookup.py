@@ -59,7 +59,7 @@ class CachedLookup:
     """A dimension kept in executor storage and re-read once it is older than its TTL.
 
     Used inside ``foreachBatch``: each micro-batch joins :meth:`table`. The cache
-    is off when the TTL or the row limit is -1, and for a dimension over the limit.
+    is off when the TTL or the row limit is -1; any other limit switches it on (:class:`KeyedLookup` keeps to it).
     """
 
     def __init__(self, read, ttl_seconds: float = 10.0, max_rows: int = -1, clock=time.monotonic):
@@ -83,3 +83,56 @@ class CachedLookup:
         if self._held is not None:
             self._held.unpersist()
             self._held = None
+
+
+class KeyedLookup:
+    """Answers kept per key, each until it is ``ttl_seconds`` old, keys without a match included.
+
+    Used inside ``foreachBatch``: a batch asks the dimension for the keys that no kept answer covers, and
+    only for those. Answers are files in ``folder``, which all executors reach, a generation per batch, so
+    nothing is lost with an executor. With more than ``max_rows`` rows the oldest generations go first.
+    Without a TTL or a limit (-1) every batch asks for all its keys.
+    """
+
+    def __init__(self, read, keys: list[str], folder: str, ttl_seconds: float = 10.0, max_rows: int = -1, clock=time.time):
+        self._read, self._keys, self._folder = read, keys, folder.rstrip("/")
+        self._ttl, self._max_rows, self._clock = ttl_seconds, max_rows, clock
+        self._generations: list[tuple[str, float, int]] = []  # path, time, rows; the newest last
+        self._made = 0
+        self.asked = 0
+
+    def _held(self, spark) -> DataFrame | None:
+        now = self._clock()
+        self._generations = [g for g in self._generations if now - g[1] < self._ttl]
+        while self._generations and sum(g[2] for g in self._generations) > self._max_rows:
+            self._generations.pop(0)
+        return spark.read.parquet(*[g[0] for g in self._generations]) if self._generations else None
+
+    def _answers(self, keys: DataFrame) -> DataFrame:
+        """Every asked key with each row the dimension has for it; a key without one has a row too."""
+        dim = self._read()
+        rest = [c for c in dim.columns if c not in self._keys]
+        return keys.join(dim.select(*self._keys, F.struct(*rest).alias("_found")), self._keys, "left")
+
+    def join(self, rows: DataFrame, columns: list[str], how: str = "left") -> DataFrame:
+        """``rows`` with the dimension's other columns, by the equality of ``columns`` with its keys."""
+        spark, pairs = rows.sparkSession, list(zip(columns, self._keys))
+        asked = rows.select(*[F.col(a).alias(b) for a, b in pairs]).dropna().distinct()
+        if self._ttl == -1 or self._max_rows == -1:
+            self.asked += 1
+            answers = self._answers(asked)
+        else:
+            held = self._held(spark)
+            missing = asked if held is None else asked.join(held.select(*self._keys), self._keys, "left_anti")
+            path = f"{self._folder}/generation-{self._made}"
+            self._answers(missing).write.mode("overwrite").parquet(path)
+            self._made += 1
+            fresh = spark.read.parquet(path)
+            n = fresh.count()
+            self.asked += n > 0
+            if n:
+                self._generations.append((path, self._clock(), n))
+            answers = fresh if held is None else held.unionByName(fresh)
+        found = answers.filter("_found is not null").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self._keys)], "_found")
+        condition = [rows[a] == found[f"_k{i}"] for i, (a, _) in enumerate(pairs)]
+        return rows.join(found, condition, how).select(*[rows[c] for c in rows.columns], "_found.*")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tidelog.functions import text as tx, typemap as tm
 from tidelog.operators import layout, lookup, routing
 from tidelog.plans import inputs as fx
 from tidelog.plans.registry import load, query
+from tidelog.session import shared_folder
 from tidelog.sources import catalog, changelog as cl, scan as sc
 
 META = "WITH " + fx.METADATA_SQL
@@ -106,6 +110,17 @@ def lookup_join_left(spark, sf_dir):
     return rows.drop("cust")
 
 
+@query("lookup_keyed_cache", _LOOKUP.format(how="LEFT"))
+def lookup_keyed_cache(spark, sf_dir):
+    """Four batches that share most of their keys: the dimension is asked for each key once."""
+    dim = lookup.KeyedLookup(lambda: _customer(spark, sf_dir), ["c_custkey"], f"{shared_folder(spark)}/lookup-{uuid.uuid4()}",
+                             ttl_seconds=3600, max_rows=1 << 40)
+    rows = _asked(spark, sf_dir)
+    key = rows.columns[0]
+    parts = [dim.join(rows.filter(F.pmod(F.xxhash64(key), F.lit(4)) == n), ["cust"]) for n in range(4)]
+    return reduce(DataFrame.unionByName, parts).drop("cust")
+
+
 @query("lookup_join_salted", _LOOKUP.format(how="LEFT"))
 def lookup_join_salted(spark, sf_dir):
     rows = lookup.salted_lookup_join(
