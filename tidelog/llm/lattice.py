@@ -5,7 +5,7 @@ bytes without a piece of their own are covered by byte pieces, and a forward rec
 adds up the probability of all segmentations of the word. Pieces cannot cross white space, so the
 lattice of a document is its words' lattices one after the other, and each distinct word is computed
 once. The vocabulary's own scores (its merge ranks) start the piece scores; expectation maximisation
-over all distinct training words fits them. Words end with a stop probability, so the scores are a
+over the distinct training words seen twice or more fits them. Words end with a stop probability, so the scores are a
 distribution over words.
 
 Two more arcs span a word as a whole. One is the word as the training texts have it, with absolute
@@ -205,12 +205,13 @@ def count_words(docs: DataFrame, text: str, held: str) -> DataFrame:
 
 
 def fit_pieces(counts: DataFrame, file: str = VOCABULARY, rounds: int = ROUNDS) -> Pieces:
-    """Piece scores after some rounds of expectation maximisation over the distinct training words.
+    """Piece scores after some rounds of expectation maximisation over the distinct training words that occur
+    twice or more: most distinct words occur once, and many of those are accidents.
 
     Each task adds up the expected counts of its words; what comes back is one number per piece.
     """
     pieces = Pieces(file)
-    words = counts.where("n > 0").select("word")
+    words = counts.where("n > 1").select("word")
     n_words = words.count()
     for _ in range(rounds if n_words else 0):
         def run(batches, pieces=pieces):
