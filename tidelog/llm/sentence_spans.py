@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import columns_but, materialize
 
-SENTENCES = 2
-WORDS = 14
-LONG = 40
+SENTENCES = 3
+WORDS = 20
+LONG = 50
 _SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+[ \t]*|[^.!?\n]+\Z")
 
 
