@@ -257,3 +257,61 @@ def test_redaction(spark, docs, no_docs):
     assert got == [(1, "mail [EMAIL] now [IP]", 21)] * 2 + [(2, "", None), (3, "é [PHONE]", 9), (4, "clean", 5)]
     assert pii.redact(docs).columns == docs.columns and pii.redact(docs).count() == docs.count()
     assert pii.redact(no_docs).count() == 0
+
+
+def test_mix_query_counts_the_words_of_the_mix(spark, sf):
+    """The query against the plan, and the words its rows hold against the texts the mix gives."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op9_curriculum_mix"](spark, sf).collect()}
+    texts = dict(docs.select("doc_id", "text").collect())
+    assert rows.keys() == texts.keys()
+    held = Counter()
+    for r in mixing.mix(docs).collect():
+        held[r.doc_id] += len((r.text or "").encode().split())
+    sums, sizes, goal = Counter(), Counter(), {}
+    source = dict(docs.select("doc_id", "source").collect())
+    for i, r in rows.items():
+        assert r["size"] == len((texts[i] or "").encode().split()) and r.taken == held[i] <= 2 * r["size"]
+        sums[source[i]] += r.taken
+        sizes[source[i]] += r["size"]
+        goal[source[i]] = r.target
+    assert goal == pytest.approx(_targets(dict(sizes)))
+    assert all(goal[s] - 1 < sums[s] <= goal[s] + 1e-6 for s in goal)
+
+
+def test_mix_keeps_columns_named_like_its_own(spark):
+    own = ("rank", "target", "place", "taken", "whole", "part", "pass", "words", "position", "source_size", "size", "row")
+    df = spark.createDataFrame(
+        [(i % 7, f"a b c {i}", "ab"[i % 2], *[777] * len(own)) for i in range(40)],
+        "doc_id bigint, text string, source string, " + ", ".join(f"`{c}` int" for c in own))
+    got = mixing.mix(df)
+    assert got.columns == df.columns
+    rows = got.collect()
+    assert rows and all(r[c] == 777 for r in rows for c in own)
+
+
+def test_mix_spreads_null_and_equal_ids(spark):
+    df = spark.createDataFrame([(None, f"w{i} x", "a") for i in range(300)], "doc_id bigint, text string, source string")
+    planned = mixing.plan(df.withColumn("size", F.lit(2).cast("long")), rows_per_bin=10)
+    assert sorted(r.place for r in planned.collect()) == [2 * i for i in range(300)]
+
+
+def test_shard_query_keeps_every_document(spark, sf):
+    import zlib
+
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    rows = QUERIES["op3_hypergeometric_shards"](spark, sf).collect()
+    made = [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in docs]
+    assert sorted((r.doc_id, r["size"], r.text_crc32) for r in rows) == sorted(made)
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_shards_spread_null_keys(spark):
+    df = spark.createDataFrame([(None, f"t{i}", 5, 6) for i in range(400)], "doc_id bigint, text string, shard int, slot int")
+    rows = sharding.shard(df, rows_per_block=20).collect()
+    assert sorted(r.text for r in rows) == sorted(f"t{i}" for i in range(400))
+    assert Counter(r.shard for r in rows) == {s: 50 for s in range(8)}

@@ -10,8 +10,10 @@ hash bins of a bounded expected size and over the bins' sums, so a source with a
 is spread over as many tasks as its size asks for.
 
 Defined results: a null text has size 0, and a document of size 0 takes nothing. A null source is a
-source of its own, sorted last. Repeated rows and rows with equal ids are served one by one (rows
-alike in id and size share a bin). An empty table gives an empty result.
+source of its own, sorted last. Repeated rows and rows with equal ids are served one by one; a hash of
+the whole row gives its place, so only rows alike in every column share a bin. Columns of the input
+keep their names and values whatever they are called, but for the text that is cut and ``n_chars``. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import columns_but, unit_hash
+from tidelog.llm.common import columns_but, row_hash, text_of, unit_hash, words
 
 # Weights by rank of source, share of all words to take, most passes over a source.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -109,7 +111,7 @@ def plan(docs: DataFrame, key: str = "doc_id", size: str = "size", source: str =
     goal = targets(sizes, **rules).select(
         F.col("source").alias("__source"), "source_size", "target", "rank",
         F.greatest(F.lit(1), F.ceil(F.col("rows") / rows_per_bin)).alias("__n"))
-    u = unit_hash(seed, F.col(key), F.col(size))
+    u = unit_hash(seed, row_hash(docs, key, *mine))
     rows = docs.select(*columns_but(docs, *mine), u.alias("__u")).join(
         goal, F.col(source).eqNullSafe(F.col("__source")), "inner")
     rows = rows.withColumn("__bin", F.floor(F.col("__u") * F.col("__n")))
@@ -130,17 +132,19 @@ def plan(docs: DataFrame, key: str = "doc_id", size: str = "size", source: str =
         (whole * F.col(size) + part).cast("long").alias("taken"))
 
 
-def schedule(planned: DataFrame, size: str = "size", schedules=SCHEDULES) -> DataFrame:
+def schedule(planned: DataFrame, size: str = "size", schedules=SCHEDULES, idle: bool = False) -> DataFrame:
     """One row per document and pass that takes words of it, with ``words`` (how many, from its
     start), ``pass``, and ``position`` in [0, 1]: the time at which its source's demand, in the
-    order of passes and places, reaches the middle of its words."""
+    order of passes and places, reaches the middle of its words. With ``idle``, a document that
+    takes nothing has one row too, of no words and no position."""
     one = F.transform(
         F.sequence(F.lit(0), F.col("whole").cast("int")),
         lambda k: F.struct(k.alias("pass"), F.when(k < F.col("whole"), F.col(size)).otherwise(F.col("part")).alias("words")))
     keep = columns_but(planned, "pass", "words", "position", "__one")
-    rows = planned.select(*keep, F.explode(one).alias("__one")).where("__one.words > 0")
+    rows = planned.select(*keep, F.explode(one).alias("__one")).where(
+        F.expr("__one.words > 0" + (" or taken = 0" if idle else "")))
     middle = F.col("__one.pass") * F.col("source_size") + F.col("place") + F.col("__one.words") / 2
-    fraction = F.least(F.lit(1.0), middle / F.col("target"))
+    fraction = F.when(F.col("__one.words") > 0, F.least(F.lit(1.0), middle / F.col("target")))
     return rows.select(
         *keep, F.col("__one.pass").alias("pass"), F.col("__one.words").cast("long").alias("words"),
         time_of(fraction, F.col("rank"), schedules).alias("position"))
@@ -154,16 +158,25 @@ def first_words(text: Column, n: Column) -> Column:
     return F.regexp_replace(start, r"(?<![\x20\x09-\x0D])[\x20\x09-\x0D]++$", "")
 
 
+def ordered(docs: DataFrame, seed: int = 9, key: str = "doc_id", text: str = "text", source: str = "source",
+            idle: bool = False, **rules) -> DataFrame:
+    """The training order with its account: ``row`` (the row of ``docs``, its text cut where only part
+    is taken), ``size``, ``source_size``, ``target``, ``place``, ``pass``, ``words`` and ``position``,
+    range-sorted by position, ties by id and pass."""
+    names = [n.replace("`", "``") for n in docs.columns]
+    sized = docs.select(
+        F.col(key).alias("__key"), F.col(source).alias("__of"), F.size(words(text_of(text))).cast("long").alias("size"),
+        F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"))
+    slots = schedule(plan(sized, "__key", "size", "__of", seed, **rules), idle=idle)
+    whole = F.col(f"row.`{text}`")
+    slots = slots.withColumn("__cut", F.when(F.col("words") < F.col("size"), first_words(whole, F.col("words"))).otherwise(whole))
+    made = {text: F.col("__cut"), "n_chars": F.length("__cut").cast("long")}
+    row = F.struct(*[made.get(n, F.col(f"row.`{n}`")).alias(n) for n in names])
+    slots = slots.select("__key", row.alias("row"), "size", "source_size", "target", "place", "pass", "words", "position")
+    return slots.repartitionByRange("position", "__key", "pass").sortWithinPartitions("position", "__key", "pass")
+
+
 def mix(docs: DataFrame, seed: int = 9, key: str = "doc_id", text: str = "text", source: str = "source", **rules) -> DataFrame:
     """The training order: the rows of ``docs``, each as often as it is taken, cut where only part of
     it is, range-sorted by position (ties by id and pass). Columns of ``docs`` only."""
-    from tidelog.llm.common import text_of, words
-
-    names = docs.columns
-    sized = docs.withColumn("__size", F.size(words(text_of(text))).cast("long"))
-    slots = schedule(plan(sized, key, "__size", source, seed, **rules), "__size")
-    slots = slots.withColumn(text, F.when(
-        F.col("words") < F.col("__size"), first_words(F.col(text), F.col("words"))).otherwise(F.col(text)))
-    if "n_chars" in names:
-        slots = slots.withColumn("n_chars", F.length(text).cast("long"))
-    return slots.repartitionByRange("position", key, "pass").sortWithinPartitions("position", key, "pass").select(*names)
+    return ordered(docs, seed, key, text, source, **rules).select("row.*")

@@ -6,17 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import mixing, pii, quality, sharding
-from tidelog.llm.common import materialize, text_of, words
+from tidelog.llm.common import text_of, words
 from tidelog.llm.registry import load, query
 
 
 @query("op3_hypergeometric_shards")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text_of()) + 1).cast("long").alias("size"), F.crc32(text_of().cast("binary")).alias("text_crc32"))
-    return sharding.shard(docs).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"))
+    placed = sharding.shard(load(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", (F.octet_length(text_of()) + 1).cast("long").alias("size"), F.crc32(text_of().cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 STOPS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
@@ -51,12 +50,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_curriculum_mix")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = materialize(load(spark, sf_dir, "documents").select(
-        "doc_id", "source", F.size(words(text_of())).cast("long").alias("size")))
-    planned = mixing.plan(docs)
-    first = F.when(F.col("taken") > 0, mixing.time_of(
-        F.least(F.lit(1.0), (F.col("place") + F.least("size", "taken") / 2) / F.col("target")), F.col("rank")))
-    return planned.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position"))
+    mixed = mixing.ordered(load(spark, sf_dir, "documents"), idle=True)
+    # A place is one row's, but for rows without words: those are counted and given back one by one.
+    taken = mixed.groupBy("row.doc_id", "row.source", "size", "source_size", "target", "place").agg(
+        F.sum(F.size(words(text_of("row.text")))).alias("taken"), F.min("position").alias("first_position"),
+        F.count_if(F.col("position").isNull()).alias("__idle"))
+    each = F.explode(F.array_repeat(F.lit(1), F.greatest(F.lit(1), F.col("__idle")).cast("int")))
+    return taken.select(
+        "doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "first_position",
+        each.alias("__one")).drop("__one")
 
 
 @query("op4_bootstrapped_pii")

@@ -10,8 +10,9 @@ The matrix is drawn down a tree: the root holds all shard sizes, each node deals
 its children, and nodes of a level are independent, so the work spreads and no task holds the
 matrix. All draws are SQL expressions fed by hashes of the seed: reruns agree.
 
-Defined results: every row is placed, null keys and repeated rows too (rows with equal keys share a
-block and follow each other in no stated order). An empty table gives an empty result.
+Defined results: every row is placed, null keys and repeated rows too. A hash of the whole row decides
+where it goes, so rows with equal or null keys are spread; only rows alike in every column share a
+block. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import columns_but, materialize, unit_hash
+from tidelog.llm.common import columns_but, materialize, row_hash, unit_hash
 
 ROWS_PER_BLOCK = 4096
 FAN_OUT = 16
@@ -153,28 +154,28 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 3, key: str = "doc_id",
     """Append ``shard`` (int) and ``slot`` (bigint, gapless from 0): a uniform shuffle with shard
     sizes at most one row apart.
 
-    The rows go through two exchanges, one by block and one by shard and slot range; keep only the
-    columns you need, or join the answer back by key.
+    The rows go, whole, through two exchanges, one by block and one by shard and slot range.
     """
-    mine = ("shard", "slot", "__block", "__r", "__u", "__bin", "__rows", "__before")
+    mine = ("shard", "slot", "__block", "__r", "__row", "__bin", "__rows", "__before")
     keep = columns_but(docs, *mine)
     total = docs.count()
     n_blocks = max(1, -(-total // rows_per_block))
-    u = unit_hash(seed, F.col(key))
+    docs = docs.select(*keep, row_hash(docs, key, *mine).alias("__row"))
+    u = unit_hash(seed, F.col("__row"))
     block = F.least(F.floor(u * n_blocks), F.lit(n_blocks - 1)).cast("bigint")
     sizes = materialize(docs.groupBy(block.alias("id")).agg(F.count(F.lit(1)).alias("rows")))
     dealt = matrix(sizes, total, shards, seed).select(F.col("id").alias("__id"), F.transform(
         F.sequence(F.lit(1), F.lit(shards)),
         lambda k: F.aggregate(F.slice("counts", F.lit(1), k), F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("__ends"))
 
-    local = Window.partitionBy("__block").orderBy(unit_hash(seed + 1, F.col(key)), key)
-    rows = docs.select(*keep, block.alias("__block")).withColumn("__r", F.row_number().over(local))
+    local = Window.partitionBy("__block").orderBy(unit_hash(seed + 1, F.col("__row")), key)
+    rows = docs.select(*keep, "__row", block.alias("__block")).withColumn("__r", F.row_number().over(local))
     rows = rows.join(dealt, F.col("__block") == F.col("__id"))
-    rows = rows.select(*keep, F.size(F.filter("__ends", lambda end: end < F.col("__r"))).alias("shard"))
+    rows = rows.select(*keep, "__row", F.size(F.filter("__ends", lambda end: end < F.col("__r"))).alias("shard"))
 
     per_shard = -(-total // shards)
     n_bins = max(1, -(-per_shard // rows_per_block))
-    v = unit_hash(seed + 2, F.col(key))
+    v = unit_hash(seed + 2, F.col("__row"))
     rows = rows.withColumn("__bin", F.least(F.floor(v * n_bins), F.lit(n_bins - 1)).cast("bigint"))
     before = Window.partitionBy("shard").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = rows.groupBy("shard", "__bin").agg(F.count(F.lit(1)).alias("__rows")).select(
