@@ -315,3 +315,9 @@ def test_shards_spread_null_keys(spark):
     rows = sharding.shard(df, rows_per_block=20).collect()
     assert sorted(r.text for r in rows) == sorted(f"t{i}" for i in range(400))
     assert Counter(r.shard for r in rows) == {s: 50 for s in range(8)}
+
+
+def test_mix_plans_alike_with_many_sources(docs, monkeypatch):
+    few = sorted(map(str, _plan(docs).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    assert sorted(map(str, _plan(docs).collect())) == few

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import columns_but, row_hash, text_of, unit_hash, words
+from tidelog.llm.common import columns_but, materialize, row_hash, text_of, unit_hash, words
 
 # Weights by rank of source, share of all words to take, most passes over a source.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -33,6 +33,9 @@ PASSES = 2.0
 SCHEDULES = ((1.5, 1.0, 0.5), (1.0, 1.0, 1.0), (0.5, 1.0, 1.5))
 
 ROWS_PER_BIN = 4096
+# The table of sources is broadcast up to this size, and joined by a sort and merge beyond it.
+BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 8 << 20
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: float = PASSES) -> DataFrame:
@@ -108,9 +111,13 @@ def plan(docs: DataFrame, key: str = "doc_id", size: str = "size", source: str =
     source_of, size_of = F.col(source).alias("source"), F.col(size).cast("long").alias("source_size")
     sizes = docs.select(source_of, size_of).groupBy("source").agg(
         F.sum("source_size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
-    goal = targets(sizes, **rules).select(
+    goal = materialize(targets(sizes, **rules).select(
         F.col("source").alias("__source"), "source_size", "target", "rank",
-        F.greatest(F.lit(1), F.ceil(F.col("rows") / rows_per_bin)).alias("__n"))
+        F.greatest(F.lit(1), F.ceil(F.col("rows") / rows_per_bin)).alias("__n")))
+    # Texts need not be shuffled by source, a hot key, while the table of sources is small.
+    held = goal.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("__source")).alias("bytes")).first()
+    if held["rows"] <= BROADCAST_ROWS and (held["bytes"] or 0) <= BROADCAST_BYTES:
+        goal = F.broadcast(goal)
     u = unit_hash(seed, row_hash(docs, key, *mine))
     rows = docs.select(*columns_but(docs, *mine), u.alias("__u")).join(
         goal, F.col(source).eqNullSafe(F.col("__source")), "inner")
