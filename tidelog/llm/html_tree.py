@@ -3,8 +3,10 @@
 A page becomes a flat list of nodes. Blocks of running text (paragraphs) earn points for length and
 commas and pass them to their parent, half to the grandparent, a third and so on further up; a
 container's points are discounted by its link density. The container with the most points is kept,
-and siblings of it that score well or hold plain paragraphs with few links. Parts that are never the
-article (menus, forms, adverts and so on, by tag or by name) are cut out before scoring.
+and the parts and loose texts beside it that are not mostly links. Parts that are never the article
+by their tag (menus, forms) or that are hidden are cut out before scoring. A part that only a name
+speaks against (``widget``, ``notice``, ``share``) is cut out too, unless hardly any running text stands
+outside such parts: then the one with the most text is the page's own wrapper and stays.
 
 Pages are independent: one pass over each html string in the scanning task, no shuffle.
 
@@ -15,8 +17,10 @@ on their own; other columns pass through, except that columns named like a resul
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,7 +46,7 @@ ROLES = (
     "alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu", "menubar", "navigation",
     "search", "toolbar",
 )
-# A part whose class or id has one of these words is cut out. One of GOOD speaks for a part.
+# A part whose class or id has one of these words is cut out, as a rule. One of GOOD speaks for a part.
 BAD = (
     "ad", "ads", "adbox", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs",
     "comment", "comments", "commentlist", "consent", "cookie", "cookies", "copyright", "disqus", "foot", "footer",
@@ -53,10 +57,17 @@ BAD = (
 )
 GOOD = ("article", "body", "content", "entry", "main", "maincontent", "page", "post", "story", "text")
 
+# Words of BAD that name what readers wrote: such a part is never the article, however long it is.
+READERS = ("comment", "comments", "commentlist", "disqus", "replies", "shoutbox")
+# Parts of a layout that a name only mentions: "has-sidebar" is no sidebar.
+MENTIONS = ("has", "hide", "no", "show", "with", "without")
+
+OUTSIDE = 0.1  # a named part stays if the running text outside of such parts is under this share of its own
+LINKS = 0.33  # what stands beside the best container is left out from this link density on
 ANCESTORS = 6  # how far up a paragraph's points are passed
 
 _RAW, _VOID, _BLOCK, _NEVER, _ROLES = map(frozenset, (RAW, VOID, BLOCK, NEVER, ROLES))
-_BAD, _GOOD = frozenset(BAD), frozenset(GOOD)
+_BAD, _GOOD, _READERS = map(frozenset, (BAD, GOOD, READERS))
 # An open tag that ends another one of its kind which is still open, up to the container that shields it.
 _ENDS_SELF = {
     "li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"),
@@ -68,6 +79,7 @@ _TAG = re.compile(r"<(?:(!--)|(/?)([A-Za-z][^\s/>]*)|[!?/])")
 _ATTRIBUTES = re.compile(r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
 _NAMED = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden|style)(?![^\s=>/])(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']*)))?""", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
+_MENTIONED = re.compile(rf"(?<![\w-])(?:{'|'.join(MENTIONS)})[-_][\w-]+", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _WHITE = re.compile(r"\s+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -76,46 +88,74 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Node:
     """An element. ``items`` holds its texts and child nodes in page order."""
 
-    __slots__ = ("tag", "parent", "items", "points", "letters", "linked", "hint")
+    __slots__ = ("tag", "parent", "items", "points", "letters", "linked", "hint", "doubt")
 
-    def __init__(self, tag: str, parent: "Node | None", hint: int = 0):
-        self.tag, self.parent, self.hint = tag, parent, hint
+    def __init__(self, tag: str, parent: "Node | None", hint: int = 0, doubt: int = 0):
+        self.tag, self.parent, self.hint, self.doubt = tag, parent, hint, doubt
         self.items: list = []
         self.points, self.letters, self.linked = 0.0, 0, 0
 
 
-def _unwanted(tag: str, attributes: str) -> tuple[bool, int]:
-    """Whether a part is cut out, and whether its name speaks for it (1) or not (0)."""
-    if tag in _NEVER:
-        return True, 0
-    hint = 0
+class Open:
+    """The elements that are open, outermost first, and where the last one of each tag stands."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at, self.blocks = [root], {}, []
+
+    def push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in _BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost open element with one of these tags; 0 (the root) if none is open."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=0)
+
+    def end(self, place: int) -> None:
+        """End the element at a place and all inside it."""
+        while len(self.nodes) > place:
+            tag = self.nodes.pop().tag
+            self.at[tag].pop()
+            if tag in _BLOCK:
+                self.blocks.pop()
+
+
+# What speaks against a part: nothing, a name, the name of readers' words, or an attribute that hides it.
+KEEP, NAMED, READER, HIDDEN = range(4)
+
+
+def _judged(tag: str, attributes: str) -> tuple[int, int]:
+    """What speaks against a part, and whether its name speaks for it (1) or not (0)."""
+    hint = doubt = 0
     for m in _NAMED.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-            return True, 0
+            return HIDDEN, 0
         if name == "role" and value.strip().lower() in _ROLES:
-            return True, 0
+            return HIDDEN, 0
         if name in ("class", "id"):
-            names = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", value))}
+            names = {w.lower() for w in _WORD.findall(_CAMEL.sub(" ", _MENTIONED.sub(" ", value)))}
             bad = names & _BAD
             if bad == {"header"} and names & _GOOD:
                 bad = None  # an article's own head
             if bad and tag not in ("html", "body", "article", "main"):
-                return True, 0
+                doubt = max(doubt, READER if bad & _READERS else NAMED)
             hint |= bool(names & _GOOD)
-    return False, hint
+    return doubt, hint
 
 
 def parse(page: str) -> Node:
-    """The page's tree without what is never the article."""
+    """The page's tree without what is never the article by its tag, in time linear in the page."""
     root = Node("html", None)
-    here, at, size, skip = root, 0, len(page), 0  # skip: depth inside a part that is cut out
-    skipped: list[str] = []
+    opened, at, size = Open(root), 0, len(page)
+    skipped: list[str] = []  # the tags open inside a part that is cut out
+    inside: Counter = Counter()  # and how often each is
     while at < size:
         m = _TAG.search(page, at)
         end = m.start() if m else size
         if end > at and not skipped:
-            here.items.append(page[at:end])
+            opened.nodes[-1].items.append(page[at:end])
         if not m:
             break
         if m[1]:
@@ -136,26 +176,23 @@ def parse(page: str) -> Node:
             attributes, at = page[m.end():rest.end() - 1], rest.end()
         tag = m[3].lower()
         if m[2]:
+            place = opened.last(tag)
             if skipped:
-                if tag in skipped:
-                    while skipped.pop() != tag:
-                        pass
-                elif tag in ("article", "main", "body", "html"):
+                if inside[tag]:
+                    ended = None
+                    while ended != tag:
+                        ended = skipped.pop()
+                        inside[ended] -= 1
+                elif place and tag in ("article", "main", "body", "html"):
                     # The part that is cut out was never closed; its container is.
-                    node = here
-                    while node and node.tag != tag:
-                        node = node.parent
-                    if node:
-                        skipped.clear()
-                        here = node.parent or root
+                    skipped.clear()
+                    inside.clear()
+                    opened.end(place)
                 continue
-            node = here
-            while node is not root and node.tag != tag and not (tag not in _BLOCK and node.tag in _BLOCK):
-                node = node.parent
-            if node.tag == tag and node is not root:
-                here = node.parent
+            if place and (tag in _BLOCK or not opened.blocks or opened.blocks[-1] < place):
+                opened.end(place)
             elif tag in ("p", "br"):
-                here.items.append(Node("br" if tag == "br" else "p", here))
+                opened.nodes[-1].items.append(Node("br" if tag == "br" else "p", opened.nodes[-1]))
             continue
         if tag in _RAW:
             close = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(page, at)
@@ -166,32 +203,77 @@ def parse(page: str) -> Node:
             continue
         if tag in _VOID:
             if not skipped and tag in ("br", "hr"):
-                here.items.append(Node(tag, here))
+                opened.nodes[-1].items.append(Node(tag, opened.nodes[-1]))
             continue
         if skipped:
             if not attributes.endswith("/"):
                 skipped.append(tag)
+                inside[tag] += 1
             continue
-        if tag in _BLOCK:  # a block ends an open paragraph, which no other block can be inside of
-            node = here
-            while node is not root and node.tag not in _BLOCK:
-                node = node.parent
-            if node.tag == "p":
-                here = node.parent
+        # A block ends an open paragraph, which no other block can be inside of.
+        if tag in _BLOCK and opened.blocks and opened.nodes[opened.blocks[-1]].tag == "p":
+            opened.end(opened.blocks[-1])
         if tag in _ENDS_SELF:
-            node, same = here, _SAME.get(tag, (tag,))
-            while node is not root and node.tag not in _ENDS_SELF[tag]:
-                if node.tag in same:
-                    here = node.parent
-                    break
-                node = node.parent
-        bad, hint = _unwanted(tag, attributes)
-        if bad:
+            place = opened.last(*_SAME.get(tag, (tag,)))
+            if place > opened.last(*_ENDS_SELF[tag]):
+                opened.end(place)
+        if tag in _NEVER:
             skipped = [tag]
+            inside[tag] += 1
             continue
-        node = Node(tag, here, hint)
-        here.items.append(node)
-        here = node
+        doubt, hint = _judged(tag, attributes)
+        node = Node(tag, opened.nodes[-1], hint, doubt)
+        node.parent.items.append(node)
+        opened.push(node)
+    return _without(root)
+
+
+def _without(root: Node) -> Node:
+    """Cut out hidden parts, what readers wrote, and parts that only a name speaks against, but for
+    those that hold the page's running text."""
+    order, at = [root], 0
+    while at < len(order):
+        node = order[at]
+        at += 1
+        if any(isinstance(x, Node) and x.doubt > NAMED for x in node.items):
+            node.items = [x for x in node.items if isinstance(x, str) or x.doubt <= NAMED]
+        order.extend(x for x in node.items if isinstance(x, Node))
+    if not any(x.doubt for x in order):
+        return root
+    # Letters of running text by the outermost doubtful part they stand in (None: in no such part).
+    prose = {}
+    for node in reversed(order):
+        own = len(_inline(node).strip()) if node.tag in _BLOCK else 0
+        prose[node] = prose.get(node, 0) + (own if own >= 20 else 0)
+        if node.parent is not None:
+            prose[node.parent] = prose.get(node.parent, 0) + prose[node]
+    doubted, outer = [], {}
+    for node in order:
+        outer[node] = outer.get(node.parent) or (node if node.doubt else None)
+        if outer[node] is node:
+            doubted.append(node)
+    outside = prose[root] - sum(prose[x] for x in doubted)
+    # A heap, so that a page of nothing but wrappers is unwrapped in order of size.
+    heap = [(-prose[x], n, x) for n, x in enumerate(doubted)]
+    heapq.heapify(heap)
+    made = len(heap)
+    while heap and outside < OUTSIDE * -heap[0][0]:
+        node = heapq.heappop(heap)[2]
+        node.doubt = KEEP
+        held, stack = prose[node], list(node.items)
+        while stack:
+            x = stack.pop()
+            if isinstance(x, Node):
+                if x.doubt:
+                    held -= prose[x]
+                    made += 1
+                    heapq.heappush(heap, (-prose[x], made, x))
+                else:
+                    stack.extend(x.items)
+        outside += held
+    for node in order:
+        if any(isinstance(x, Node) and x.doubt for x in node.items):
+            node.items = [x for x in node.items if isinstance(x, str) or not x.doubt]
     return root
 
 
@@ -301,18 +383,24 @@ def extract(page: str | None) -> str:
         up = up.parent
     if up is not None:
         return "\n".join(_blocks(up))
-    parts = [best]
-    if best.parent is not None:
-        bar = max(2.0, 0.2 * most)
-        parts = []
-        for item in best.parent.items:
-            if not isinstance(item, Node):
-                continue
-            plain = item.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre") and _density(item) < 0.25
-            scored = item.points * (1 - _density(item)) >= bar
-            if item is best or plain or scored:
-                parts.append(item)
-    return "\n".join(b for p in parts for b in _blocks(p))
+    if best.parent is None:
+        return "\n".join(_blocks(best))
+    # All that stands beside the container but what is mostly links; right under the page itself,
+    # where copyright lines and the like stand, only what reads like text.
+    bar, page_level = max(2.0, 0.2 * most), best.parent.tag in ("html", "body")
+    kept = Node("div", None)
+    for item in best.parent.items:
+        if isinstance(item, str) or item.tag not in _BLOCK:
+            loose = not page_level or item is best or not isinstance(item, str) and item.tag == "br"
+            if loose:
+                kept.items.append(item)
+            continue
+        links = _density(item)
+        plain = item.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre")
+        scored = item.points * (1 - links) >= bar
+        if item is best or scored or links < LINKS and (plain or not page_level):
+            kept.items.append(item)
+    return "\n".join(_blocks(kept))
 
 
 def main_text(pages: DataFrame, text: str = "html", out: str = "text", length: str = "n_chars") -> DataFrame:
