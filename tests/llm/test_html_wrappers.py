@@ -63,3 +63,9 @@ def test_deep_wrappers_end(page):
     began = time.perf_counter()
     assert LINES[0] in extract(page)
     assert time.perf_counter() - began < 10
+
+
+@pytest.mark.parametrize("around", ["article", "div"])
+def test_an_advert_longer_than_a_short_article_goes(around):
+    page = f"<body><nav><a href=/>Home</a></nav><div class=ad>{LINES[0]}</div><{around}><h1>A title.</h1><p><b>Short text.<br></{around}>"
+    assert extract(page) == "A title.\nShort text."

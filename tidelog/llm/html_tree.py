@@ -5,7 +5,7 @@ commas and pass them to their parent, half to the grandparent, a third and so on
 container's points are discounted by its link density. The container with the most points is kept,
 and the parts and loose texts beside it that are not mostly links. Parts that are never the article
 by their tag (menus, forms) or that are hidden are cut out before scoring. A part that only a name
-speaks against (``widget``, ``notice``, ``share``) is cut out too, unless hardly any running text stands
+speaks against (``widget``, ``notice``, ``share``) is cut out too, unless hardly any text but links stands
 outside such parts: then the one with the most text is the page's own wrapper and stays.
 
 Pages are independent: one pass over each html string in the scanning task, no shuffle.
@@ -62,7 +62,7 @@ READERS = ("comment", "comments", "commentlist", "disqus", "replies", "shoutbox"
 # Parts of a layout that a name only mentions: "has-sidebar" is no sidebar.
 MENTIONS = ("has", "hide", "no", "show", "with", "without")
 
-OUTSIDE = 0.1  # a named part stays if the running text outside of such parts is under this share of its own
+OUTSIDE = 0.1  # a named part stays if the text outside of such parts, links left out, is under this share of its running text
 LINKS = 0.33  # what stands beside the best container is left out from this link density on
 ANCESTORS = 6  # how far up a paragraph's points are passed
 
@@ -240,19 +240,24 @@ def _without(root: Node) -> Node:
         order.extend(x for x in node.items if isinstance(x, Node))
     if not any(x.doubt for x in order):
         return root
-    # Letters of running text by the outermost doubtful part they stand in (None: in no such part).
-    prose = {}
+    # Letters of running text, and of all text but links, in each part.
+    links, prose, plain = set(), dict.fromkeys(order, 0), dict.fromkeys(order, 0)
+    for node in order:
+        if node.tag == "a" or node.parent in links:
+            links.add(node)
     for node in reversed(order):
         own = len(_inline(node).strip()) if node.tag in _BLOCK else 0
-        prose[node] = prose.get(node, 0) + (own if own >= 20 else 0)
+        prose[node] += own if own >= 20 else 0
+        plain[node] += 0 if node in links else sum(len(x.strip()) for x in node.items if isinstance(x, str))
         if node.parent is not None:
-            prose[node.parent] = prose.get(node.parent, 0) + prose[node]
+            prose[node.parent] += prose[node]
+            plain[node.parent] += plain[node]
     doubted, outer = [], {}
     for node in order:
         outer[node] = outer.get(node.parent) or (node if node.doubt else None)
         if outer[node] is node:
             doubted.append(node)
-    outside = prose[root] - sum(prose[x] for x in doubted)
+    outside = plain[root] - sum(plain[x] for x in doubted)
     # A heap, so that a page of nothing but wrappers is unwrapped in order of size.
     heap = [(-prose[x], n, x) for n, x in enumerate(doubted)]
     heapq.heapify(heap)
@@ -260,12 +265,12 @@ def _without(root: Node) -> Node:
     while heap and outside < OUTSIDE * -heap[0][0]:
         node = heapq.heappop(heap)[2]
         node.doubt = KEEP
-        held, stack = prose[node], list(node.items)
+        held, stack = plain[node], list(node.items)
         while stack:
             x = stack.pop()
             if isinstance(x, Node):
                 if x.doubt:
-                    held -= prose[x]
+                    held -= plain[x]
                     made += 1
                     heapq.heappush(heap, (-prose[x], made, x))
                 else:
