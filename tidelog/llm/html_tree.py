@@ -265,12 +265,12 @@ def _without(root: Node) -> Node:
     while heap and outside < OUTSIDE * -heap[0][0]:
         node = heapq.heappop(heap)[2]
         node.doubt = KEEP
-        held, stack = plain[node], list(node.items)
+        held, stack = prose[node], list(node.items)  # in a wrapper that stays, running text alone counts
         while stack:
             x = stack.pop()
             if isinstance(x, Node):
                 if x.doubt:
-                    held -= plain[x]
+                    held -= prose[x]
                     made += 1
                     heapq.heappush(heap, (-prose[x], made, x))
                 else:
