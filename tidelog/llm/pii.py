@@ -40,6 +40,8 @@ LOOKS = r"(?<![A-Za-z0-9@._+-])(?=[A-Za-z._+-]*+[0-9@])[A-Za-z0-9@._+-]++"
 MIN_DIGITS = 4
 
 CONTEXT = 48  # characters on each side in which the words of a pattern are looked for
+CHUNK = 64  # elements of an array that are folded in one go
+LAST = 2**31 - 1
 ROUNDS = 3
 MIN_SEEDS = 3  # distinct seeds of a kind that a pattern must have
 CONFIDENT = 0.8
@@ -73,6 +75,57 @@ def _valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, use) -> Column:
+    """use(value), with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _chunks(values: Column, use) -> Column:
+    """An array's slices of CHUNK elements, each as use(slice, its number); none of an empty array."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int"))
+    made = F.transform(numbers, lambda c: use(F.slice(values, c * CHUNK + 1, F.lit(CHUNK)), c))
+    return F.when(F.size(values) > 0, made).otherwise(F.slice(made, F.lit(1), F.lit(0)))
+
+
+def _running(values: Column, start: int, merge) -> Column:
+    """``start`` merged with the first 0, 1, ... all integers of an array.
+
+    An array that is built element by element is copied for each of them, so only the results inside
+    a chunk and those of the chunks are built that way.
+    """
+    def fold(array: Column, first: Column) -> Column:
+        return F.aggregate(array, F.array(first), lambda done, x: F.concat(done, F.array(merge(F.element_at(done, -1), x))))
+
+    first = F.lit(start)
+
+    def all_of(given: Column) -> Column:
+        totals = _chunks(given, lambda part, c: F.aggregate(part, first, merge))
+        return _let(fold(totals, first), lambda firsts: F.concat(
+            F.flatten(_chunks(given, lambda part, c: F.slice(fold(part, F.get(firsts, c)), F.lit(1), F.size(part)))),
+            F.array(F.element_at(firsts, -1))))
+
+    return _let(values, all_of)
+
+
+def _apart(base: Column, others: Column) -> Column:
+    """The spans of ``others`` that overlap none of ``base``, in their order of start."""
+    def least(array: Column, flag: int) -> Column:
+        index = (lambda s, i: i) if flag else (lambda s, i: F.lit(0))
+        return F.transform(array, lambda s, i: F.struct(
+            s["start"].alias("start"), F.lit(flag).alias("other"), s["end"].alias("end"), index(s, i).alias("index")))
+
+    def look(given: Column) -> Column:
+        ends = F.transform(given, lambda s: F.when(s["other"] == 0, s["end"]).otherwise(F.lit(0)))
+        starts = F.transform(F.reverse(given), lambda s: F.when(s["other"] == 0, s["start"]).otherwise(F.lit(LAST)))
+        return _let(_running(ends, 0, lambda a, x: F.greatest(a, x)), lambda end: _let(
+            _running(starts, LAST, lambda a, x: F.least(a, x)), lambda start: F.filter(given, lambda s, i: (
+                (s["other"] == 1) & (F.get(end, i) <= s["start"]) & (F.get(start, F.size(given) - 1 - i) >= s["end"])))))
+
+    free = _let(F.sort_array(F.concat(least(base, 0), least(others, 1))), look)
+    return F.when(F.size(base) == 0, others).otherwise(_let(others, lambda all_: F.transform(
+        free, lambda s: F.get(all_, s["index"]))))
+
+
 def _located(found: Column, pieces: Column) -> Column:
     """Matches with their places: what lies between matches, and the matches, alternate in a text.
 
@@ -80,18 +133,18 @@ def _located(found: Column, pieces: Column) -> Column:
     """
     empty = F.expr("cast(array() as array<struct<value: string, start: int, end: int, before: string, after: string>>)")
 
-    def step(s, k):
-        value, start = F.get(found, k), s["at"] + F.length(F.get(pieces, k))
-        end = start + F.length(value)
-        one = F.struct(
-            value.alias("value"), start.alias("start"), end.alias("end"),
-            F.right(F.get(pieces, k), F.lit(CONTEXT)).alias("before"),
-            F.left(F.get(pieces, k + 1), F.lit(CONTEXT)).alias("after"))
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(one)).alias("out"))
+    def one(at: Column):
+        def made(value, k):
+            start = F.get(at, k) + F.length(F.get(pieces, k))
+            return F.struct(
+                value.alias("value"), start.alias("start"), (start + F.length(value)).alias("end"),
+                F.right(F.get(pieces, k), F.lit(CONTEXT)).alias("before"),
+                F.left(F.get(pieces, k + 1), F.lit(CONTEXT)).alias("after"))
+        return made
 
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    folded = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step)["out"]
-    return F.when(F.size(found) > 0, folded).otherwise(empty)
+    steps = F.transform(found, lambda value, k: F.length(F.get(pieces, k)) + F.length(value))
+    located = _let(_running(steps, 0, lambda a, x: a + x), lambda at: F.transform(found, one(at)))
+    return F.when(F.size(found) > 0, located).otherwise(empty)
 
 
 def _named(spans: Column, kind: int) -> Column:
@@ -130,7 +183,9 @@ def seeds(docs: DataFrame, text: str = "text") -> DataFrame:
     likely = F.filter(F.transform("__l_looks", bare), lambda s: (
         (F.length(_digits(s["value"])) >= MIN_DIGITS) | s["value"].contains("@")) & ~s["value"].rlike(
         f"{FORMS['email']}|{FORMS['ip']}") & ~s["value"].rlike(r"^[0-9]{14,19}$"))
-    return table.select(*keep, F.sort_array(F.concat(*named)).alias("__seeds"), likely.alias("__looks"))
+    table = table.select(*keep, F.sort_array(F.concat(*named)).alias("__seeds"), likely.alias("__likely"))
+    # What stands in a seed, such as the last digits of a phone number, is no instance of its own.
+    return table.select(*keep, "__seeds", _apart(F.col("__seeds"), F.col("__likely")).alias("__looks"))
 
 
 def _patterns(before: Column, after: Column) -> Column:
@@ -215,7 +270,7 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
         F.collect_set(F.struct("start", "kind", "end")).alias("__added"))
     rows = found.select("__key", base.alias("base")).join(
         added.withColumnRenamed("__key", "__added_key"), F.col("__key").eqNullSafe(F.col("__added_key")), "left")
-    free = F.filter("__added", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    free = _apart(F.col("base"), F.col("__added"))
     spans = F.when(F.col("__added").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", free)))
     return rows.select(F.col("__key"), F.col("__key.key").alias(key), "base", spans.alias("spans"))
 
@@ -237,16 +292,29 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> D
         found, F.col("__key").eqNullSafe(F.col("__found")), "left")
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
-    def step(s, span):
-        start, end = F.greatest(s["at"], span["start"]), F.greatest(s["at"], span["end"])
-        inside = span["start"] < s["at"]
-        between = F.substring(F.col(text), s["at"] + 1, start - s["at"])
-        mark = F.when(inside, F.lit("")).otherwise(F.get(names, span["kind"]))
-        return F.struct(end.alias("at"), F.concat(s["out"], F.array(between, mark)).alias("out"))
+    spans, whole = F.col("__spans"), F.col(text)
+
+    def cut_with(at: Column) -> Column:
+        """``at``: where the spans before each one end. A text is cut by chunks of spans first, since
+        finding a place takes a walk from the start."""
+        def cut_chunk(part: Column, c: Column) -> Column:
+            first = c * CHUNK
+            low, high = F.get(at, first), F.get(at, first + F.size(part))
+
+            def cut_one(piece: Column):
+                def one(s, i):
+                    here = F.get(at, first + i)
+                    between = F.substring(piece, here - low + 1, F.greatest(here, s["start"]) - here)
+                    return F.concat(between, F.when(s["start"] < here, F.lit("")).otherwise(F.get(names, s["kind"])))
+                return one
+
+            return _let(F.substring(whole, low + 1, high - low), lambda piece: F.array_join(F.transform(part, cut_one(piece)), ""))
+
+        last = F.element_at(at, -1)
+        return F.concat(
+            F.array_join(_chunks(spans, cut_chunk), ""), F.substring(whole, last + 1, F.length(whole) - last))
 
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
-    cut = F.aggregate("__spans", start, step, lambda s: F.concat(
-        F.array_join(s["out"], ""), F.substring(F.col(text), s["at"] + 1, F.length(text) - s["at"])))
+    cut = _let(_running(F.transform(spans, lambda s: s["end"]), 0, lambda a, x: F.greatest(a, x)), cut_with)
     clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(cut)
     rows = rows.select(*columns_but(docs, *mine, text), clean.alias("__clean"))
     columns = [F.col("__clean").alias(c) if c == text else F.length("__clean").cast("long").alias(c) if c == "n_chars"
