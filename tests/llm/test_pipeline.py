@@ -75,4 +75,4 @@ def test_run_equals_its_stages(stages, spark, sf):
 
 def test_every_operator_is_registered():
     names = [n.split("_")[0] for n in QUERIES]
-    assert sorted(names) == sorted([f"op{n}" for n in range(1, 11)] + ["pipeline"])
+    assert sorted(names) == sorted([f"op{n}" for n in range(1, 14)] + ["pipeline"])
