@@ -231,9 +231,10 @@ def test_expectation_maximisation_raises_the_likelihood(spark, texts):
     assert np.exp(pieces.log[~begin]).sum() + math.exp(pieces.stop) == pytest.approx(1)
 
 
-@pytest.mark.parametrize("frequent", [0, 1 << 18])
-def test_scores(docs, monkeypatch, frequent):
+@pytest.mark.parametrize("frequent, block", [(0, 500_000), (300, 1000), (1 << 18, 0)])
+def test_scores(docs, monkeypatch, frequent, block):
     monkeypatch.setattr(lattice, "FREQUENT", frequent)
+    monkeypatch.setattr(lattice, "BLOCK_WORDS", block)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     rows = lattice.score(docs, held).collect()
     texts = [(r.doc_id, lattice.tokens(r.text)) for r in docs.collect()]
@@ -251,12 +252,33 @@ def test_scores(docs, monkeypatch, frequent):
     by_key = defaultdict(list)
     for k, w in texts:
         by_key[k].append(w)
+    table = docs.sparkSession.createDataFrame([(w, c) for w, c in counts.items()], "word binary, n bigint")
+    pieces = lattice.fit_pieces(table)
+    every = sorted({x for _, w in texts for x in w})
+    marginal = dict(zip(every, np.exp(lattice.marginals(every, pieces))))
+    log_marginal = dict(zip(every, lattice.marginals(every, pieces) / math.log(10)))
+    left = lattice.DISCOUNT * len(counts) / sum(counts.values())
+    end = (ends + 0.5) / (n + 1)
+
+    def text_score(w):
+        total, seen = math.log10(end) + len(w) * math.log10(1 - end), Counter()
+        for place, x in enumerate(w):
+            corpus = max(counts[x] - lattice.DISCOUNT, 0) / sum(counts.values()) + left * marginal[x]
+            mixed = (1 - lattice.ADAPT) * corpus + lattice.ADAPT * seen[x] / place if place else corpus
+            if mixed > 0:
+                total += math.log10(mixed)
+            else:
+                total += math.log10(left) + log_marginal[x] + (math.log10(1 - lattice.ADAPT) if place else 0)
+            seen[x] += 1
+        return total
+
     for r in rows:
         w = by_key[r.doc_id][0]
         base = sum(math.log10((counts[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w) + math.log10((ends + 0.5) / (n + 0.5 * (v + 1)))
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out(r.doc_id), len(w) + 1, sum(x in counts for x in w) + 1, n)
-        assert r.base_score == pytest.approx(base) and r.score < 0 and r.piece_score < 0
-        assert math.isfinite(r.score) and math.isfinite(r.piece_score)
+        assert r.base_score == pytest.approx(base) and r.score == pytest.approx(text_score(w))
+        assert r.piece_score == pytest.approx(
+            math.log10(end) + len(w) * math.log10(1 - end) + sum(log_marginal[x] for x in w))
 
 
 def test_scores_of_no_and_of_unseen_rows(spark, no_docs):

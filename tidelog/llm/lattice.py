@@ -38,6 +38,8 @@ SMOOTHING = 0.1
 DISCOUNT = 0.7
 ADAPT = 0.2
 FREQUENT = 1 << 18
+PARTS = ["key", "hash", "held", "part", "word", "copies", "tokens", "known", "base", "score", "pieces", "seen"]
+BLOCK_WORDS = 500_000  # of the documents that a task scores at once; a longer document is a block of its own
 HELD_WORDS = 300_000  # of the counts a task holds before it hands them on
 MARK = "▁".encode()
 LN10 = math.log(10)
@@ -273,6 +275,70 @@ class Model:
         return max(n - DISCOUNT, 0.0) / self.words + self.left * 10.0 ** lattice
 
 
+class _Codes(dict):
+    """Numbers of words: the given ones come first, any other gets the next number and is listed in ``fresh``."""
+
+    def __init__(self, words: list[bytes]):
+        super().__init__(zip(words, range(len(words))))
+        self.given, self.fresh = len(words), []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+    def forget(self) -> None:
+        for word in self.fresh:
+            del self[word]
+        self.fresh = []
+
+
+def _parts(rows, numbers: list[np.ndarray], codes: _Codes, base, static, lattice):
+    """The parts of some documents, each given by its words' numbers: one row a document with the sums over
+    its frequent words, and one for each rare word of it, with that word's share of the document so far at
+    each of its places (-1 at the document's first place, where there is none)."""
+    sizes = np.array([len(x) for x in numbers], dtype=np.int64)
+    code = np.concatenate(numbers)
+    doc = np.repeat(np.arange(len(numbers)), sizes)
+    place = np.arange(len(code)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    # Sorted by word and place; places are in the order of documents, so a word's places in one of them are a run.
+    bits = max(1, len(code).bit_length())
+    order = np.sort((code << bits) | np.arange(len(code))) & ((1 << bits) - 1)
+    code, doc, place = code[order], doc[order], place[order]
+    first = np.ones(len(code), dtype=bool)
+    first[1:] = (code[1:] != code[:-1]) | (doc[1:] != doc[:-1])
+    run = np.flatnonzero(first)
+    before = np.arange(len(code)) - np.repeat(run, np.diff(np.append(run, len(code))))
+    ratio = np.where(place > 0, before / np.maximum(place, 1), -1.0)
+
+    often = int(np.searchsorted(code, codes.given))  # the frequent words come first
+    weight = static[code[:often]]
+    share = ratio[:often]
+    full = np.log10(np.where(share < 0, weight, (1 - ADAPT) * weight + ADAPT * share))
+
+    def by_document(values):
+        return np.bincount(doc[:often], weights=values, minlength=len(numbers)).astype(float)  # of no words it is whole numbers
+
+    whole = len(numbers)
+    yield pa.RecordBatch.from_arrays(
+        [rows.column(0), rows.column(3), rows.column(2), pa.array(np.ones(whole, dtype=np.int32)),
+         rows.column(3).cast(pa.string()).cast(pa.binary()), pa.array(np.ones(whole, dtype=np.int64)), pa.array(sizes + 1),
+         pa.array(np.bincount(doc[:often], minlength=whole)), pa.array(by_document(base[code[:often]])),
+         pa.array(by_document(full)), pa.array(by_document(lattice[code[:often]])),
+         pa.nulls(whole, pa.list_(pa.float64()))], names=PARTS)
+
+    run = run[np.searchsorted(run, often):]
+    if not len(run):
+        return
+    of, none, zero = pa.array(doc[run]), pa.array(np.zeros(len(run), dtype=np.int64)), pa.array(np.zeros(len(run)))
+    word = pa.array(codes.fresh, type=pa.binary()).take(pa.array(code[run] - codes.given))
+    seen = pa.ListArray.from_arrays(
+        pa.array(np.append(run, len(code)) - often, type=pa.int32()), pa.array(ratio[often:]))
+    yield pa.RecordBatch.from_arrays(
+        [rows.column(0).take(of), rows.column(3).take(of), rows.column(2).take(of),
+         pa.array(np.zeros(len(run), dtype=np.int32)), word, none, none, none, zero, zero, zero, seen], names=PARTS)
+
+
 def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text", file: str = VOCABULARY) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score, piece_score) of every row.
 
@@ -287,52 +353,25 @@ def score(docs: DataFrame, held: Column, key: str = "doc_id", text: str = "text"
     scored = materialize(score_words(counts, fit_pieces(counts, file)))
     often = _threshold(scored, FREQUENT)
     frequent = scored.where(F.col("n") >= often).collect()  # FREQUENT rows at most
-    known = docs.sparkSession.sparkContext.broadcast({
-        bytes(r["word"]): (math.log10(r["n"] + 0.5) - model.base_norm, model.static(r["n"], r["lattice"]), r["lattice"])
-        for r in frequent})
+    lattices = np.array([r["lattice"] for r in frequent], dtype=float)
+    known = docs.sparkSession.sparkContext.broadcast((
+        [bytes(r["word"]) for r in frequent],
+        np.array([math.log10(r["n"] + 0.5) - model.base_norm for r in frequent], dtype=float),
+        np.array([model.static(r["n"], r["lattice"]) for r in frequent], dtype=float), lattices))
     kind = docs.schema[key].dataType.simpleString()
-    names = ["key", "hash", "held", "part", "word", "copies", "tokens", "known", "base", "score", "pieces", "seen"]
 
     def run(batches):
-        table, log10 = known.value, math.log10
+        codes = _Codes(known.value[0])
         for batch in batches:
-            columns: list[list] = [[] for _ in names[1:]]
-            at: list[int] = []
+            at, numbers, total = 0, [], 0
             for i in range(batch.num_rows):
                 words = tokens(batch.column(1)[i].as_py())
-                held_out, code = batch.column(2)[i].as_py(), batch.column(3)[i].as_py()
-                seen: dict[bytes, int] = {}
-                rare: dict[bytes, list[float]] = {}
-                base = full = piece = 0.0
-                n_known = 0
-                for n, w in enumerate(words):
-                    before = seen.get(w, 0)
-                    seen[w] = before + 1
-                    entry = table.get(w)
-                    if entry is None:
-                        rare.setdefault(w, []).append(before / n if n else -1.0)
-                        continue
-                    n_known += 1
-                    base += entry[0]
-                    piece += entry[2]
-                    full += log10((1 - ADAPT) * entry[1] + ADAPT * before / n if n else entry[1])
-                made = [(code, held_out, 1, str(code).encode(), 1, len(words) + 1, n_known, base, full, piece, None)]
-                made += [(code, held_out, 0, w, 0, 0, 0, 0.0, 0.0, 0.0, ratios) for w, ratios in rare.items()]
-                at += [i] * len(made)
-                for column, values in zip(columns, zip(*made)):
-                    column.extend(values)
-                if len(at) > 50_000:
-                    yield emit(batch, at, columns)
-                    at, columns = [], [[] for _ in names[1:]]
-            if at:
-                yield emit(batch, at, columns)
-
-    kinds = [pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.float64(),
-             pa.float64(), pa.float64(), pa.list_(pa.float64())]
-
-    def emit(batch, at, columns):
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(at)), *[pa.array(c, type=t) for c, t in zip(columns, kinds)]], names=names)
+                numbers.append(np.fromiter(map(codes.__getitem__, words), dtype=np.int64, count=len(words)))
+                total += len(words)
+                if total > BLOCK_WORDS or i + 1 == batch.num_rows:
+                    yield from _parts(batch.slice(at, len(numbers)), numbers, codes, *known.value[1:])
+                    codes.forget()
+                    at, numbers, total = i + 1, [], 0
 
     parts = rows.mapInArrow(run, f"key {kind}, hash bigint, held boolean, part int, word binary, copies bigint, "
                                  "tokens bigint, known bigint, base double, score double, pieces double, seen array<double>")
