@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least id, of each group of near copies: five-word shingles, similarity 0.8."""
+    """One document, that with the least id, of each group of near copies: SimHash and MinHash of five-word shingles, similarity 0.8."""
     return near_copies.dedup(docs)
 
 

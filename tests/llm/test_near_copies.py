@@ -6,6 +6,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidelog.llm import near_copies
@@ -57,3 +58,14 @@ def test_near_copies_are_gone(spark, stage):
 
 def test_near_copies_of_no_rows(no_docs):
     assert near_copies.dedup(no_docs).count() == 0
+
+
+def test_fingerprints_alone_link_copies_with_few_edits(spark):
+    rng = random.Random(3)
+    text = [f"w{rng.randrange(3000)}" for _ in range(8000)]
+    rows = [(0, " ".join(text)), (1, " ".join([*text[:4000], "edited", *text[4001:]])), (2, " ".join(reversed(text)))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    nodes = near_copies._sketched(df, "doc_id", "text").withColumn("bands", F.array().cast("array<bigint>")).cache()
+    found = near_copies.links(nodes, lambda some: nodes.join(some, "node").join(df, "doc_id").select("node", "text")).collect()
+    keys = {bytes(r.node): r.doc_id for r in nodes.collect()}
+    assert [{keys[bytes(r.node)], keys[bytes(r.root)]} for r in found] == [{0, 1}]
