@@ -85,6 +85,12 @@ def test_even_chunks_take_every_row_once(spark):
     assert starts.chunk_predicates("k", starts.even_chunks(table.limit(0), "k", 10)) == ["1 = 1"]
 
 
+def test_even_chunks_are_cut_by_counts(spark):
+    table = spark.range(20_000).select((F.col("id") * F.col("id")).alias("k")).repartition(5, "k")
+    rows = starts.even_chunks(table, "k", 500).orderBy("chunk_id").collect()
+    assert [(r.chunk_id, r.n_rows, r.min_key) for r in rows] == [(i, 500, (500 * i) ** 2) for i in range(40)]
+
+
 def test_sketches_merge(spark):
     samples = spark.range(50_000).select((F.col("id") % 2).cast("string").alias("g"), (F.col("id") % 10).cast("string").alias("part"),
                                          F.pmod(F.col("id") * 7919, F.lit(50_000)).cast("double").alias("v"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidelog.session import materialize
 from tidelog.sources.changelog import SNAPSHOT_FILE, sequence
 
 
@@ -146,14 +147,20 @@ def snapshot_chunks(table: DataFrame, key: str, size: int) -> DataFrame:
 def even_chunks(table: DataFrame, key: str, size: int) -> DataFrame:
     """One row per chunk of about ``size`` rows each, however the keys lie: ``chunk_id, n_rows, min_key, max_key``.
 
-    Spark's range partitioner finds the cuts from a sample of every partition. Rows of one key stay together,
-    so chunks do not overlap; keys are NULL in no chunk.
+    A chunk is cut by the number of rows with smaller keys: exactly ``size`` rows where keys are distinct. Keys lie sorted in as many
+    parts as a shuffle has, however many chunks there are; only each part's number of rows is summed up over all. Rows of one key stay
+    together, so chunks do not overlap; keys are NULL in no chunk.
     """
-    keys = table.select(F.col(key).alias("k")).filter("k is not null")
-    parts = max(1, -(-keys.count() // size))
-    cut = keys.repartitionByRange(parts, "k").withColumn("_p", F.spark_partition_id())
-    chunks = cut.groupBy("_p").agg(F.count("*").alias("n_rows"), F.min("k").alias("min_key"), F.max("k").alias("max_key"))
-    return chunks.withColumnRenamed("_p", "chunk_id")
+    keys = table.select(F.col(key).alias("k")).filter("k is not null").groupBy("k").agg(F.count("*").alias("n"))
+    # Kept: cut anew, a key could lie in another part than the one it was counted in.
+    parts = materialize(keys.repartitionByRange("k").withColumn("_p", F.spark_partition_id()))
+    up_to = F.sum("n").over(Window.orderBy("_p"))  # a row per part
+    before = parts.groupBy("_p").agg(F.sum("n").alias("n")).select("_p", (up_to - F.col("n")).alias("_before"))
+    inside = F.sum("n").over(Window.partitionBy("_p").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    ranked = parts.withColumn("_inside", inside).join(before, "_p")
+    chunk = F.call_function("div", F.col("_before") + F.col("_inside"), F.lit(size).cast("bigint"))
+    return ranked.groupBy(chunk.alias("chunk_id")).agg(
+        F.sum("n").alias("n_rows"), F.min("k").alias("min_key"), F.max("k").alias("max_key"))
 
 
 def chunk_predicates(key: str, chunks: DataFrame) -> list[str]:
