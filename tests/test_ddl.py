@@ -205,3 +205,10 @@ def test_one_statement_on_many_shards_is_dealt_out(spark):
     df = spark.range(20_000).select("id", F.lit("ALTER TABLE t ADD a INT").alias("ddl"))
     dealt = ddl._statements(df, "ddl", "alter").groupBy(F.spark_partition_id()).count().collect()
     assert len(dealt) > 1 and sum(r["count"] for r in dealt) == 20_000
+
+
+def test_comments_are_taken_out_of_a_statement_once(spark):
+    found = ddl.create_columns(spark.createDataFrame([("CREATE TABLE t (a INT /* x */ COMMENT 'c', b INT)",)], "ddl string"))
+    plan = found.select("column_name", "comment")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(ddl.TO_COMMENT) == 1
+    assert [tuple(r) for r in found.orderBy("ordinal").select("column_name", "comment").collect()] == [("a", "c"), ("b", None)]
