@@ -85,6 +85,35 @@ def test_packing_fills_open_windows_when_there_are_many(spark, monkeypatch):
     assert len({r.sequence_id for r in rows}) == math.ceil(60 * 131 / 256)
 
 
+def test_packing_leaves_no_words_in_its_workers(spark, docs):
+    """Workers outlive their tasks, so what they keep adds to the memory of an executor's later stages."""
+
+    def kept(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            found = packing._ENCODERS.get(packing.TOKENIZER)
+            words = found and len(found._words) + len(found._words._cores) + len(found._words._ends)
+            yield pa.RecordBatch.from_arrays([pa.array([words], pa.int64())], names=["words"])
+
+    _pack(docs)
+    left = [r.words for r in spark.range(0, 64, 1, 64).mapInArrow(kept, "words bigint").collect()]
+    found = [n for n in left if n is not None]
+    assert found and max(found) == 0
+
+
+def test_components_of_few_edges_take_few_tasks(spark):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        found = components.components(spark.range(50).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")))
+        assert found.rdd.getNumPartitions() <= 2
+        assert {tuple(r) for r in found.collect()} == {(n, 0) for n in range(51)}
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_packing_of_no_rows(no_docs):
     assert _pack(no_docs) == []
 

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tidelog.llm import simhash
 from tidelog.llm.common import columns_but, materialize
 from tidelog.llm.components import components
+from tidelog.session import shuffles_removed
 
 SHINGLE = 5
 LEAST = 0.8
@@ -114,7 +115,9 @@ def _near(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     pairs = materialize(pairs)
     side = {x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab"}
-    if pairs.count() <= FEW_PAIRS:  # they go to the texts, so that texts without a pair stay where they are
+    with shuffles_removed(pairs.sparkSession):
+        few = pairs.count() <= FEW_PAIRS
+    if few:  # they go to the texts, so that texts without a pair stay where they are
         both = side["a"].join(F.broadcast(pairs), "a").join(side["b"].join(F.broadcast(pairs.select("a", "b")), "b"), ["a", "b"])
     else:
         both = pairs.join(side["b"], "b").join(side["a"], "a")

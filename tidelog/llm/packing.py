@@ -44,9 +44,7 @@ class _Words(dict):
 
     def __missing__(self, word: str) -> bytes:
         if len(self) > CACHE_WORDS:
-            self.clear()
-            self._cores.clear()
-            self._ends.clear()
+            self.forget()
         encoder = self._encoder
         core = word.rstrip(ENDS)
         if not (core.isalpha() and encoder.by_letters):
@@ -71,6 +69,11 @@ class _Words(dict):
         self[word] = made
         return made
 
+    def forget(self) -> None:
+        self.clear()
+        self._cores.clear()
+        self._ends.clear()
+
 
 class Encoder:
     """Token ids of texts as little-endian 32-bit bytes.
@@ -110,6 +113,11 @@ class Encoder:
             core = core.translate(self._spelt)
         return array("I", [t.id for t in self._model.tokenize(core)]).tobytes()
 
+    def forget(self) -> None:
+        """Drop the words met so far, up to some 200 MB: a worker process outlives its tasks, and what it
+        keeps stands beside whatever runs in the executor next."""
+        self._words.forget()
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return [self.whole(t) for t in texts]
@@ -241,19 +249,22 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
             return made
 
         gc.disable()  # the maps below have no cycles, and walking through them costs a tenth of the time
-        for batch in batches:
-            kind = batch.column(0).type
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for at in range(0, len(keys), 256):
-                part = [t or "" for t in texts[at:at + 256].to_pylist()]
-                for k, ids in zip(keys[at:at + 256], encode(part)):
-                    ids += end
-                    tokens = len(ids) // 4
-                    for start in range(0, tokens, window):
-                        note(windows.put((k, start, ids[4 * start:4 * (start + window)], tokens)))
-                if len(out) > 4096:
-                    yield flush()
-        gc.enable()
+        try:
+            for batch in batches:
+                kind = batch.column(0).type
+                keys, texts = batch.column(0).to_pylist(), batch.column(1)
+                for at in range(0, len(keys), 256):
+                    part = [t or "" for t in texts[at:at + 256].to_pylist()]
+                    for k, ids in zip(keys[at:at + 256], encode(part)):
+                        ids += end
+                        tokens = len(ids) // 4
+                        for start in range(0, tokens, window):
+                            note(windows.put((k, start, ids[4 * start:4 * (start + window)], tokens)))
+                    if len(out) > 4096:
+                        yield flush()
+        finally:
+            gc.enable()
+            encode.forget()
         if kind is not None:
             note(windows.finish())
             yield flush()
