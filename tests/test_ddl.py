@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tests.compare import connect, mismatch
 from tidelog.operators import ddl, evolve, layout
+from tidelog.plans import ddl_events
+from tidelog.plans.registry import ORACLES
 from tidelog.sources import catalog
 
 
@@ -212,3 +217,25 @@ def test_comments_are_taken_out_of_a_statement_once(spark):
     plan = found.select("column_name", "comment")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(ddl.TO_COMMENT) == 1
     assert [tuple(r) for r in found.orderBy("ordinal").select("column_name", "comment").collect()] == [("a", "c"), ("b", None)]
+
+
+def test_wide_statements_grow_with_the_table(spark, tmp_path):
+    rows = [(7 * k, 50 * (k % 40) + 3, f"{k % 5}-P") for k in range(2_500)] + [(1, 4, "1-P"), (9, None, "1-P")]
+    names = ("o_orderkey", "o_custkey", "o_orderpriority")
+    pq.write_table(pa.table(dict(zip(names, map(list, zip(*rows))))), tmp_path / "orders.parquet")
+    got = ddl_events.ddl_wide_create(spark, str(tmp_path)).collect()
+    assert {t: sum(r["table_no"] == t for r in got) for t in (3, 4, None)} == {3: 5_000, 4: 2, None: 2}
+    wide = sorted((r for r in got if r["table_no"] == 3), key=lambda r: r["ordinal"])
+    assert [(r["ordinal"], r["column_name"]) for r in wide] == [(i, f"{'cd'[i % 2]}{7 * (i // 2)}") for i in range(5_000)]
+    assert {r["comment"] for r in wide} == {None, *(f"a,({k}-P" for k in range(5))}
+    assert mismatch(ddl_events.ddl_wide_create(spark, str(tmp_path)), ORACLES["ddl_wide_create"], connect(str(tmp_path))) is None
+
+
+def test_definitions_of_one_wide_statement_are_dealt_out(spark):
+    text = f"CREATE TABLE t ({', '.join(f'c{i} INT' for i in range(1_000))})"
+    df = spark.createDataFrame([(1, text)], "id int, ddl string")
+    found = ddl.create_columns(df, spread=True).drop("ddl")
+    dealt = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(dealt) > 1 and sum(r["count"] for r in dealt) == 1_000
+    plain = ddl.create_columns(df).drop("ddl").select(found.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
